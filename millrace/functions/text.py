@@ -47,7 +47,8 @@ def to_json_text(col: Column | str) -> Column:
 
 
 def base64_encode(col: Column | str) -> Column:
-    return F.base64(F.encode(_c(col), "UTF-8"))
+    """One line, without the breaks some Spark versions put after 76 characters."""
+    return F.translate(F.base64(F.encode(_c(col), "UTF-8")), "\r\n", "")
 
 
 def base64_decode(col: Column | str) -> Column:
@@ -100,9 +101,9 @@ def round_or_zero(col: Column | str, scale: int = 2) -> Column:
     return F.coalesce(F.round(_c(col), scale), F.lit(0))
 
 
-def content_sha512(col: Column | str) -> Column:
+def content_sha(col: Column | str, bits: int = 512) -> Column:
     """Native content hash of a text or binary column."""
-    return F.sha2(_c(col), 512)
+    return F.sha2(_c(col), bits)
 
 
 @F.pandas_udf(T.StringType())

@@ -177,6 +177,9 @@ def _file_slice(spec: RefreshSpec, batch: DataFrame, target_columns: Sequence[st
     source = next((c for c in batch.columns if c.upper() == "FILE_NAME"), None)
     if not columns or (not given and source is None):
         return Slice()
+    if len(given) > MAX_IN_LIST:
+        names = batch.sparkSession.createDataFrame([(n,) for n in given], "name string")
+        return Slice(names=names, name_columns=columns)
     if not given:
         names = batch.select(F.col(source).alias("name")).where(F.col("name").isNotNull()).distinct()
         given = [r["name"] for r in names.take(MAX_IN_LIST + 1)]

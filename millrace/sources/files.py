@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.operators.relational import union_by_name
+from millrace.sources.streams import open_stream
 
 TEXT_DELIMITER = "|"  # fixed value: delimiter of text files unless given
 INFER_ROWS = 50000  # fixed value: rows looked at by sampled inference
@@ -33,7 +34,7 @@ def choose_delimiter(line: str, given: str, default: str = TEXT_DELIMITER, fallb
 
 def read_delimited(
     spark: SparkSession,
-    path: str,
+    path: str | Sequence[str],
     delimiter: str = TEXT_DELIMITER,
     quote: str = "",
     encoding: str = "UTF-8",
@@ -41,27 +42,34 @@ def read_delimited(
     schema: T.StructType | str | None = None,
     all_text: bool = False,
     infer_rows: int | None = None,
-    multi_line: bool = False,
+    multi_line: bool | None = None,
+    with_file_name: bool = False,
 ) -> DataFrame:
     """Delimited text with a header. Quoting is off unless a quote character is given.
 
     Types come from ``schema``, from a full inference pass, from the first ``infer_rows``
-    rows, or stay text with ``all_text``. ``multi_line`` allows line breaks inside quotes,
-    but a file is then read by one task; leave it off for files that should split.
+    rows, or stay text with ``all_text``. Line breaks inside quotes are allowed once a quote
+    character is given; each file is then read by one task (``multi_line=False`` splits it
+    again if no value holds a line break). Several paths must share one header; see
+    :func:`read_files` for paths that differ.
     """
+    paths = [path] if isinstance(path, str) else list(path)
     if auto_delimiter:
-        delimiter = choose_delimiter(first_lines(spark, [path], encoding)[0], delimiter)
+        delimiter = choose_delimiter(first_lines(spark, paths[:1], encoding)[0], delimiter)
+    lines = bool(quote) if multi_line is None else multi_line
     reader = spark.read.options(
-        header=True, delimiter=delimiter, quote=quote, escape="\\", encoding=encoding, multiLine=multi_line
+        header=True, delimiter=delimiter, quote=quote, escape="\\", encoding=encoding, multiLine=lines
     )
     if schema is not None:
-        return reader.schema(schema).csv(path)
-    if all_text:
-        return reader.option("inferSchema", False).csv(path)
-    if infer_rows:
-        text = reader.option("inferSchema", False).csv(path)
-        return reader.schema(infer_text_types(text, infer_rows)).csv(path)
-    return reader.option("inferSchema", True).csv(path)
+        df = reader.schema(schema).csv(paths)
+    elif all_text:
+        df = reader.option("inferSchema", False).csv(paths)
+    elif infer_rows:
+        text = reader.option("inferSchema", False).csv(paths)
+        df = reader.schema(infer_text_types(text, infer_rows)).csv(paths)
+    else:
+        df = reader.option("inferSchema", True).csv(paths)
+    return df.withColumn("FILE_NAME", F.col("_metadata.file_name")) if with_file_name else df
 
 
 def infer_text_types(df: DataFrame, rows: int = INFER_ROWS) -> T.StructType:
@@ -98,23 +106,47 @@ def read_text_all(spark: SparkSession, path: str, kind: str = "csv", encoding: s
     return read_delimited(spark, path, delimiter=delimiter, quote='"', encoding=encoding, all_text=True)
 
 
-READERS = {
-    "parquet": lambda spark, path, **options: read_parquet(spark, path),
-    "csv": read_delimited,
-    "txt": read_delimited,
-}
+def header_groups(spark: SparkSession, paths: Sequence[str], encoding: str = "UTF-8") -> list[list[str]]:
+    """Paths grouped by equal first line, read in one distributed pass over the file heads."""
+
+    def heads(batches):
+        for batch in batches:
+            lines = []
+            for path in batch["path"]:
+                line = b""
+                with open_stream(path) as stream:
+                    while b"\n" not in line and (chunk := stream.read(65536)):
+                        line += chunk
+                lines.append(line.split(b"\n")[0].rstrip(b"\r").decode(encoding, "replace"))
+            yield batch.assign(line=lines)
 
+    frame = spark.createDataFrame([(p,) for p in paths], "path string").repartition(min(len(paths), 64))
+    found = frame.mapInPandas(heads, "path string, line string")
+    rows = found.groupBy("line").agg(F.array_sort(F.collect_list("path")).alias("paths")).collect()
+    return sorted((list(r["paths"]) for r in rows), key=lambda group: group[0])
 
-def read_files(spark: SparkSession, paths: str | Sequence[str], fmt: str, **options) -> DataFrame:
-    """One path or several as one DataFrame, united by column name, missing columns NULL."""
+
+def read_files(
+    spark: SparkSession, paths: str | Sequence[str], fmt: str, with_file_name: bool = False, **options
+) -> DataFrame:
+    """One path or several as one DataFrame, united by column name, missing columns NULL.
+
+    Delimited files with the same header share one scan, so many files stay one small plan.
+    ``with_file_name`` adds FILE_NAME, the file each row came from.
+    """
+    many = [paths] if isinstance(paths, str) else list(paths)
+    if fmt == "parquet":
+        df = spark.read.option("mergeSchema", len(many) > 1).parquet(*many)
+        return df.withColumn("FILE_NAME", F.col("_metadata.file_name")) if with_file_name else df
+    if fmt in ("csv", "txt"):
+        groups = [many] if len(many) == 1 else header_groups(spark, many, options.get("encoding", "UTF-8"))
+        return union_by_name([read_delimited(spark, g, with_file_name=with_file_name, **options) for g in groups])
     if fmt in ("xlsx", "excel"):
         from millrace.sources.workbook import read_workbook
 
-        reader = read_workbook
-    elif fmt in READERS:
-        reader = READERS[fmt]
-    else:
-        raise ValueError(f"unknown source format {fmt}")
-    if isinstance(paths, str):
-        return reader(spark, paths, **options)
-    return union_by_name([reader(spark, p, **options) for p in paths])
+        frames = []
+        for path in many:
+            df = read_workbook(spark, path, **options)
+            frames.append(df.withColumn("FILE_NAME", F.lit(path.rsplit("/", 1)[-1])) if with_file_name else df)
+        return union_by_name(frames)
+    raise ValueError(f"unknown source format {fmt}")

@@ -26,18 +26,17 @@ def is_query(text: str) -> bool:
     return re.search(r"\bselect\s", text, re.IGNORECASE) is not None
 
 
-def read_jdbc(
-    spark: SparkSession,
+def read_options(
     connection: JdbcConnection,
     source: str,
     partition_column: str | None = None,
     lower: object = None,
     upper: object = None,
-    partitions: int | None = None,
+    partitions: int = 4,
     fetch_size: int = FETCH_SIZE,
     prepare: str | None = None,
-) -> DataFrame:
-    """A table, or a query as a derived table.
+) -> dict[str, str]:
+    """Reader options for a table, or for a query as a derived table.
 
     With a partition column and bounds, ``partitions`` tasks read side by side; without, one
     task reads all. ``prepare`` takes the ``WITH`` part of a query that starts with one.
@@ -47,26 +46,26 @@ def read_jdbc(
     if prepare:
         options["prepareQuery"] = prepare
     if partition_column:
-        tasks = partitions or spark.sparkContext.defaultParallelism
+        if lower is None or upper is None:
+            raise ValueError("a partition column needs bounds")
         options |= {
             "partitionColumn": partition_column,
             "lowerBound": str(lower),
             "upperBound": str(upper),
-            "numPartitions": str(tasks),
+            "numPartitions": str(partitions),
         }
-    return spark.read.format("jdbc").options(**options).load()
+    return options
 
 
-def write_jdbc(
-    df: DataFrame,
-    connection: JdbcConnection,
-    table: str,
-    mode: str = "append",
-    partitions: int | None = None,
-    batch_size: int = BATCH_SIZE,
-) -> None:
-    """Insert in batches, READ_COMMITTED. A retried task would insert twice, so a caller that
-    needs exactly-once loads a staging table and moves it in one statement."""
+def read_jdbc(spark: SparkSession, connection: JdbcConnection, source: str, **options) -> DataFrame:
+    """Table or query of a database; options as in :func:`read_options`."""
+    return spark.read.format("jdbc").options(**read_options(connection, source, **options)).load()
+
+
+def write_options(
+    connection: JdbcConnection, table: str, partitions: int | None = None, batch_size: int = BATCH_SIZE
+) -> dict[str, str]:
+    """Writer options: big insert batches, READ_COMMITTED."""
     options = {
         **connection.common(),
         "dbtable": table,
@@ -75,4 +74,10 @@ def write_jdbc(
     }
     if partitions:
         options["numPartitions"] = str(partitions)
-    df.write.format("jdbc").mode(mode).options(**options).save()
+    return options
+
+
+def write_jdbc(df: DataFrame, connection: JdbcConnection, table: str, mode: str = "append", **options) -> None:
+    """Insert in batches. A retried task would insert twice, so a caller that needs
+    exactly-once loads a staging table and moves it in one statement."""
+    df.write.format("jdbc").mode(mode).options(**write_options(connection, table, **options)).save()

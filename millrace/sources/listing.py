@@ -7,8 +7,10 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.functions.text import base_name, human_size, parent_path
+from millrace.sources.streams import open_stream
 
 CHUNK = 8 * 1024 * 1024
 HEAD_BYTES = 64 * 1024
@@ -38,14 +40,6 @@ def list_with_fallback(primary: DataFrame, archive: DataFrame) -> DataFrame:
     return primary.unionByName(archive.where(found == 0))
 
 
-def _open(path: str):
-    from pyarrow import fs
-
-    uri = path.replace("file:/", "file:///", 1) if path.startswith("file:/") and not path.startswith("file://") else path
-    system, inner = fs.FileSystem.from_uri(uri)
-    return system.open_input_stream(inner)
-
-
 def _hash_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     import hashlib
 
@@ -53,21 +47,20 @@ def _hash_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         digests = []
         for parent, name in zip(batch["parent_path"], batch["filename"]):
             digest = hashlib.blake2b()
-            with _open(f"{parent}/{name}") as stream:
+            with open_stream(f"{parent}/{name}") as stream:
                 while chunk := stream.read(CHUNK):
                     digest.update(chunk)
             digests.append(digest.hexdigest())
         yield batch.assign(hash_check_sum=digests)
 
 
-def hash_files(listing: DataFrame, files_per_task: int = 1) -> DataFrame:
+def hash_files(listing: DataFrame) -> DataFrame:
     """Listing with the BLAKE2b of every file, read in chunks of fixed size inside the tasks.
 
     Files of any size fit, and the listing is spread so that big files hash side by side.
     """
-    spark = listing.sparkSession
-    slots = max(spark.sparkContext.defaultParallelism // max(files_per_task, 1), 1)
-    schema = listing.schema.add("hash_check_sum", "string")
+    slots = listing.sparkSession.sparkContext.defaultParallelism
+    schema = T.StructType([*listing.schema.fields, T.StructField("hash_check_sum", T.StringType())])
     return listing.repartition(slots, "filename").mapInPandas(_hash_batches, schema)
 
 
@@ -94,8 +87,9 @@ def detect_encoding(listing: DataFrame, fallback: str = "ISO-8859-1") -> DataFra
         for batch in batches:
             names = []
             for parent, name in zip(batch["parent_path"], batch["filename"]):
-                with _open(f"{parent}/{name}") as stream:
+                with open_stream(f"{parent}/{name}") as stream:
                     names.append(_encoding_of(stream.read(HEAD_BYTES), fallback))
             yield batch.assign(encoding=names)
 
-    return listing.mapInPandas(detect, listing.schema.add("encoding", "string"))
+    schema = T.StructType([*listing.schema.fields, T.StructField("encoding", T.StringType())])
+    return listing.mapInPandas(detect, schema)

@@ -46,5 +46,6 @@ def from_memory(spark: SparkSession, data: DataFrame | pd.DataFrame | Callable)
     if callable(data) and not isinstance(data, (DataFrame, pd.DataFrame)):
         import inspect
 
-        data = data(spark) if inspect.signature(data).parameters else data()
+        wanted = [p for p in inspect.signature(data).parameters.values() if p.default is p.empty]
+        data = data(spark) if wanted else data()
     return data if isinstance(data, DataFrame) else spark.createDataFrame(data)

@@ -20,8 +20,15 @@ from millrace.sources.files import infer_text_types
 HEADER_ROWS = 50  # fixed value: rows searched for the header
 INFER_ROWS = 500  # fixed value: rows looked at for types
 
-CELL_ROWS = T.StructType.fromDDL(
-    "path string, sheet_index int, sheet string, row_index int, first_col int, cells array<string>"
+CELL_ROWS = T.StructType(
+    [
+        T.StructField("path", T.StringType()),
+        T.StructField("sheet_index", T.IntegerType()),
+        T.StructField("sheet", T.StringType()),
+        T.StructField("row_index", T.IntegerType()),
+        T.StructField("first_col", T.IntegerType()),
+        T.StructField("cells", T.ArrayType(T.StringType())),
+    ]
 )
 
 
@@ -115,12 +122,16 @@ def _cell_batches(batches: Iterator[pd.DataFrame], flush: int = 5000) -> Iterato
                 yield pd.DataFrame(rows, columns=names)
 
 
-def workbook_rows(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """Every row of every sheet as an array of cell texts."""
-    files = spark.read.format("binaryFile").load(paths if isinstance(paths, str) else list(paths))
+def rows_of(files: DataFrame) -> DataFrame:
+    """Every row of every sheet of the workbooks in ``files`` (path, content), as an array of texts."""
     return files.select("path", "content").mapInPandas(_cell_batches, CELL_ROWS)
 
 
+def workbook_rows(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """:func:`rows_of` the workbooks at ``paths``."""
+    return rows_of(spark.read.format("binaryFile").load(paths if isinstance(paths, str) else list(paths)))
+
+
 def cell_table(rows: DataFrame) -> DataFrame:
     """One line per filled cell: path, sheet, row, column, value."""
     cells = rows.select(
