@@ -28,17 +28,17 @@ NAME_RULES = (
     (r"<", r"<", "lt_"),
     (r"[^\w]+", r"[^\p{L}\p{N}_]+", "_"),
     (r"^(?=\d)", r"^(?=\p{Nd})", "C_"),
-    (r"^_", r"^_", ""),
-    (r"_$", r"_$", ""),
-    (r"_+", r"_+", "_"),
+    (r"^_|_$", r"^_|_$", ""),
+    (r"_{2,}", r"_{2,}", "_"),
 )
 
 _FOLD = str.maketrans(ACCENT_FROM, ACCENT_TO)
 
 
 def fold_accents(col: Column | str) -> Column:
-    """Vietnamese letters of a column to plain ASCII, both cases."""
-    return F.translate(F.col(col) if isinstance(col, str) else col, ACCENT_FROM, ACCENT_TO)
+    """Vietnamese letters of a column to plain ASCII, both cases. Pure ASCII passes untouched."""
+    text = F.col(col) if isinstance(col, str) else col
+    return F.when(F.octet_length(text) == F.length(text), text).otherwise(F.translate(text, ACCENT_FROM, ACCENT_TO))
 
 
 def normalize_name(name: str) -> str:
@@ -50,11 +50,17 @@ def normalize_name(name: str) -> str:
 
 
 def normalize_values(col: Column | str) -> Column:
-    """The naming convention applied to the values of a column."""
-    out = F.col(col) if isinstance(col, str) else col
+    """The naming convention applied to the values of a column.
+
+    Accents are folded first: letters stay letters, so the order of that step is free.
+    """
+    out = fold_accents(col)
     for _, pattern, replacement in NAME_RULES:
-        out = F.regexp_replace(out, pattern, replacement)
-    return F.upper(fold_accents(out))
+        if re.escape(pattern) == pattern:
+            out = F.replace(out, F.lit(pattern), F.lit(replacement))
+        else:
+            out = F.regexp_replace(out, pattern, replacement)
+    return F.upper(out)
 
 
 def normalize_columns(df: DataFrame) -> DataFrame:

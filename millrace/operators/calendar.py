@@ -72,9 +72,14 @@ def date_spine(start: Column | str, end: Column | str, mode: str = "daily", inte
     step = F.when(start > end, -size * interval).otherwise(size * interval)
     if kind == "day":
         return F.sequence(start, end, F.make_dt_interval(step))
+    late, last = F.date_add(start, 1), F.date_add(end, 1)
     count = F.ceil(F.abs(F.months_between(start, end)) / (size * interval)).cast("int") + 1
-    dates = F.transform(_month_steps(F.date_add(start, 1), count, step), lambda d: F.date_sub(d, 1))
-    return F.filter(dates, lambda d: F.when(start > end, d >= end).otherwise(d <= end))
+    stepped = F.filter(
+        _month_steps(late, count, step), lambda d: F.when(start > end, d >= last).otherwise(d <= last)
+    )
+    # No month cuts a day up to 28, so a plain sequence gives the same dates.
+    plain = F.sequence(late, last, F.make_ym_interval(F.lit(0), step))
+    return F.transform(F.when(F.dayofmonth(late) <= 28, plain).otherwise(stepped), lambda d: F.date_sub(d, 1))
 
 
 def run_dates(
@@ -101,7 +106,7 @@ def resolve_run_dates(
             F.lit(value["start_date"]).cast("date").alias("s"), F.lit(value["end_date"]).cast("date").alias("e")
         )
         spine = date_spine("s", "e", value.get("mode", "daily"), int(value.get("interval", 1)))
-        return one.select(F.explode(spine).cast("string").alias("run_date"))
+        return one.select(F.explode(spine.cast("array<string>")).alias("run_date"))
     if value:
         dates = list(value) if isinstance(value, (list, tuple)) else [value]
     elif logical_date is not None:

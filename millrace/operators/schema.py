@@ -185,6 +185,19 @@ def width_profile(df: DataFrame, limit: int = TEXT_LIMIT) -> DataFrame:
     return profile.withColumn("over_limit", F.coalesce(F.col("max_length") > limit, F.lit(False)))
 
 
+def require_width(df: DataFrame, limit: int = TEXT_LIMIT) -> DataFrame:
+    """Fail on a text longer than the sink column while the rows stream by."""
+    checked = {}
+    for f in df.schema.fields:
+        if isinstance(f.dataType, T.StringType):
+            message = F.lit(f"text longer than {limit} in column {f.name}")
+            fits = F.length(f.name) <= limit
+            checked[f.name] = F.when(F.col(f.name).isNull() | fits, F.col(f.name)).otherwise(
+                F.raise_error(message).cast("string")
+            )
+    return df.withColumns(checked) if checked else df
+
+
 def column_metadata(df: DataFrame) -> DataFrame:
     """Column id, name, type and nullability as a DataFrame."""
     rows = [(i + 1, f.name, f.dataType.simpleString(), f.nullable) for i, f in enumerate(df.schema.fields)]

@@ -19,7 +19,7 @@ from millrace.operators.changes import (
     new_files,
     unlogged,
 )
-from millrace.operators.refresh import Mode, RefreshSpec, parse_mode
+from millrace.operators.refresh import Mode, RefreshSpec, as_datetime, parse_mode
 from millrace.operators.relational import group_bounds
 from millrace.operators.schema import SchemaPolicy, Transform, new_fields, reconcile
 from millrace.plans.events import EventLog, logged
@@ -243,8 +243,13 @@ def history_job(
     ctx: RunContext,
     transforms: Transform | Sequence[Transform] | None = None,
     events: EventLog | None = None,
+    run_dates: DataFrame | None = None,
 ) -> int:
-    """Bulk history: every month in the source replaces that month of the table, in one job."""
+    """Bulk history: every month in the source replaces that month of the table, in one job.
+
+    ``run_dates`` (see ``resolve_run_dates``) names months to replace even if the source is
+    empty there.
+    """
     if table.interval != "MONTHLY" or not table.partition_column:
         raise ValueError("history needs a table in monthly slices")
 
@@ -252,7 +257,8 @@ def history_job(
         df = normalize_columns(source.read(spark))
         steps = [*_steps(transforms), lambda d: add_audit(d, ctx)]
         ready = reconcile(df, table.schema if table.exists else None, steps, metadata=table)
-        return table.refresh_slices(ready)
+        due = [as_datetime(r[0]).date() for r in run_dates.collect()] if run_dates is not None else []
+        return table.refresh_slices(ready, due)
 
     return logged(events, ctx, table.name, source.tables(), source.fmt, "HISTORY", work)
 

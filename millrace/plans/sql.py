@@ -38,7 +38,8 @@ def run_sql(
 ) -> DataFrame:
     """Run a query. ``refs`` are inputs by view name, ``params`` fill ``:name`` markers as
     values, ``args`` fill ``[[ name ]]`` as text. The date macros are available."""
-    register_macros(spark)
+    if not spark.catalog.functionExists("text_to_datetime"):
+        register_macros(spark)
     for name, df in (refs or {}).items():
         df.createOrReplaceTempView(name)
     return spark.sql(render(text, args or {}), args=dict(params or {}))

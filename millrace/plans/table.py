@@ -130,19 +130,29 @@ class WarehouseTable:
             return fitted
         return fitted.withColumn(SLICE, slice_start(self.partition_column, self.interval))
 
-    def _insert(self, rows: DataFrame, name: str, overwrite: bool = False) -> int:
-        """Write sliced rows. The rebalance keeps files few and splits a slice too big for one task."""
+    def _insert(self, rows: DataFrame, name: str, overwrite: bool = False, spread: bool = True) -> int:
+        """Write sliced rows; returns their number.
+
+        Rows of many slices are rebalanced by slice first: without it every task would open a
+        file in every slice. The rebalance merges small slices into one task and splits a
+        slice too big for one. Rows of one slice, or of an unsliced table, need no shuffle.
+        """
         counted = Observation()
         rows = rows.observe(counted, F.count(F.lit(1)).alias("n"))
-        spread = rows.hint("rebalance", F.col(SLICE)) if self.partition_column else rows.hint("rebalance")
-        spread.write.mode("overwrite" if overwrite else "append").insertInto(name)
+        if self.partition_column and spread:
+            rows = rows.hint("rebalance", F.col(SLICE))
+        rows.write.mode("overwrite" if overwrite else "append").insertInto(name)
         return counted.get["n"]
 
-    def append(self, df: DataFrame) -> int:
-        """Add rows; nothing is deleted. Creates the table if it is missing."""
+    def append(self, df: DataFrame, clustered: bool = False) -> int:
+        """Add rows; nothing is deleted. Creates the table if it is missing.
+
+        ``clustered`` says that the input is already ordered by the partition column, so that
+        every task sees few slices and the shuffle can be left out.
+        """
         if not self.exists:
             self.create(df.schema)
-        return self._insert(self._sliced(df, self.schema), self.name)
+        return self._insert(self._sliced(df, self.schema), self.name, spread=not clustered)
 
     def replace(self, df: DataFrame) -> int:
         """Full refresh: the table gets the rows and the schema of ``df``."""
@@ -269,16 +279,30 @@ class WarehouseTable:
         if affected:
             rows = survivors(target.where(self._slice_in(affected))).unionByName(rows)
         if incoming or kept:
-            self._insert(rows.select(target.columns), self.name, overwrite=True)
+            many = len(affected | incoming) > 1
+            self._insert(rows.select(target.columns), self.name, overwrite=True, spread=many)
         for emptied in bare - kept:
             self.purge(emptied)
         return batch.count()
 
-    def refresh_slices(self, batch: DataFrame, staged: bool = True) -> int:
-        """Replace every slice that occurs in the batch: many months in one job, no target read."""
+    def refresh_slices(self, batch: DataFrame, due: Sequence[date] = ()) -> int:
+        """Replace every slice that occurs in the batch: many months in one job, no target read.
+
+        ``due`` names slices to replace even if the batch has no row for them.
+        """
         if not self.exists:
             return self.append(batch)
-        return self._insert(self._sliced(batch, self.schema), self.name, overwrite=True)
+        if not due:
+            return self._insert(self._sliced(batch, self.schema), self.name, overwrite=True)
+
+        def work(rows: DataFrame) -> int:
+            sliced = self._sliced(rows, self.schema)
+            wanted = {slice_start_of(_midnight(d), self.interval) for d in due}
+            for emptied in (wanted & set(self.slices())) - self._slices_of(sliced):
+                self.purge(emptied)
+            return self._insert(sliced, self.name, overwrite=True)
+
+        return self._with_stage(self._aligned(batch), False, work)
 
     def delete(self, condition: Column) -> None:
         """Delete by predicate: rewrites the slices with hits and drops those left empty."""

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.operators.relational import union_by_name
-from millrace.sources.streams import open_stream
+from millrace.sources.streams import head_of
 
 TEXT_DELIMITER = "|"  # fixed value: delimiter of text files unless given
 INFER_ROWS = 50000  # fixed value: rows looked at by sampled inference
@@ -20,10 +20,19 @@ def read_parquet(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     return spark.read.parquet(*([paths] if isinstance(paths, str) else paths))
 
 
-def first_lines(spark: SparkSession, paths: Sequence[str], encoding: str = "UTF-8") -> list[str]:
-    """First line of every path, in order; each read stops after one line."""
-    reader = spark.read.option("encoding", encoding)
-    return [(reader.text(p).head() or [""])[0] for p in paths]
+def file_heads(spark: SparkSession, paths: str | Sequence[str], encoding: str = "UTF-8") -> DataFrame:
+    """Encoding and first line of every file under ``paths`` (files, folders or globs).
+
+    Only the first bytes of each file are read, inside the tasks. ``auto`` detects encodings.
+    """
+
+    def heads(batches):
+        for batch in batches:
+            found = [head_of(path, encoding) for path in batch["path"]]
+            yield batch.assign(encoding=[e for e, _ in found], line=[line for _, line in found])
+
+    listed = spark.read.format("binaryFile").load([paths] if isinstance(paths, str) else list(paths)).select("path")
+    return listed.mapInPandas(heads, "path string, encoding string, line string")
 
 
 def choose_delimiter(line: str, given: str, default: str = TEXT_DELIMITER, fallback: str = ",") -> str:
@@ -54,9 +63,11 @@ def read_delimited(
     :func:`read_files` for paths that differ.
     """
     paths = [path] if isinstance(path, str) else list(path)
-    if auto_delimiter:
-        delimiter = choose_delimiter(first_lines(spark, paths[:1], encoding)[0], delimiter)
-    lines = bool(quote) if multi_line is None else multi_line
+    if auto_delimiter or encoding == "auto":
+        head = file_heads(spark, paths, encoding).orderBy("path").first()
+        encoding = head["encoding"]
+        delimiter = choose_delimiter(head["line"], delimiter) if auto_delimiter else delimiter
+    lines = bool(quote) or encoding == "UTF-16" if multi_line is None else multi_line
     reader = spark.read.options(
         header=True, delimiter=delimiter, quote=quote, escape="\\", encoding=encoding, multiLine=lines
     )
@@ -72,30 +83,37 @@ def read_delimited(
     return df.withColumn("FILE_NAME", F.col("_metadata.file_name")) if with_file_name else df
 
 
+# Types tried in order, each with the look a text must have. The cast alone would take "y" for
+# a boolean, "1d" for a number, and would cut the time off a timestamp.
+TEXT_TYPES = (
+    (T.IntegerType(), r"^[+-]?\d+$"),
+    (T.LongType(), r"^[+-]?\d+$"),
+    (T.DoubleType(), r"^([+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|NaN|[+-]?Infinity)$"),
+    (T.BooleanType(), r"^(?i)(true|false)$"),
+    (T.DateType(), r"^\d{4}-\d{1,2}-\d{1,2}$"),
+    (T.TimestampNTZType(), r"^\d{4}-\d{1,2}-\d{1,2}[T ]?.*$"),
+)
+
+
 def infer_text_types(df: DataFrame, rows: int = INFER_ROWS) -> T.StructType:
-    """Narrowest type that fits each text column in the first ``rows`` rows."""
-    kinds = ["int", "bigint", "double", "boolean", "date", "timestamp_ntz"]
+    """Narrowest type that fits each text column in the first ``rows`` rows; one aggregate."""
     names = df.columns
-    fits = [
-        F.count_if(F.col(f"`{c}`").isNotNull() & F.col(f"`{c}`").try_cast(k).isNull()).alias(f"{i}_{k}")
+
+    def misfit(name: str, dtype: T.DataType, look: str) -> Column:
+        text = F.col(f"`{name}`")
+        return text.isNotNull() & ~(text.rlike(look) & text.try_cast(dtype).isNotNull())
+
+    misfits = [
+        F.count_if(misfit(c, dtype, look)).alias(f"{i}_{k}")
         for i, c in enumerate(names)
-        for k in kinds
+        for k, (dtype, look) in enumerate(TEXT_TYPES)
     ]
     filled = [F.count(F.col(f"`{c}`")).alias(f"{i}_n") for i, c in enumerate(names)]
-    row = df.limit(rows).agg(*fits, *filled).first()
-    types = {
-        "int": T.IntegerType(),
-        "bigint": T.LongType(),
-        "double": T.DoubleType(),
-        "boolean": T.BooleanType(),
-        "date": T.DateType(),
-        "timestamp_ntz": T.TimestampNTZType(),
-    }
+    row = df.limit(rows).agg(*misfits, *filled).first()
 
     def pick(i: int) -> T.DataType:
-        if row[f"{i}_n"] == 0:
-            return T.StringType()
-        return next((types[k] for k in kinds if row[f"{i}_{k}"] == 0), T.StringType())
+        fitting = [dtype for k, (dtype, _) in enumerate(TEXT_TYPES) if row[f"{i}_{k}"] == 0]
+        return fitting[0] if fitting and row[f"{i}_n"] else T.StringType()
 
     return T.StructType([T.StructField(c, pick(i), True) for i, c in enumerate(names)])
 
@@ -106,24 +124,14 @@ def read_text_all(spark: SparkSession, path: str, kind: str = "csv", encoding: s
     return read_delimited(spark, path, delimiter=delimiter, quote='"', encoding=encoding, all_text=True)
 
 
-def header_groups(spark: SparkSession, paths: Sequence[str], encoding: str = "UTF-8") -> list[list[str]]:
-    """Paths grouped by equal first line, read in one distributed pass over the file heads."""
-
-    def heads(batches):
-        for batch in batches:
-            lines = []
-            for path in batch["path"]:
-                line = b""
-                with open_stream(path) as stream:
-                    while b"\n" not in line and (chunk := stream.read(65536)):
-                        line += chunk
-                lines.append(line.split(b"\n")[0].rstrip(b"\r").decode(encoding, "replace"))
-            yield batch.assign(line=lines)
-
-    frame = spark.createDataFrame([(p,) for p in paths], "path string").repartition(min(len(paths), 64))
-    found = frame.mapInPandas(heads, "path string, line string")
-    rows = found.groupBy("line").agg(F.array_sort(F.collect_list("path")).alias("paths")).collect()
-    return sorted((list(r["paths"]) for r in rows), key=lambda group: group[0])
+def header_groups(
+    spark: SparkSession, paths: Sequence[str], encoding: str = "UTF-8"
+) -> list[tuple[str, list[str]]]:
+    """Files grouped by equal encoding and first line: (encoding, files of the group)."""
+    groups: dict[tuple[str, str], list[str]] = {}
+    for row in file_heads(spark, paths, encoding).orderBy("path").collect():
+        groups.setdefault((row["encoding"], row["line"]), []).append(row["path"])
+    return [(found, files) for (found, _), files in groups.items()]
 
 
 def read_files(
@@ -139,8 +147,11 @@ def read_files(
         df = spark.read.option("mergeSchema", len(many) > 1).parquet(*many)
         return df.withColumn("FILE_NAME", F.col("_metadata.file_name")) if with_file_name else df
     if fmt in ("csv", "txt"):
-        groups = [many] if len(many) == 1 else header_groups(spark, many, options.get("encoding", "UTF-8"))
-        return union_by_name([read_delimited(spark, g, with_file_name=with_file_name, **options) for g in groups])
+        encoding = options.pop("encoding", "UTF-8")
+        groups = [(encoding, many)] if len(many) == 1 else header_groups(spark, many, encoding)
+        return union_by_name(
+            [read_delimited(spark, g, encoding=e, with_file_name=with_file_name, **options) for e, g in groups]
+        )
     if fmt in ("xlsx", "excel"):
         from millrace.sources.workbook import read_workbook
 

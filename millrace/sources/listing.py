@@ -10,10 +10,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions.text import base_name, human_size, parent_path
-from millrace.sources.streams import open_stream
+from millrace.sources.streams import HEAD_BYTES, encoding_of, open_stream
 
 CHUNK = 8 * 1024 * 1024
-HEAD_BYTES = 64 * 1024
 
 
 def list_directory(spark: SparkSession, path: str, pattern: str | None = None, recursive: bool = False) -> DataFrame:
@@ -64,19 +63,6 @@ def hash_files(listing: DataFrame) -> DataFrame:
     return listing.repartition(slots, "filename").mapInPandas(_hash_batches, schema)
 
 
-def _encoding_of(head: bytes, fallback: str) -> str:
-    import codecs
-
-    for mark, name in ((codecs.BOM_UTF8, "UTF-8"), (codecs.BOM_UTF16_LE, "UTF-16"), (codecs.BOM_UTF16_BE, "UTF-16")):
-        if head.startswith(mark):
-            return name
-    try:
-        codecs.getincrementaldecoder("utf-8")().decode(head)
-    except UnicodeDecodeError:
-        return fallback
-    return "UTF-8"
-
-
 def detect_encoding(listing: DataFrame, fallback: str = "ISO-8859-1") -> DataFrame:
     """Listing with ``encoding``: byte order mark, else valid UTF-8, else ``fallback``.
 
@@ -88,7 +74,7 @@ def detect_encoding(listing: DataFrame, fallback: str = "ISO-8859-1") -> DataFra
             names = []
             for parent, name in zip(batch["parent_path"], batch["filename"]):
                 with open_stream(f"{parent}/{name}") as stream:
-                    names.append(_encoding_of(stream.read(HEAD_BYTES), fallback))
+                    names.append(encoding_of(stream.read(HEAD_BYTES), fallback))
             yield batch.assign(encoding=names)
 
     schema = T.StructType([*listing.schema.fields, T.StructField("encoding", T.StringType())])

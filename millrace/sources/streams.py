@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+HEAD_BYTES = 64 * 1024
+
 
 def open_stream(path: str):
     """Input stream of a file by path or URI."""
@@ -10,3 +12,30 @@ def open_stream(path: str):
     short = path.startswith("file:/") and not path.startswith("file://")
     system, inner = fs.FileSystem.from_uri(path.replace("file:/", "file:///", 1) if short else path)
     return system.open_input_stream(inner)
+
+
+def encoding_of(head: bytes, fallback: str = "ISO-8859-1") -> str:
+    """Encoding of a file by its first bytes: byte order mark, else valid UTF-8, else ``fallback``."""
+    import codecs
+
+    for mark, name in ((codecs.BOM_UTF8, "UTF-8"), (codecs.BOM_UTF16_LE, "UTF-16"), (codecs.BOM_UTF16_BE, "UTF-16")):
+        if head.startswith(mark):
+            return name
+    try:
+        # A cut head may end inside a letter; a whole file may not.
+        codecs.getincrementaldecoder("utf-8")().decode(head, final=len(head) < HEAD_BYTES)
+    except UnicodeDecodeError:
+        return fallback
+    return "UTF-8"
+
+
+def head_of(path: str, encoding: str) -> tuple[str, str]:
+    """Encoding and first line of a text file; ``auto`` detects the encoding."""
+    with open_stream(path) as stream:
+        head = stream.read(HEAD_BYTES)
+        known = encoding_of(head) if encoding == "auto" else encoding
+        text = head.decode(known, "ignore")
+        while "\n" not in text and (chunk := stream.read(HEAD_BYTES)):
+            head += chunk
+            text = head.decode(known, "ignore")
+    return known, text.removeprefix("\ufeff").split("\n")[0].rstrip("\r")

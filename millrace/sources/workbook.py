@@ -56,7 +56,35 @@ def parse_address(address: str) -> tuple[str, tuple[int, int, int | None, int |
     )
 
 
-def _sheet_rows(book, part: str, shared: list[str]) -> Iterator[tuple[int, dict[int, str | None]]]:
+def _date_styles(book) -> set[int]:
+    """Cell styles that show a number as a date or time."""
+    from xml.etree.ElementTree import fromstring
+
+    if "xl/styles.xml" not in book.namelist():
+        return set()
+    root = fromstring(book.read("xl/styles.xml"))
+    dated = set(range(14, 23)) | {45, 46, 47}  # fixed values: built-in date and time formats
+    for fmt in root.iter():
+        if fmt.tag.endswith("}numFmt"):
+            code = re.sub(r'"[^"]*"|\\.|\[(?![hms]+\])[^\]]*\]', "", fmt.get("formatCode", ""))
+            if re.search(r"[dmyhs]", code, re.IGNORECASE):
+                dated.add(int(fmt.get("numFmtId")))
+    cells = next((e for e in root if e.tag.endswith("}cellXfs")), ())
+    return {i for i, xf in enumerate(cells) if int(xf.get("numFmtId", 0)) in dated}
+
+
+def _date_text(serial: str, base_1904: bool) -> str:
+    """Serial number of a date cell as ISO text."""
+    from datetime import datetime, timedelta
+
+    base = datetime(1904, 1, 1) if base_1904 else datetime(1899, 12, 30)
+    moment = base + timedelta(milliseconds=round(float(serial) * 86400000))
+    return moment.isoformat(sep=" ", timespec="milliseconds").removesuffix(".000")
+
+
+def _sheet_rows(
+    book, part: str, shared: list[str], dated: set[int], base_1904: bool
+) -> Iterator[tuple[int, dict[int, str | None]]]:
     from xml.etree.ElementTree import iterparse
 
     def text_of(element) -> str:
@@ -82,6 +110,8 @@ def _sheet_rows(book, part: str, shared: list[str]) -> Iterator[tuple[int, dict[
                     raw = "true" if raw == "1" else "false"
                 elif kind == "e":
                     raw = None
+                elif kind == "n" and raw and int(cell.get("s", 0)) in dated:
+                    raw = _date_text(raw, base_1904)
                 values[col] = raw or None
             yield number, values
             next_row = number + 1
@@ -99,11 +129,14 @@ def _workbook_rows(content: bytes) -> Iterator[tuple[int, str, int, list[str | N
             for item in fromstring(book.read("xl/sharedStrings.xml")):
                 shared.append("".join(t.text or "" for t in item.iter() if t.tag.endswith("}t")))
         links = {r.get("Id"): r.get("Target") for r in fromstring(book.read("xl/_rels/workbook.xml.rels"))}
-        sheets = next(e for e in fromstring(book.read("xl/workbook.xml")) if e.tag.endswith("}sheets"))
+        dated = _date_styles(book)
+        main = fromstring(book.read("xl/workbook.xml"))
+        base_1904 = any(e.tag.endswith("}workbookPr") and e.get("date1904") in ("1", "true") for e in main)
+        sheets = next(e for e in main if e.tag.endswith("}sheets"))
         for index, sheet in enumerate(sheets):
             target = links[next(v for k, v in sheet.attrib.items() if k.endswith("}id"))].lstrip("/")
             part = target if target.startswith("xl/") else f"xl/{target}"
-            for number, values in _sheet_rows(book, part, shared):
+            for number, values in _sheet_rows(book, part, shared, dated, base_1904):
                 width = max(values, default=-1) + 1
                 yield index, sheet.get("name"), number, [values.get(c) for c in range(width)]
 

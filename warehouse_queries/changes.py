@@ -83,10 +83,12 @@ def new_files_newest(spark, d):
 
 @query(
     "masterdata_pick",
-    NEW_SQL + " AND filename > (SELECT max(filename) FROM imported) ORDER BY filename DESC LIMIT 1",
+    NEW_SQL + " AND filename > (SELECT max(filename) FROM files WHERE parent_path = 'fr') ORDER BY filename DESC LIMIT 1",
 )
 def masterdata_pick(spark, d):
-    return C.new_files(listing(spark, d), log(spark, d), imported(spark, d), masterdata=True)
+    """The sink holds all French files; the newest unlogged name above them is due."""
+    have = C.imported_names(listing(spark, d).where("parent_path = 'fr'").withColumnRenamed("filename", "FILE_NAME"))
+    return C.new_files(listing(spark, d), log(spark, d), have, masterdata=True)
 
 
 @query(
