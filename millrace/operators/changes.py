@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from millrace.functions.text import name_matches, stem, suffix
+from millrace.functions.text import stem, suffix
 
 FILES_PER_RUN = 20  # fixed value: cap of one incremental run
 
@@ -108,13 +108,14 @@ def new_files(
 ) -> DataFrame:
     """Files to load: not in the log, and not imported under the same name.
 
+    ``pattern`` is a regular expression found anywhere in the name.
     ``masterdata`` keeps only the newest name above everything imported. ``force_rerun``
     forgets the log rows whose name starts with the pattern. ``reload_modified`` also loads
     a file that changed but kept an imported name.
     """
     if pattern:
-        listing = listing.where(name_matches("filename", pattern) & F.col("st_size").isNotNull())
-        log = log.where(name_matches("filename", pattern))
+        listing = listing.where(F.col("filename").rlike(pattern) & F.col("st_size").isNotNull())
+        log = log.where(F.col("filename").rlike(pattern))
         if force_rerun:
             log = log.where(~F.startswith(F.col("filename"), F.lit(pattern)))
             if imported is not None:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 ROWS_PER_FILE = 1048576  # fixed value: rows of one output file
 
@@ -25,14 +26,27 @@ def write_delimited(
 ) -> int:
     """Text with header, UTF-8 and CRLF line ends; the name must contain ``.csv``.
 
+    A value is quoted only if it holds a delimiter, quote or line break; quotes are doubled,
+    NULL and empty text are empty, blanks at the ends stay, times are ``yyyy-MM-dd HH:mm:ss``
+    with their fraction if there is one. A line break inside a value is written as CRLF too.
     Tasks write side by side; ``single_file`` funnels the rows through one task, so it is
     only for exports a person opens.
     """
     if ".csv" not in path.lower():
         raise ValueError("the path must contain .csv")
-    rows, counter = _counted(df)
+    times = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType))]
+    rows, counter = _counted(df.withColumns({c: F.col(c).cast("string") for c in times}) if times else df)
     out = rows.coalesce(1) if single_file else rows
-    options = {"header": True, "delimiter": delimiter, "lineSep": "\r\n", "encoding": "UTF-8"}
+    options = {
+        "header": True,
+        "delimiter": delimiter,
+        "lineSep": "\r\n",
+        "encoding": "UTF-8",
+        "escape": '"',
+        "emptyValue": "",
+        "ignoreLeadingWhiteSpace": False,
+        "ignoreTrailingWhiteSpace": False,
+    }
     out.write.mode(mode).options(**options).csv(path)
     return counter.get["n"]
 

@@ -92,6 +92,14 @@ def test_delimited_export_is_crlf_text(spark, tmp_path):
     assert exports.write_delimited(df, path, single_file=True) == 2
     (part,) = (tmp_path / "out.csv").glob("part-*")
     assert part.read_bytes().splitlines(keepends=True)[:2] == [b"id|t\r\n", b"1|a\r\n"]
+    odd = spark.createDataFrame(
+        [(' a "b" ', "x|y", "", dt.datetime(2024, 1, 2, 3)), (None, "l\nm", "z", dt.datetime(2024, 1, 2, 3, 4, 5, 600000))],
+        "p string, q string, r string, t timestamp_ntz",
+    )
+    exports.write_delimited(odd, path, single_file=True)
+    (part,) = (tmp_path / "out.csv").glob("part-*")
+    text = part.read_bytes().decode()
+    assert text == 'p|q|r|t\r\n" a ""b"" "|"x|y"||2024-01-02 03:00:00\r\n|"l\r\nm"|z|2024-01-02 03:04:05.6\r\n'
     with pytest.raises(ValueError, match=".csv"):
         exports.write_delimited(df, str(tmp_path / "out"))
     with pytest.raises(ValueError, match="unknown sink format"):
