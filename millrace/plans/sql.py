@@ -37,12 +37,18 @@ def run_sql(
     params: Mapping[str, object] | None = None,
 ) -> DataFrame:
     """Run a query. ``refs`` are inputs by view name, ``params`` fill ``:name`` markers as
-    values, ``args`` fill ``[[ name ]]`` as text. The date macros are available."""
+    values, ``args`` fill ``[[ name ]]`` as text. The date macros are available. The query is
+    analysed at once, so the views are gone again afterwards."""
     if not spark.catalog.functionExists("text_to_datetime"):
         register_macros(spark)
-    for name, df in (refs or {}).items():
+    refs = refs or {}
+    for name, df in refs.items():
         df.createOrReplaceTempView(name)
-    return spark.sql(render(text, args or {}), args=dict(params or {}))
+    try:
+        return spark.sql(render(text, args or {}), args=dict(params or {}))
+    finally:
+        for name in refs:
+            spark.catalog.dropTempView(name)
 
 
 def create_views(

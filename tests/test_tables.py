@@ -130,7 +130,7 @@ def test_full_refresh_changes_schema_and_removes_old_files(spark, db):
     assert t.read().columns == ["k", "d", "FILE_NAME", "more"]
     assert keys(t) == [1, 2, 3, 4]
     assert not path_exists(spark, old)
-    assert len(spark.catalog.listTables(db)) == 1
+    assert [x.name for x in spark.catalog.listTables(db) if not x.isTemporary] == ["t"]
 
 
 @pytest.mark.parametrize("mode", ["PARTITION_MTD", "FULL"])
