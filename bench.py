@@ -7,7 +7,6 @@ time counts.
 import json
 import os
 import sys
-import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -54,7 +53,6 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     names = sys.argv[1:] or HEADLINE
-    scratch = tempfile.mkdtemp(prefix="bench-")
     spark = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("bench")
@@ -63,8 +61,6 @@ def main() -> None:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.checkpoint.dir", f"{scratch}/shared")
-        .config("spark.sql.warehouse.dir", f"{scratch}/warehouse")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("OFF")

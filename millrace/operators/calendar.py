@@ -62,6 +62,22 @@ def _month_steps(start: Column, count: Column, step: Column) -> Column:
     )
 
 
+def _month_spine(start: Column, end: Column, size: int) -> Column:
+    """Dates from ``start`` to ``end`` in steps of ``size`` months, descending if ``start`` is later."""
+    down = start > end
+    step = F.when(down, -size).otherwise(size)
+    # No month cuts a day up to 28, so a plain sequence gives the same dates.
+    plain = F.sequence(start, end, F.make_ym_interval(F.lit(0), step))
+    count = F.ceil(F.abs(F.months_between(start, end)) / size).cast("int") + 1
+    stepped = F.filter(_month_steps(start, count, step), lambda d: F.when(down, d >= end).otherwise(d <= end))
+    return F.when(F.dayofmonth(start) <= 28, plain).otherwise(stepped)
+
+
+def _ascending(start: Column, end: Column, dates: Column) -> Column:
+    """``dates``, or no date at all if ``start`` is after ``end``."""
+    return F.when(start <= end, dates).when(start > end, F.array().cast("array<date>"))
+
+
 def date_spine(start: Column | str, end: Column | str, mode: str = "daily", interval: int = 1) -> Column:
     """Array of dates from ``start`` to ``end``, both inclusive, descending if ``start`` is later.
 
@@ -69,17 +85,11 @@ def date_spine(start: Column | str, end: Column | str, mode: str = "daily", inte
     """
     start, end = _c(start).cast("date"), _c(end).cast("date")
     kind, size = UNITS[mode]
-    step = F.when(start > end, -size * interval).otherwise(size * interval)
     if kind == "day":
+        step = F.when(start > end, -size * interval).otherwise(size * interval)
         return F.sequence(start, end, F.make_dt_interval(step))
-    late, last = F.date_add(start, 1), F.date_add(end, 1)
-    count = F.ceil(F.abs(F.months_between(start, end)) / (size * interval)).cast("int") + 1
-    stepped = F.filter(
-        _month_steps(late, count, step), lambda d: F.when(start > end, d >= last).otherwise(d <= last)
-    )
-    # No month cuts a day up to 28, so a plain sequence gives the same dates.
-    plain = F.sequence(late, last, F.make_ym_interval(F.lit(0), step))
-    return F.transform(F.when(F.dayofmonth(late) <= 28, plain).otherwise(stepped), lambda d: F.date_sub(d, 1))
+    late = _month_spine(F.date_add(start, 1), F.date_add(end, 1), size * interval)
+    return F.transform(late, lambda d: F.date_sub(d, 1))
 
 
 def run_dates(
@@ -127,10 +137,9 @@ def partition_boundaries(
     if interval not in INTERVALS:
         raise NotImplementedError(f"{interval} is not supported")
     kind, size = INTERVALS[interval]
-    if kind == "day":
-        return F.sequence(start, end, F.make_dt_interval(F.lit(size)))
-    count = (F.floor(F.months_between(end, start) / size) + 1).cast("int")
-    return F.filter(_month_steps(start, count, F.lit(size)), lambda d: d <= end)
+    start, end = start.cast("date"), end.cast("date")
+    days = F.sequence(start, end, F.make_dt_interval(F.lit(size)))
+    return _ascending(start, end, days if kind == "day" else _month_spine(start, end, size))
 
 
 def partition_number(
@@ -191,12 +200,8 @@ def dated_path_list(
     """Array of ``prefix/yyyy/MM/dd/`` paths, one per step from ``start`` to ``end``."""
     start, end = _c(start).cast("date"), _c(end).cast("date")
     kind, size = UNITS[mode]
-    if kind == "day":
-        dates = F.when(start <= end, F.sequence(start, end, F.make_dt_interval(F.lit(size))))
-        dates = F.coalesce(dates, F.array().cast("array<date>"))
-    else:
-        count = F.greatest(F.ceil(F.months_between(end, start) / size).cast("int") + 1, F.lit(0))
-        dates = F.filter(_month_steps(start, count, F.lit(size)), lambda d: d <= end)
+    days = F.sequence(start, end, F.make_dt_interval(F.lit(size)))
+    dates = _ascending(start, end, days if kind == "day" else _month_spine(start, end, size))
     head = prefix.rstrip("/") + "/"
     return F.transform(dates, lambda d: F.concat(F.lit(head), F.date_format(d, pattern), F.lit("/")))
 

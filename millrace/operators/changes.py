@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from millrace.functions.text import stem, suffix
+from millrace.operators.joins import join_groups
 
 FILES_PER_RUN = 20  # fixed value: cap of one incremental run
 
@@ -54,10 +55,10 @@ def retention_expired(
         .groupBy(*keys)
         .agg(F.min(marks).alias("_cutoff"), F.count("*").alias("_kept"))
         .where(F.col("_kept") >= n)
-        .select(*[F.col(k).alias(f"_k_{k}") for k in keys], "_cutoff")
+        .select(*keys, "_cutoff")
     )
-    same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys])
-    return df.join(cutoff, same).where(marks < F.col("_cutoff")).select(df.columns)
+    joined = join_groups(df, cutoff, keys, "inner", null_group=True)
+    return joined.where(marks < F.col("_cutoff")).select(df.columns)
 
 
 def latest_by_pattern(listing: DataFrame, patterns: Sequence[str], name: str = "filename") -> DataFrame:
@@ -153,9 +154,8 @@ def changed_content(
 ) -> DataFrame:
     """``current`` with ``is_changed``: the hash differs from the newest logged one, or none is logged."""
     last = latest_per_key(log.select(key, content_hash, *order), [key], list(order))
-    last = last.select(F.col(key).alias("_key"), F.col(content_hash).alias("_hash"))
-    joined = current.join(last, F.col(key) == F.col("_key"), "left")
-    return joined.withColumn("is_changed", ~F.col(content_hash).eqNullSafe(F.col("_hash"))).drop("_key", "_hash")
+    joined = join_groups(current, last.select(key, F.col(content_hash).alias("_hash")), [key])
+    return joined.withColumn("is_changed", ~F.col(content_hash).eqNullSafe(F.col("_hash"))).drop("_hash")
 
 
 def copy_plan(
@@ -171,8 +171,8 @@ def copy_plan(
     A target pattern with ``*`` gets the run date: ``<stem>_<yyyyMMdd><suffix>``.
     """
     newest = [latest_per_key(df.select(group, "filename", "content_hash"), [group], ["filename"]) for df in (source, sink)]
-    last_sink = newest[1].select(F.col(group).alias("_group"), F.col("content_hash").alias("_hash"))
-    joined = newest[0].join(last_sink, F.col(group).eqNullSafe(F.col("_group")), "left")
+    last_sink = newest[1].select(group, F.col("content_hash").alias("_hash"))
+    joined = join_groups(newest[0], last_sink, [group], null_group=True)
     pattern = F.lit(target_pattern) if isinstance(target_pattern, str) else target_pattern
     base = F.regexp_replace(F.regexp_replace(stem(pattern), r"\*$", ""), "_$", "")
     ext = F.when(suffix(pattern) != "", F.concat(F.lit("."), suffix(pattern))).otherwise("")

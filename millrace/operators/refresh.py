@@ -16,6 +16,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.operators.joins import join_groups
+
 FILE_COLUMNS = ("FILENAME", "FILE_NAME")
 MAX_IN_LIST = 1000  # names collected for a pushed-down IN list; more use a join
 
@@ -92,7 +94,7 @@ class RefreshSpec:
 class Slice:
     """Rows of a target that a refresh replaces.
 
-    ``condition`` decides by value; ``names`` (one column ``name``) decides by join on
+    ``condition`` decides by value; ``names`` (distinct, one column ``name``) decides by join on
     ``name_columns``. ``lower``/``upper`` bound the partition column, half-open, so that a
     partitioned table can prune. Nothing set means no row is hit.
     """
@@ -116,7 +118,7 @@ class Slice:
             return target.where(~F.coalesce(self.condition, F.lit(False)))
         if self.names is not None:
             for column in self.name_columns:
-                target = target.join(self.names, target[column] == self.names["name"], "left_anti")
+                target = join_groups(target, self.names.withColumnRenamed("name", column), [column], "left_anti")
         return target
 
     def hits(self, target: DataFrame) -> DataFrame:
@@ -127,8 +129,7 @@ class Slice:
             return target.where(self.condition)
         if self.names is not None:
             parts = [
-                target.join(self.names, target[c] == self.names["name"], "left_semi")
-                for c in self.name_columns
+                join_groups(target, self.names.withColumnRenamed("name", c), [c], "left_semi") for c in self.name_columns
             ]
             return reduce(DataFrame.unionAll, parts)
         return target.where(F.lit(False))

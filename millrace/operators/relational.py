@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions.dates import month_start
+from millrace.operators.joins import join_groups
 
 
 def money_sum(value: Column) -> Column:
@@ -41,7 +42,7 @@ def group_bounds(df: DataFrame, keys: Sequence[str], start: str, end: str) -> Da
     and a hot key is split by the skew join, while a window would hold it in one task.
     """
     bounds = df.groupBy(*keys).agg(F.min(start).alias("group_start"), F.max(end).alias("group_end"))
-    return df.join(bounds, list(keys), "left")
+    return join_groups(df, bounds, keys)
 
 
 def join_aggregate(
@@ -53,7 +54,7 @@ def join_aggregate(
     (distinct texts, as a rule).
     """
     listed = details.groupBy(*keys).agg(F.array_join(F.array_sort(F.collect_list(text)), separator).alias(name))
-    return left.join(listed, list(keys), "left")
+    return join_groups(left, listed, keys)
 
 
 def lookup(left: DataFrame, required: DataFrame, optional: DataFrame, on: str, optional_on: str) -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.operators.joins import join_groups
 from millrace.operators.relational import union_by_name
 from millrace.sources.files import infer_text_types
 
@@ -202,7 +203,7 @@ def header_row(rows: DataFrame, key: Sequence[str] = ("path", "sheet"), sample:
 def below_header(rows: DataFrame, key: Sequence[str] = ("path", "sheet"), sample: int = HEADER_ROWS) -> DataFrame:
     """Rows under their sheet's header, with the header beside them."""
     heads = header_row(rows, key, sample)
-    return rows.join(heads, list(key)).where(F.col("row_index") > F.col("header_row"))
+    return join_groups(rows, heads, key, "inner").where(F.col("row_index") > F.col("header_row"))
 
 
 def to_columns(rows: DataFrame, header: Sequence[str | None]) -> DataFrame:

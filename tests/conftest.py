@@ -18,11 +18,12 @@ def spark():
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.warehouse.dir", f"{scratch}/warehouse")
-        .config("spark.checkpoint.dir", f"{scratch}/shared")
         .config("spark.sql.execution.arrow.maxRecordsPerBatch", "500")
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("OFF")
+    if session.conf.get("spark.checkpoint.dir", None) is None:
+        session.conf.set("spark.checkpoint.dir", f"{scratch}/shared")
     yield session
     session.stop()
 
