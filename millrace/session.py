@@ -8,6 +8,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+_LOCAL_SCRATCH: dict[str, str] = {}
+
+
 def scratch_root(spark: SparkSession) -> str:
     """Folder every executor can reach.
 
@@ -17,11 +20,12 @@ def scratch_root(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    created = tempfile.mkdtemp(prefix="millrace-")
-    spark.conf.set("spark.checkpoint.dir", created)
-    return created
+    if context.applicationId not in _LOCAL_SCRATCH:
+        _LOCAL_SCRATCH[context.applicationId] = tempfile.mkdtemp(prefix="millrace-")
+    return _LOCAL_SCRATCH[context.applicationId]
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:

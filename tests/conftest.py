@@ -22,8 +22,6 @@ def spark():
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("OFF")
-    if session.conf.get("spark.checkpoint.dir", None) is None:
-        session.conf.set("spark.checkpoint.dir", f"{scratch}/shared")
     yield session
     session.stop()
 

@@ -10,7 +10,7 @@ from millrace.operators.changes import latest_per_key, retention_expired
 from millrace.operators.refresh import Slice
 from millrace.operators.relational import group_bounds
 from millrace.plans.table import SLICE, WarehouseTable, ensure_database
-from millrace.session import scratch_dir
+from millrace.session import scratch_dir, scratch_root
 from millrace.sources.listing import list_directory
 
 N = 600_000
@@ -95,3 +95,25 @@ def test_hot_slice_is_written_by_several_tasks(spark, hot):
     assert len(counts) == 9
     assert counts["2024-01-01"] >= 2
     assert t.read().count() == N
+
+
+class FakeSession:
+    """A session without the scratch setting."""
+
+    class conf:
+        @staticmethod
+        def get(key, default):
+            return default
+
+    def __init__(self, master):
+        self.sparkContext = type("Context", (), {"master": master, "applicationId": master})
+
+
+def test_scratch_folder_is_the_configured_one_or_local_only(spark):
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if configured:
+        assert scratch_dir(spark, "x").startswith(configured.rstrip("/"))
+    local = FakeSession("local[2]")
+    assert scratch_root(local) == scratch_root(local)
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_root(FakeSession("yarn"))

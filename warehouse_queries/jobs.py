@@ -115,7 +115,7 @@ def job_ingest(spark, d):
 @query("job_incremental_files", FILE_ORDERS)
 def job_incremental_files(spark, d):
     """Files of the first years, then the others; a third run finds nothing."""
-    db, root = new_database(spark), scratch_dir(spark, "sftp")
+    db, root = new_database(spark), scratch_dir(spark, "inbox")
     target, log = WarehouseTable(spark, f"{db}.ORDERS", "O_ORDERDATE"), WarehouseTable(spark, f"{db}.FILE_LOG")
     for condition in ("o_orderdate < '1997-01-01'", "o_orderdate >= '1997-01-01'"):
         write_years(spark, d, root, condition)
