@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from millrace.llm import substrings
+from millrace.llm import embeddings_itq, ngram_join, substrings
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,5 +20,14 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.digest(substrings.substring_dedup(table(spark, sf_dir, "documents")))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_substring_dedup,)}
+def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.ngram_join(table(spark, sf_dir, "documents")).select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
+
+
+def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = embeddings_itq.embedding_dedup(table(spark, sf_dir, "embeddings"))
+    return found.withColumnRenamed("id", "vec_id")
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_substring_dedup, op6_ngram_jaccard_join, op10_embedding_near_dedup)}
 ORACLE: dict[str, str] = {}
