@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import embeddings_itq, ngram_join, substrings
+from millrace.llm import chat, embeddings_itq, ngram_join, substrings, topk, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,6 +20,21 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.digest(substrings.substring_dedup(table(spark, sf_dir, "documents")))
 
 
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.filter_urls(table(spark, sf_dir, "pages")).withColumnRenamed("id", "page_id")
+
+
+def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    control = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame([(-7, 0, "user", control), (-7, 1, "assistant", control)], rows.schema)
+    return chat.read_back(chat.format_conversations(rows.union(extra)))
+
+
+def op4_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.ngram_join(table(spark, sf_dir, "documents")).select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
 
@@ -29,5 +44,21 @@ def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnRenamed("id", "vec_id")
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_substring_dedup, op6_ngram_jaccard_join, op10_embedding_near_dedup)}
-ORACLE: dict[str, str] = {}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (
+    op1_substring_dedup, op2_url_filter, op3_chat_format, op4_exact_top_k, op6_ngram_jaccard_join, op10_embedding_near_dedup,
+)}
+ORACLE: dict[str, str] = {
+    "op4_exact_top_k": """
+        WITH v AS (
+            SELECT vec_id, [floor(256 * x::DOUBLE) FOR x IN embedding] AS terms FROM embeddings
+            WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+        ), scored AS (
+            SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.terms, c.terms) AS BIGINT) AS score
+            FROM v AS q JOIN v AS c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0
+        ), ranked AS (
+            SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+            FROM scored
+        )
+        SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+    """,
+}
