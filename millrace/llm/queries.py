@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import chat, embeddings_itq, ngram_join, substrings, topk, urls
+from millrace.llm import chat, embeddings_itq, ngram_join, quality, substrings, topk, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -39,13 +39,19 @@ def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.ngram_join(table(spark, sf_dir, "documents")).select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
 
 
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scored.withColumnRenamed("id", "doc_id")
+
+
 def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = embeddings_itq.embedding_dedup(table(spark, sf_dir, "embeddings"))
     return found.withColumnRenamed("id", "vec_id")
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op1_substring_dedup, op2_url_filter, op3_chat_format, op4_exact_top_k, op6_ngram_jaccard_join, op10_embedding_near_dedup,
+    op1_substring_dedup, op2_url_filter, op3_chat_format, op4_exact_top_k, op6_ngram_jaccard_join, op9_quality_classifier,
+    op10_embedding_near_dedup,
 )}
 ORACLE: dict[str, str] = {
     "op4_exact_top_k": """
