@@ -11,7 +11,7 @@
    give the byte span of every piece in the original text. Byte pieces of one character share
    its span.
 
-Supported are BPE models without user-defined pieces; ids equal those of the sentencepiece
+Supported are BPE models with byte fallback and without user-defined pieces; ids equal those of the sentencepiece
 library, and decoding is the library's.
 
 Edge cases: null and empty texts give no pieces and decode to an empty text; texts of any length
@@ -22,13 +22,15 @@ encoded, too; an empty table gives an empty result. Other columns travel in one
 from __future__ import annotations
 
 import heapq
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.llm.words import slices
+
 START = "▁"
 LONG = 256
 CACHE = 400_000
@@ -48,9 +50,6 @@ class Model:
     dummy_prefix: bool
     squeeze: bool
     escape: bool
-    byte_fallback: bool
-    unknown: int
-
 
 def load(path: str) -> Model:
     from sentencepiece import sentencepiece_model_pb2 as proto
@@ -59,12 +58,12 @@ def load(path: str) -> Model:
         raw = file.read()
     m = proto.ModelProto.FromString(raw)
     kinds = [p.type for p in m.pieces]
-    if m.trainer_spec.model_type != 2 or m.trainer_spec.treat_whitespace_as_suffix or any(k in (4, 5) for k in kinds):
-        raise ValueError("only BPE models without user-defined or unused pieces are supported")
+    if m.trainer_spec.model_type != 2 or m.trainer_spec.treat_whitespace_as_suffix or not m.trainer_spec.byte_fallback or {4, 5} & {*kinds}:
+        raise ValueError("only BPE models with byte fallback and without user-defined or unused pieces are supported")
     n = m.normalizer_spec
     return Model(
         raw, [p.piece for p in m.pieces], [p.score for p in m.pieces], kinds, n.precompiled_charsmap, n.add_dummy_prefix,
-        n.remove_extra_whitespaces, n.escape_whitespaces, m.trainer_spec.byte_fallback, kinds.index(2),
+        n.remove_extra_whitespaces, n.escape_whitespaces,
     )
 
 
@@ -181,7 +180,14 @@ class Merges:
         self.keys = np.array(sorted(pairs), dtype=np.int64)
         self.rank = np.array([pairs[k][0] for k in self.keys.tolist()], dtype=np.int32)
         self.merged = np.array([pairs[k][1] for k in self.keys.tolist()], dtype=np.int64)
-        self.byte = {int(p[3:5], 16): i for i, (p, k) in enumerate(zip(model.pieces, model.kinds, strict=True)) if k == 6}
+        self.of_point = np.arange(0x110000, dtype=np.int64) + len(model.pieces)
+        for piece, i in normal.items():
+            if len(piece) == 1:
+                self.of_point[ord(piece)] = i
+        self.byte = np.zeros(256, dtype=np.int32)
+        for piece, kind, i in zip(model.pieces, model.kinds, range(len(model.pieces)), strict=True):
+            if kind == 6:
+                self.byte[int(piece[3:5], 16)] = i
         self.length = np.array([len(p) for p in model.pieces])
         self.splits = not any(START in p.lstrip(START) for p in normal)
 
@@ -189,20 +195,18 @@ class Merges:
     def key(left, right):
         return (left << 22) | right
 
-    def symbols(self, unit: str) -> list[int]:
-        n = len(self.model.pieces)
-        return [self.symbol.get(c, n + ord(c)) for c in unit]
+    def symbols(self, text: str) -> np.ndarray:
+        return self.of_point[np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32)]
 
     def look_up(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         keys = self.key(left, right)
         at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
         return np.where(self.keys[at] == keys, self.rank[at], NEVER), self.merged[at]
 
-    def lockstep(self, units: list[str]) -> list[list[int]]:
-        """Symbols left of each unit when no pair merges any more."""
-        lists = [self.symbols(u) for u in units]
-        owner = np.repeat(np.arange(len(units)), [len(x) for x in lists])
-        symbol = np.array([s for x in lists for s in x], dtype=np.int64)
+    def lockstep(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Symbols left when no pair merges any more, and the unit of each."""
+        owner = np.repeat(np.arange(len(units)), [len(u) for u in units])
+        symbol = self.symbols("".join(units))
         done_owner, done_symbol = [], []
         rank = np.full(len(symbol), NEVER, dtype=np.int32)
         target = np.zeros(len(symbol), dtype=np.int64)
@@ -234,15 +238,14 @@ class Merges:
             rank[at] = NEVER
             refresh(np.concatenate([at - 1, at]))
         if not done_owner:
-            return [[] for _ in units]
+            return owner, symbol
         owner, symbol = np.concatenate(done_owner), np.concatenate(done_symbol)
         order = np.argsort(owner, kind="stable")
-        cuts = np.searchsorted(owner[order], np.arange(1, len(units)))
-        return [x.tolist() for x in np.split(symbol[order], cuts)]
+        return owner[order], symbol[order]
 
-    def heap(self, unit: str) -> list[int]:
+    def heap(self, unit: str) -> np.ndarray:
         """The same for one long unit."""
-        symbol = self.symbols(unit)
+        symbol = self.symbols(unit).tolist()
         n = len(symbol)
         before, after = list(range(-1, n - 1)), [*range(1, n), -1]
         queue = []
@@ -265,38 +268,46 @@ class Merges:
                 before[after[right]] = left
             push(before[left], left)
             push(left, after[left])
-        return [s for s in symbol if s >= 0]
+        return np.array([s for s in symbol if s >= 0], dtype=np.int64)
 
-    def ids(self, symbols: list[int]) -> tuple[list[int], list[int]]:
-        """Piece ids and, for each, the number of normalised characters it advances by; the first
-        byte pieces of a character advance by none, and are negative in number to tell them.
+    def ids(self, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Piece ids of symbols, which symbol each comes from, and how many normalised characters
+        it advances by; all but the last byte piece of a character advance by none.
         """
-        pieces, lengths = [], []
         n = len(self.model.pieces)
-        for s in symbols:
-            if s < n:
-                pieces.append(s), lengths.append(int(self.length[s]))
-            elif self.model.byte_fallback:
-                own = [self.byte[b] for b in chr(s - n).encode()]
-                pieces += own
-                lengths += [-1] * (len(own) - 1) + [1]
-            elif pieces and pieces[-1] == self.model.unknown:
-                lengths[-1] += 1
-            else:
-                pieces.append(self.model.unknown), lengths.append(1)
-        return pieces, lengths
-
-
-@dataclass
+        count = np.ones(len(symbols), dtype=np.int64)
+        raw = np.flatnonzero(symbols >= n)
+        coded = [chr(s).encode() for s in (symbols[raw] - n).tolist()]
+        count[raw] = [len(c) for c in coded]
+        source = np.repeat(np.arange(len(symbols)), count)
+        last = np.cumsum(count) - 1
+        step = np.zeros(len(source), dtype=np.int64)
+        whole = symbols < n
+        step[last] = 1
+        step[last[whole]] = self.length[symbols[whole]]
+        ids = np.zeros(len(source), dtype=np.int32)
+        ids[last[whole]] = symbols[whole]
+        ids[~whole[source]] = self.byte[np.frombuffer(b"".join(coded), dtype=np.uint8)]
+        return ids, source, step
+
+
+def gathered(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Positions of all runs ``starts .. starts + counts``, one behind the other."""
+    return np.repeat(starts - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())
+
+
 class Encoder:
-    """Encodes texts; keeps the distinct units that it has seen, up to ``CACHE``."""
+    """Encodes texts; keeps the pieces of the distinct units that it has seen, up to ``CACHE``."""
 
-    model: Model
-    known: dict = field(default_factory=dict)
+    def __init__(self, model: Model):
+        self.normalize = Normalizer(model)
+        self.merges = Merges(model)
+        self.forget()
 
-    def __post_init__(self):
-        self.normalize = Normalizer(self.model)
-        self.merges = Merges(self.model)
+    def forget(self) -> None:
+        self.known: dict[str, int] = {}
+        self.ids, self.step = np.zeros(0, np.int32), np.zeros(0, np.int64)
+        self.start = np.zeros(1, np.int64)
 
     def units(self, text: str) -> list[str]:
         if not self.merges.splits:
@@ -312,29 +323,40 @@ class Encoder:
                 signs = 0
         return [*out, START * signs] if signs else out
 
-    def encode(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """Ids, begins and ends of the pieces of each text."""
+    def learn(self, new: list[str]) -> None:
+        new.sort(key=len)
+        cut = next((i for i, u in enumerate(new) if len(u) > LONG), len(new))
+        owner, symbol = self.merges.lockstep(new[:cut]) if cut else (np.zeros(0, np.int64),) * 2
+        for i, unit in enumerate(new[cut:], cut):
+            own = self.merges.heap(unit)
+            owner, symbol = np.append(owner, np.full(len(own), i)), np.append(symbol, own)
+        ids, source, step = self.merges.ids(symbol)
+        ends = np.searchsorted(owner[source], np.arange(1, len(new) + 1))
+        self.known.update(zip(new, range(len(self.known), len(self.known) + len(new)), strict=True))
+        self.start = np.append(self.start, len(self.ids) + ends)
+        self.ids, self.step = np.append(self.ids, ids), np.append(self.step, step)
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Pieces of all texts: ids, begins and ends, and where each text's pieces start."""
         normal = [self.normalize(t) for t in texts]
         split = [self.units(t) for t, _ in normal]
         if len(self.known) > CACHE:
-            self.known.clear()
-        new = list({u for units in split for u in units if u not in self.known})
-        short = [u for u in new if len(u) <= LONG]
-        merged = zip(short, self.merges.lockstep(short), strict=True) if short else []
-        for unit, symbols in [*merged, *((u, self.merges.heap(u)) for u in new if len(u) > LONG)]:
-            self.known[unit] = self.merges.ids(symbols)
-        out = []
-        for units, (_, source) in zip(split, normal, strict=True):
-            found = [self.known[u] for u in units]
-            ids = np.array([i for f in found for i in f[0]], dtype=np.int32)
-            step = np.array([n for f in found for n in f[1]], dtype=np.int64)
-            inner = step < 0
-            end = np.cumsum(np.where(inner, 0, step))
-            begin = np.where(inner, end, end - np.where(inner, 0, step))
-            # Byte pieces: all of a character's span; the last one has step 1.
-            end = np.where(inner, end + 1, end)
-            out.append((ids, source[begin], source[end]))
-        return out
+            self.forget()
+        new = set().union(*split).difference(self.known)
+        if new:
+            self.learn(list(new))
+        unit = np.fromiter((self.known[u] for units in split for u in units), dtype=np.int64)
+        counts = self.start[unit + 1] - self.start[unit]
+        at = gathered(self.start[unit], counts)
+        ids, step = self.ids[at], self.step[at]
+        pieces = np.concatenate([[0], np.cumsum(counts)])[np.cumsum([0, *map(len, split)])]
+        # The sources of all texts in one array; each text starts behind the end of the one before.
+        lengths = np.array([len(s) for _, s in normal], dtype=np.int64)
+        base = np.repeat(np.cumsum(lengths) - lengths, np.diff(pieces))
+        ahead = np.concatenate([[0], np.cumsum(step)])
+        end = ahead[1:] - np.repeat(ahead[pieces[:-1]], np.diff(pieces)) + base
+        source = np.concatenate([s for _, s in normal]) if normal else np.zeros(0, np.int64)
+        return ids, source[end - step], source[end + (step == 0)], pieces
 
 
 OUT = "id long, ids array<int>, begins array<int>, ends array<int>, decoded string"
@@ -347,15 +369,13 @@ def encoder(model: Model):
         library = SentencePieceProcessor(model_proto=model.raw)
         own = Encoder(model)
         for batch in batches:
-            for at in range(0, batch.num_rows, ROWS):
-                part = batch.slice(at, ROWS)
-                found = own.encode([t or "" for t in part.column("text").to_pylist()])
-                lists = [[f[k] for f in found] for k in range(3)]
-                cuts = np.cumsum([0, *(len(x) for x in lists[0])], dtype=np.int64)
-                arrays = [pa.ListArray.from_arrays(cuts.astype(np.int32), np.concatenate(x).astype(np.int32)) for x in lists]
-                decoded = pa.array(library.decode([x.tolist() for x in lists[0]], num_threads=1), pa.string())
+            for part in slices(batch, "text", ROWS):
+                *found, cuts = own.encode([t or "" for t in part.column("text").to_pylist()])
+                arrays = [pa.ListArray.from_arrays(cuts.astype(np.int32), x.astype(np.int32)) for x in found]
+                plain = found[0].tolist()
+                decoded = library.decode([plain[a:b] for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)], num_threads=1)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("id"), *arrays, decoded, part.column("row")],
+                    [part.column("id"), *arrays, pa.array(decoded, pa.string()), part.column("row")],
                     names=["id", "ids", "begins", "ends", "decoded", "row"],
                 )
 

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.shared import drop, stage
-from millrace.llm.words import Words
+from millrace.llm.words import PIECE, Words, slices
 
 FEATURES = 384
 GAMMA = 0.02
@@ -97,8 +97,7 @@ def statistics(column) -> np.ndarray:
 
 def measure(batches):
     for batch in batches:
-        for at in range(0, max(1, batch.num_rows), 500):
-            part = batch.slice(at, 500)
+        for part in slices(batch, "text", 1_000, 4 * PIECE):
             stats = statistics(part.column("text"))
             lists = pa.ListArray.from_arrays(np.arange(0, stats.size + 1, stats.shape[1], dtype=np.int32), stats.reshape(-1))
             kept = [part.column(c) for c in range(part.num_columns) if part.schema.names[c] != "text"]

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import chat, embeddings_itq, ngram_join, quality, substrings, topk, urls
+from millrace.llm import chat, embeddings_itq, ngram_join, pieces, quality, substrings, topk, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -39,6 +39,16 @@ def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.ngram_join(table(spark, sf_dir, "documents")).select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
 
 
+def tokenizer() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
+def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.digest(pieces.encode(table(spark, sf_dir, "documents"), tokenizer()))
+
+
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return scored.withColumnRenamed("id", "doc_id")
@@ -50,7 +60,7 @@ def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op1_substring_dedup, op2_url_filter, op3_chat_format, op4_exact_top_k, op6_ngram_jaccard_join, op9_quality_classifier,
+    op1_substring_dedup, op2_url_filter, op3_chat_format, op4_exact_top_k, op6_ngram_jaccard_join, op7_sentencepiece, op9_quality_classifier,
     op10_embedding_near_dedup,
 )}
 ORACLE: dict[str, str] = {

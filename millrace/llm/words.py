@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 PIECE = 1 << 20
 BYTE_BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -60,6 +61,17 @@ def text_bytes(column) -> tuple[np.ndarray, np.ndarray]:
     return raw[off[0] : off[-1]], off - off[0]
 
 
+def slices(batch: pa.RecordBatch, column: str, rows: int, size: int = PIECE):
+    """Parts of a batch of at most ``rows`` rows and about ``size`` bytes of text, but one row at least."""
+    bytes_ = pc.fill_null(pc.binary_length(batch.column(column).cast(pa.large_binary())), 0).to_numpy()
+    ahead = np.concatenate([[0], np.cumsum(bytes_)])
+    at = 0
+    while at < batch.num_rows:
+        end = min(at + rows, max(at + 1, int(np.searchsorted(ahead, ahead[at] + size, "right")) - 1), batch.num_rows)
+        yield batch.slice(at, end - at)
+        at = end
+
+
 class Words:
     """Words of a batch of texts: byte spans, and per text its first word and word count."""
 
