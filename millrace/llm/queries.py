@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import chat, embeddings_itq, ngram_join, pieces, quality, substrings, topk, urls
+from millrace.llm import chat, embeddings_itq, katz, ngram_join, pieces, quality, substrings, topk, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -49,6 +49,11 @@ def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digest(pieces.encode(table(spark, sf_dir, "documents"), tokenizer()))
 
 
+def op8_katz_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = katz.katz_scores(table(spark, sf_dir, "documents"), "crc32(cast(id AS string)) % 5 <> 1")
+    return scored.select(F.col("id").alias("doc_id"), (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return scored.withColumnRenamed("id", "doc_id")
@@ -60,7 +65,7 @@ def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op1_substring_dedup, op2_url_filter, op3_chat_format, op4_exact_top_k, op6_ngram_jaccard_join, op7_sentencepiece, op9_quality_classifier,
+    op1_substring_dedup, op2_url_filter, op3_chat_format, op4_exact_top_k, op6_ngram_jaccard_join, op7_sentencepiece, op8_katz_lm, op9_quality_classifier,
     op10_embedding_near_dedup,
 )}
 ORACLE: dict[str, str] = {
