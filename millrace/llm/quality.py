@@ -227,12 +227,30 @@ def held_out(key: str) -> F.Column:
     return F.coalesce(F.crc32(F.col(key).cast("string")) % 3 == 1, F.lit(False))
 
 
+def train(stats: DataFrame, labels: DataFrame) -> Model:
+    rows = stage(training_rows(stats, labels), "training")
+    model = fit(rows)
+    drop(rows)
+    return model
+
+
+def keep_good(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text", least: float = 0.5) -> DataFrame:
+    """The rows of ``docs``, all columns as they are, whose text scores ``least`` or more."""
+
+    def run(batches):
+        for batch in batches:
+            for part in slices(batch, "text_", 1_000, 4 * PIECE):
+                good = model.score(statistics(part.column("text_"))) >= least
+                yield part.select(part.schema.names[:-1]).filter(pa.array(good))
+
+    schema = docs.schema
+    return docs.withColumn("text_", F.col(text).cast("string")).mapInArrow(run, schema)
+
+
 def classify(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``id``, ``held_out``, ``score`` (probability of quality 1) and ``predicted`` of every document."""
     stats = stage(measured(docs, key, text), "statistics")
-    train = stage(training_rows(stats, labels), "training")
-    model = fit(train)
-    drop(train)
+    model = train(stats, labels)
 
     def score(batches):
         for batch in batches:

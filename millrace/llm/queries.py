@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import chat, embeddings_itq, katz, ngram_join, pieces, quality, substrings, topk, urls
+from millrace.llm import chat, embeddings_itq, katz, mixing, ngram_join, pieces, quality, substrings, topk, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -35,6 +35,19 @@ def op4_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+#: Domains are families of sources: the first ten are crawled, the others collected.
+MIX = mixing.Mix(
+    domain="CASE WHEN length(source) = 4 THEN 'crawled' ELSE 'collected' END",
+    domain_weights={"crawled": 2, "collected": 3},
+    lang_weights={"en": 4, "de": 2, "fr": 2, "es": 2},
+    source_weights={"src0": 2},
+)
+
+
+def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixed(table(spark, sf_dir, "documents"), MIX).withColumnRenamed("id", "doc_id")
+
+
 def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.ngram_join(table(spark, sf_dir, "documents")).select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
 
@@ -65,7 +78,7 @@ def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op1_substring_dedup, op2_url_filter, op3_chat_format, op4_exact_top_k, op6_ngram_jaccard_join, op7_sentencepiece, op8_katz_lm, op9_quality_classifier,
+    op1_substring_dedup, op2_url_filter, op3_chat_format, op4_exact_top_k, op5_source_mixing, op6_ngram_jaccard_join, op7_sentencepiece, op8_katz_lm, op9_quality_classifier,
     op10_embedding_near_dedup,
 )}
 ORACLE: dict[str, str] = {
@@ -82,4 +95,5 @@ ORACLE: dict[str, str] = {
         )
         SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
     """,
+    "op5_source_mixing": mixing.oracle(MIX),
 }

@@ -97,16 +97,20 @@ def removed_words(chunk: ChunkWindows, answers: pa.Table, window: int, buckets:
     return np.cumsum(change[:-1]) > 0
 
 
-def cut(window: int, buckets: int):
+def cut(window: int, buckets: int, keep_layout: bool):
     def run(table: pa.Table, answers: pa.Table) -> pa.Table:
         chunk = ChunkWindows(table, window)
         gone = removed_words(chunk, answers, window, buckets)
         words = chunk.words
         begins, ends, kept = [], [], []
-        data, offsets = words.data.tobytes(), words.offsets
+        data, offsets = words.data.tobytes(), words.offsets.tolist()
         lost = np.add.reduceat(np.append(gone, False), words.first[:-1]) * (words.count > 0) if len(words.count) else np.zeros(0, int)
         for i in range(len(words.count)):
-            own = data[offsets[i] : offsets[i + 1]].split()
+            own = data[offsets[i] : offsets[i + 1]]
+            if not lost[i] and keep_layout:
+                begins.append([]), ends.append([]), kept.append(own)
+                continue
+            own = own.split()
             if not lost[i]:
                 begins.append([]), ends.append([])
             else:
@@ -130,17 +134,18 @@ def cut(window: int, buckets: int):
 
 
 def substring_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int = WINDOW,
-                    carry: list[str] | None = None, **sizes) -> DataFrame:
+                    carry: list[str] | None = None, keep_layout: bool = False, **sizes) -> DataFrame:
     """One row per document: ``id``, ``n_words``, ``n_removed``, the removed word intervals
     ``[removed_from, removed_to)``, the ``kept`` words joined by one space, and ``row``, a struct
-    of the columns named in ``carry``.
+    of the columns named in ``carry``. With ``keep_layout``, texts that lose nothing are returned
+    as they were.
     """
     dealt, layout = chunked(docs, key, text, carry, **sizes)
     asked = dealt.groupBy("chunk").applyInArrow(ask(window, layout.buckets), PACKET)
     answers = asked.repartition(layout.buckets, "bucket").groupBy("bucket").applyInArrow(answer, PACKET)
     row = dealt.schema["row"].dataType.simpleString()
     schema = f"id long, n_words long, n_removed long, removed_from array<int>, removed_to array<int>, kept string, row {row}"
-    return dealt.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(cut(window, layout.buckets), schema)
+    return dealt.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(cut(window, layout.buckets, keep_layout), schema)
 
 
 def digest(cleaned: DataFrame) -> DataFrame:
