@@ -13,16 +13,17 @@ from millrace.functions.dates import month_start
 from millrace.operators.joins import join_groups
 
 
-def money_sum(value: Column) -> Column:
-    """Exact sum of an amount with up to four decimals, whatever the summing order.
+def money_sum(value: Column, scale: int = 8) -> Column:
+    """Exact sum of an amount with up to ``scale`` decimals, whatever the summing order.
 
-    Amounts are summed as whole ten-thousandths. High and low bits go in two long sums, which
-    is twice as fast as a decimal sum and cannot overflow below some trillion rows.
+    Amounts are summed as whole units of the last decimal. High and low bits go in two long
+    sums, which is twice as fast as a decimal sum and cannot overflow below some trillion rows.
+    An amount of more than 18 digits in these units is an error, never cut.
     """
-    units = F.rint(value * 10000).cast("bigint")
+    units = F.rint(value * 10**scale).cast("bigint")
     high = F.sum(F.shiftright(units, 20)).cast("decimal(38,0)")
     low = F.sum(units.bitwiseAND(F.lit((1 << 20) - 1)))
-    return ((high * (1 << 20) + low) / 10000).cast("double")
+    return (high * (1 << 20) + low).cast("double") / 10**scale
 
 
 def monthly_totals(

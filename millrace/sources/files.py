@@ -12,18 +12,18 @@ from millrace.operators.relational import union_by_name
 from millrace.sources.streams import head_of
 
 TEXT_DELIMITER = "|"  # fixed value: delimiter of text files unless given
-INFER_ROWS = 50000  # fixed value: rows looked at by sampled inference
 
 
 def read_parquet(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """Parquet files; globs such as ``2018-??-??/*.parquet`` work."""
-    return spark.read.parquet(*([paths] if isinstance(paths, str) else paths))
+    """Parquet files; globs such as ``2018-??-??/*.parquet`` work. Columns of all files are merged."""
+    return spark.read.option("mergeSchema", True).parquet(*([paths] if isinstance(paths, str) else paths))
 
 
 def file_heads(spark: SparkSession, paths: str | Sequence[str], encoding: str = "UTF-8") -> DataFrame:
     """Encoding and first line of every file under ``paths`` (files, folders or globs).
 
-    Only the first bytes of each file are read, inside the tasks. ``auto`` detects encodings.
+    Files are read inside the tasks, to their first line break. ``auto`` detects encodings, for
+    which the whole file is looked at.
     """
 
     def heads(batches):
@@ -50,37 +50,43 @@ def read_delimited(
     auto_delimiter: bool = False,
     schema: T.StructType | str | None = None,
     all_text: bool = False,
-    infer_rows: int | None = None,
+    infer_looks: bool = False,
     multi_line: bool | None = None,
     with_file_name: bool = False,
+    with_path: bool = False,
 ) -> DataFrame:
     """Delimited text with a header. Quoting is off unless a quote character is given.
 
-    Types come from ``schema``, from a full inference pass, from the first ``infer_rows``
-    rows, or stay text with ``all_text``. Line breaks inside quotes are allowed once a quote
-    character is given; each file is then read by one task (``multi_line=False`` splits it
-    again if no value holds a line break). Several paths must share one header; see
-    :func:`read_files` for paths that differ.
+    Types come from ``schema``, from Spark's inference, from the looks of all values with
+    ``infer_looks``, or stay text with ``all_text``. Line breaks inside quotes are allowed once a
+    quote character is given; each file is then read by one task (``multi_line=False`` splits it
+    again if no value holds a line break).
+
+    Paths may be files, folders or globs. Files that differ in header or encoding are read by
+    groups and united by column name, each with the delimiter that fits its header. With a
+    ``schema`` columns go by position, so all files must have it.
     """
-    paths = [path] if isinstance(path, str) else list(path)
-    if auto_delimiter or encoding == "auto":
-        head = file_heads(spark, paths, encoding).orderBy("path").first()
-        encoding = head["encoding"]
-        delimiter = choose_delimiter(head["line"], delimiter) if auto_delimiter else delimiter
-    lines = bool(quote) or encoding == "UTF-16" if multi_line is None else multi_line
-    reader = spark.read.options(
-        header=True, delimiter=delimiter, quote=quote, escape="\\", encoding=encoding, multiLine=lines
-    )
-    if schema is not None:
-        df = reader.schema(schema).csv(paths)
-    elif all_text:
-        df = reader.option("inferSchema", False).csv(paths)
-    elif infer_rows:
-        text = reader.option("inferSchema", False).csv(paths)
-        df = reader.schema(infer_text_types(text, infer_rows)).csv(paths)
-    else:
-        df = reader.option("inferSchema", True).csv(paths)
-    return df.withColumn("FILE_NAME", F.col("_metadata.file_name")) if with_file_name else df
+    groups = header_groups(spark, path, encoding)
+    if schema is not None and len({line for _, line, _ in groups}) > 1:
+        raise ValueError("files with different headers cannot share one schema by position")
+
+    def read(found: str, line: str, files: Sequence[str]) -> DataFrame:
+        mark = choose_delimiter(line, delimiter) if auto_delimiter else delimiter
+        lines = bool(quote) or found == "UTF-16" if multi_line is None else multi_line
+        reader = spark.read.options(header=True, delimiter=mark, quote=quote, escape="\\", encoding=found, multiLine=lines)
+        if schema is not None:
+            df = reader.schema(schema).csv(files)
+        elif all_text:
+            df = reader.option("inferSchema", False).csv(files)
+        elif infer_looks:
+            df = reader.schema(infer_text_types(reader.option("inferSchema", False).csv(files))).csv(files)
+        else:
+            df = reader.option("inferSchema", True).csv(files)
+        origin = {"FILE_NAME": "_metadata.file_name"} if with_file_name else {}
+        origin |= {"FILE_PATH": "_metadata.file_path"} if with_path else {}
+        return df.withColumns({name: F.col(c) for name, c in origin.items()}) if origin else df
+
+    return union_by_name([read(*group) for group in groups])
 
 
 # Types tried in order, each with the look a text must have. The cast alone would take "y" for
@@ -95,8 +101,8 @@ TEXT_TYPES = (
 )
 
 
-def infer_text_types(df: DataFrame, rows: int = INFER_ROWS) -> T.StructType:
-    """Narrowest type that fits each text column in the first ``rows`` rows; one aggregate."""
+def infer_text_types(df: DataFrame) -> T.StructType:
+    """Narrowest type that fits all values of each text column; one aggregate over all rows."""
     names = df.columns
 
     def misfit(name: str, dtype: T.DataType, look: str) -> Column:
@@ -109,7 +115,7 @@ def infer_text_types(df: DataFrame, rows: int = INFER_ROWS) -> T.StructType:
         for k, (dtype, look) in enumerate(TEXT_TYPES)
     ]
     filled = [F.count(F.col(f"`{c}`")).alias(f"{i}_n") for i, c in enumerate(names)]
-    row = df.limit(rows).agg(*misfits, *filled).first()
+    row = df.agg(*misfits, *filled).first()
 
     def pick(i: int) -> T.DataType:
         fitting = [dtype for k, (dtype, _) in enumerate(TEXT_TYPES) if row[f"{i}_{k}"] == 0]
@@ -125,13 +131,22 @@ def read_text_all(spark: SparkSession, path: str, kind: str = "csv", encoding: s
 
 
 def header_groups(
-    spark: SparkSession, paths: Sequence[str], encoding: str = "UTF-8"
-) -> list[tuple[str, list[str]]]:
-    """Files grouped by equal encoding and first line: (encoding, files of the group)."""
-    groups: dict[tuple[str, str], list[str]] = {}
-    for row in file_heads(spark, paths, encoding).orderBy("path").collect():
-        groups.setdefault((row["encoding"], row["line"]), []).append(row["path"])
-    return [(found, files) for (found, _), files in groups.items()]
+    spark: SparkSession, paths: str | Sequence[str], encoding: str = "UTF-8"
+) -> list[tuple[str, str, list[str]]]:
+    """Files by equal encoding and first line: (encoding, line, files of the group).
+
+    File names come to the driver only if there are several groups, since each group is a scan
+    of its own; else the paths stay as they were given.
+    """
+    given = [paths] if isinstance(paths, str) else list(paths)
+    heads = file_heads(spark, given, encoding)
+    kinds = heads.groupBy("encoding", "line").agg(F.min("path").alias("first")).orderBy("first").collect()
+    if len(kinds) == 1:
+        return [(kinds[0]["encoding"], kinds[0]["line"], given)]
+    groups: dict[tuple[str, str], list[str]] = {(k["encoding"], k["line"]): [] for k in kinds}
+    for row in heads.orderBy("path").toLocalIterator():
+        groups[row["encoding"], row["line"]].append(row["path"])
+    return [(found, line, files) for (found, line), files in groups.items()]
 
 
 def read_files(
@@ -144,14 +159,10 @@ def read_files(
     """
     many = [paths] if isinstance(paths, str) else list(paths)
     if fmt == "parquet":
-        df = spark.read.option("mergeSchema", len(many) > 1).parquet(*many)
+        df = read_parquet(spark, many)
         return df.withColumn("FILE_NAME", F.col("_metadata.file_name")) if with_file_name else df
     if fmt in ("csv", "txt"):
-        encoding = options.pop("encoding", "UTF-8")
-        groups = [(encoding, many)] if len(many) == 1 else header_groups(spark, many, encoding)
-        return union_by_name(
-            [read_delimited(spark, g, encoding=e, with_file_name=with_file_name, **options) for e, g in groups]
-        )
+        return read_delimited(spark, many, with_file_name=with_file_name, **options)
     if fmt in ("xlsx", "excel"):
         from millrace.sources.workbook import read_workbook
 

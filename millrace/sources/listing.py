@@ -10,9 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions.text import base_name, human_size, parent_path
-from millrace.sources.streams import HEAD_BYTES, encoding_of, open_stream
-
-CHUNK = 8 * 1024 * 1024
+from millrace.sources.streams import chunks_of, encoding_of
 
 
 def list_directory(spark: SparkSession, path: str, pattern: str | None = None, recursive: bool = False) -> DataFrame:
@@ -46,9 +44,8 @@ def _hash_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         digests = []
         for parent, name in zip(batch["parent_path"], batch["filename"]):
             digest = hashlib.blake2b()
-            with open_stream(f"{parent}/{name}") as stream:
-                while chunk := stream.read(CHUNK):
-                    digest.update(chunk)
+            for chunk in chunks_of(f"{parent}/{name}"):
+                digest.update(chunk)
             digests.append(digest.hexdigest())
         yield batch.assign(hash_check_sum=digests)
 
@@ -60,21 +57,20 @@ def hash_files(listing: DataFrame) -> DataFrame:
     """
     slots = listing.sparkSession.sparkContext.defaultParallelism
     schema = T.StructType([*listing.schema.fields, T.StructField("hash_check_sum", T.StringType())])
-    return listing.repartition(slots, "filename").mapInPandas(_hash_batches, schema)
+    return listing.repartition(slots, "parent_path", "filename").mapInPandas(_hash_batches, schema)
 
 
 def detect_encoding(listing: DataFrame, fallback: str = "ISO-8859-1") -> DataFrame:
     """Listing with ``encoding``: byte order mark, else valid UTF-8, else ``fallback``.
 
-    Reads only the first bytes of each file.
+    Files are read to the first byte that decides, to the end if they are valid UTF-8.
     """
 
     def detect(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             names = []
             for parent, name in zip(batch["parent_path"], batch["filename"]):
-                with open_stream(f"{parent}/{name}") as stream:
-                    names.append(encoding_of(stream.read(HEAD_BYTES), fallback))
+                names.append(encoding_of(chunks_of(f"{parent}/{name}"), fallback))
             yield batch.assign(encoding=names)
 
     schema = T.StructType([*listing.schema.fields, T.StructField("encoding", T.StringType())])

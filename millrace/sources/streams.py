@@ -2,40 +2,70 @@
 
 from __future__ import annotations
 
-HEAD_BYTES = 64 * 1024
+CHUNK = 1024 * 1024
+
+#: Names that Hadoop gives to stores which pyarrow knows by another.
+SCHEMES = {"s3a": "s3", "s3n": "s3", "wasb": "abfs", "wasbs": "abfss"}
+
+
+def stream_uri(path: str) -> str:
+    """``path`` in the form pyarrow opens: its scheme names, and three slashes for local files."""
+    if path.startswith("file:/") and not path.startswith("file://"):
+        return path.replace("file:/", "file:///", 1)
+    scheme, mark, rest = path.partition("://")
+    return f"{SCHEMES.get(scheme, scheme)}://{rest}" if mark else path
 
 
 def open_stream(path: str):
     """Input stream of a file by path or URI."""
     from pyarrow import fs
 
-    short = path.startswith("file:/") and not path.startswith("file://")
-    system, inner = fs.FileSystem.from_uri(path.replace("file:/", "file:///", 1) if short else path)
+    system, inner = fs.FileSystem.from_uri(stream_uri(path))
     return system.open_input_stream(inner)
 
 
-def encoding_of(head: bytes, fallback: str = "ISO-8859-1") -> str:
-    """Encoding of a file by its first bytes: byte order mark, else valid UTF-8, else ``fallback``."""
+def encoding_of(chunks, fallback: str = "ISO-8859-1") -> str:
+    """Encoding of a file by its chunks of bytes: byte order mark, else valid UTF-8, else ``fallback``.
+
+    Every chunk is looked at, since one invalid byte anywhere decides.
+    """
     import codecs
 
-    for mark, name in ((codecs.BOM_UTF8, "UTF-8"), (codecs.BOM_UTF16_LE, "UTF-16"), (codecs.BOM_UTF16_BE, "UTF-16")):
-        if head.startswith(mark):
-            return name
+    decoder = None
+    for chunk in chunks:
+        if decoder is None:
+            for mark, name in ((codecs.BOM_UTF8, "UTF-8"), (codecs.BOM_UTF16_LE, "UTF-16"), (codecs.BOM_UTF16_BE, "UTF-16")):
+                if chunk.startswith(mark):
+                    return name
+            decoder = codecs.getincrementaldecoder("utf-8")()
+        try:
+            decoder.decode(chunk)
+        except UnicodeDecodeError:
+            return fallback
     try:
-        # A cut head may end inside a letter; a whole file may not.
-        codecs.getincrementaldecoder("utf-8")().decode(head, final=len(head) < HEAD_BYTES)
+        if decoder is not None:
+            decoder.decode(b"", final=True)
     except UnicodeDecodeError:
         return fallback
     return "UTF-8"
 
 
-def head_of(path: str, encoding: str) -> tuple[str, str]:
-    """Encoding and first line of a text file; ``auto`` detects the encoding."""
+def chunks_of(path: str):
     with open_stream(path) as stream:
-        head = stream.read(HEAD_BYTES)
-        known = encoding_of(head) if encoding == "auto" else encoding
-        text = head.decode(known, "ignore")
-        while "\n" not in text and (chunk := stream.read(HEAD_BYTES)):
-            head += chunk
-            text = head.decode(known, "ignore")
-    return known, text.removeprefix("\ufeff").split("\n")[0].rstrip("\r")
+        while chunk := stream.read(CHUNK):
+            yield chunk
+
+
+def head_of(path: str, encoding: str) -> tuple[str, str]:
+    """Encoding and first line of a text file; ``auto`` detects the encoding from the whole file."""
+    import codecs
+
+    known = encoding_of(chunks_of(path)) if encoding == "auto" else encoding
+    decoder = codecs.getincrementaldecoder(known)("ignore")
+    parts = []
+    for chunk in chunks_of(path):
+        text = decoder.decode(chunk)
+        parts.append(text)
+        if "\n" in text:
+            break
+    return known, "".join(parts).removeprefix("\ufeff").split("\n")[0].rstrip("\r")

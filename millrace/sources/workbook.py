@@ -19,7 +19,6 @@ from millrace.operators.relational import union_by_name
 from millrace.sources.files import infer_text_types
 
 HEADER_ROWS = 50  # fixed value: rows searched for the header
-INFER_ROWS = 500  # fixed value: rows looked at for types
 
 CELL_ROWS = T.StructType(
     [
@@ -218,13 +217,13 @@ def read_workbook(
     spark: SparkSession,
     path: str,
     data_address: str | Sequence[str] = "0!",
-    infer_rows: int | None = INFER_ROWS,
+    infer: bool = True,
     promote_header: bool = False,
 ) -> DataFrame:
     """Sheets of a workbook as one table, united by name; requested sheets that do not exist are skipped.
 
     The first row of the area is the header, or with ``promote_header`` the most diverse of
-    the first rows. Types are inferred from the first rows; cells that do not fit become NULL.
+    the first rows. Types are those that all cells of a column fit.
     """
     rows = workbook_rows(spark, path)
     addresses = [data_address] if isinstance(data_address, str) else list(data_address)
@@ -239,8 +238,8 @@ def read_workbook(
         if head is None or head["header"] is None:
             continue
         table = to_columns(area.where(F.col("row_index") > head["header_row"]), head["header"])
-        if infer_rows:
-            types = infer_text_types(table, infer_rows)
+        if infer:
+            types = infer_text_types(table)
             table = table.select([F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in types.fields])
         frames.append(table)
     if not frames:
