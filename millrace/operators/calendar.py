@@ -173,10 +173,20 @@ def partition_number(
     return F.coalesce(clamped, F.lit(0)).cast("int") + 1
 
 
+SLICE_INTERVALS = ("DAILY", "WEEKLY", "MONTHLY", "YEARLY")
+
+
+def slice_interval(interval: str) -> str:
+    """``interval`` if tables can be sliced by it, else an error."""
+    if interval not in SLICE_INTERVALS:
+        raise ValueError(f"{interval} is no slice interval; use one of {', '.join(SLICE_INTERVALS)}")
+    return interval
+
+
 def slice_start(col: Column | str, interval: str = "MONTHLY", start: date = RANGE_START) -> Column:
     """First day of the slice a value belongs to; the directory key of partitioned tables."""
     value = _c(col)
-    if interval == "DAILY":
+    if slice_interval(interval) == "DAILY":
         return value.cast("date")
     if interval == "WEEKLY":
         days = F.datediff(value, F.lit(start))
@@ -187,7 +197,7 @@ def slice_start(col: Column | str, interval: str = "MONTHLY", start: date = RANG
 def slice_start_of(value: datetime, interval: str = "MONTHLY", start: date = RANGE_START) -> date:
     """:func:`slice_start` of one known value."""
     day = value.date()
-    if interval == "DAILY":
+    if slice_interval(interval) == "DAILY":
         return day
     if interval == "WEEKLY":
         return date.fromordinal(day.toordinal() - (day - start).days % 7)

@@ -32,6 +32,15 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) ->
     return best.select(*keys, "_row.*").select(df.columns)
 
 
+def one_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Distinct rows; fails when it runs if one key has rows that differ."""
+    rest = [c for c in df.columns if c not in keys]
+    row = F.any_value(F.struct(*rest)) if rest else F.any_value(F.struct(F.lit(1)))
+    checked = F.when(F.count("*") > 1, F.raise_error(F.lit("several records of one key, and no order"))).otherwise(row)
+    best = df.distinct().groupBy(*keys).agg(checked.alias("_row"))
+    return best.select(*keys, *[F.col("_row")[c].alias(c) for c in rest]).select(df.columns)
+
+
 def newest_n(df: DataFrame, keys: Sequence[str], order: Sequence[str], n: int) -> DataFrame:
     """The ``n`` newest rows of every key; ``order`` must tell rows apart.
 
@@ -133,15 +142,16 @@ def new_files(
         best = fresh.where(pick).orderBy(F.desc("filename"), F.desc("last_modified_dt")).limit(1)
         return best.withColumn("full_path", full_path)
     if imported is not None and not reload_modified:
-        names = imported.select(F.col("filename").alias("_imported"))
-        fresh = fresh.join(names, F.col("filename") == F.col("_imported"), "left_anti")
+        fresh = join_groups(fresh, imported.select("filename"), ["filename"], "left_anti")
     return fresh.withColumn("full_path", full_path)
 
 
-def cap_files(files: DataFrame, n: int = FILES_PER_RUN, newest_only: bool = False) -> DataFrame:
-    """Files of one run: the ``n`` lowest paths, or only the greatest for month refreshes."""
+def cap_files(files: DataFrame, n: int | None = None, newest_only: bool = False) -> DataFrame:
+    """Files of one run: all, the ``n`` lowest paths, or only the greatest for month refreshes."""
     if newest_only:
         return files.orderBy(F.desc("full_path")).limit(1)
+    if n is None:
+        return files
     return files.orderBy("full_path").limit(n)
 
 
@@ -192,11 +202,18 @@ def _changed(tracked: Sequence[str], old: str, new: str) -> Column:
 
 
 def _match(current: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Full outer join on keys (NULL keys meet) as two structs ``c`` and ``n``."""
-    left = current.select(F.struct(*current.columns).alias("c"))
-    right = new.select(F.struct(*new.columns).alias("n"))
-    same = reduce(Column.__and__, [F.col(f"c.{k}").eqNullSafe(F.col(f"n.{k}")) for k in keys])
-    return left.join(right, same, "full_outer")
+    """One row per key (NULL is a key) with the row of either side as structs ``c`` and ``n``.
+
+    Both sides are stacked and aggregated by key, in every task before the shuffle: repeated
+    keys do not multiply, and a hot key is small when it moves. Of several rows of one key on
+    one side the greatest counts.
+    """
+    c, n = F.struct(*current.columns), F.struct(*new.columns)
+    names = [f"_k{i}" for i in range(len(keys))]
+    own = [F.col(k).alias(name) for k, name in zip(keys, names)]
+    left = current.select(*own, c.alias("c"), F.lit(None).cast(new.select(n).schema[0].dataType).alias("n"))
+    right = new.select(*own, F.lit(None).cast(current.select(c).schema[0].dataType).alias("c"), n.alias("n"))
+    return left.unionByName(right).groupBy(*names).agg(F.max("c").alias("c"), F.max("n").alias("n")).select("c", "n")
 
 
 def scd2_delta(

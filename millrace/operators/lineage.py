@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.session import stage
+from millrace.session import stage, unstage
+
+FOLD = 8
 
 
 def stages(edges: DataFrame) -> DataFrame:
@@ -17,25 +21,38 @@ def stages(edges: DataFrame) -> DataFrame:
     return roles.select("node", stage_name.alias("stage"))
 
 
-def reachable(edges: DataFrame, starts: DataFrame, max_rounds: int = 100) -> DataFrame:
+def reachable(edges: DataFrame, starts: DataFrame) -> DataFrame:
     """Pairs (start, node): all that ``starts.node`` depends on, directly or not.
 
     One join per level; a level only extends pairs that are new, so the work follows the
-    edges reached and ends on cycles. Each level is written out to cut the lineage.
+    edges reached and ends on cycles, however deep the graph. Each level is written out to cut
+    the lineage; the levels are deleted once the result is written.
     """
-    step = edges.select(F.col("node_id").alias("_from"), F.col("child_node_id").alias("_to")).distinct()
+    step = stage(edges.select(F.col("node_id").alias("_from"), F.col("child_node_id").alias("_to")).distinct(), "edges")
     frontier = starts.select(F.col("node").alias("start"), F.col("node"))
-    found = None
-    for _ in range(max_rounds):
+    levels = []
+    while True:
         grown = frontier.join(step, F.col("node") == F.col("_from")).select("start", F.col("_to").alias("node"))
         grown = grown.distinct()
-        if found is not None:
-            grown = grown.join(found, ["start", "node"], "left_anti")
+        for level in levels:
+            grown = grown.join(level, ["start", "node"], "left_anti")
         frontier = stage(grown, "lineage")
         if frontier.isEmpty():
-            return frontier if found is None else found
-        found = frontier if found is None else found.unionByName(frontier)
-    raise RuntimeError(f"lineage is deeper than {max_rounds} levels")
+            break
+        levels.append(frontier)
+        if len(levels) >= FOLD:
+            levels = [fold(levels[:-1]), frontier]
+    result = fold([*levels, frontier])
+    unstage(step)
+    return result
+
+
+def fold(levels: list[DataFrame]) -> DataFrame:
+    """Several staged levels as one, so that plans stay short; the parts are deleted."""
+    whole = stage(reduce(DataFrame.unionByName, levels), "lineage")
+    for level in levels:
+        unstage(level)
+    return whole
 
 
 def impact(edges: DataFrame, sources: DataFrame) -> DataFrame:

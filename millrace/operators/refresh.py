@@ -19,7 +19,6 @@ from pyspark.sql import functions as F
 from millrace.operators.joins import join_groups
 
 FILE_COLUMNS = ("FILENAME", "FILE_NAME")
-MAX_IN_LIST = 1000  # names collected for a pushed-down IN list; more use a join
 
 
 class Mode(Enum):
@@ -178,16 +177,9 @@ def _file_slice(spec: RefreshSpec, batch: DataFrame, target_columns: Sequence[st
     source = next((c for c in batch.columns if c.upper() == "FILE_NAME"), None)
     if not columns or (not given and source is None):
         return Slice()
-    if len(given) > MAX_IN_LIST:
-        names = batch.sparkSession.createDataFrame([(n,) for n in given], "name string")
-        return Slice(names=names, name_columns=columns)
     if not given:
         names = batch.select(F.col(source).alias("name")).where(F.col("name").isNotNull()).distinct()
-        given = [r["name"] for r in names.take(MAX_IN_LIST + 1)]
-        if len(given) > MAX_IN_LIST:
-            return Slice(names=names, name_columns=columns)
-        if not given:
-            return Slice()
+        return Slice(names=names, name_columns=columns)
     return Slice(condition=reduce(Column.__or__, [F.col(c).isin(given) for c in columns]))
 
 
@@ -242,9 +234,11 @@ def delete_where(target: DataFrame, condition: Column) -> DataFrame:
 def upsert(
     target: DataFrame, records: DataFrame, keys: Sequence[str], order: Sequence[str] = ()
 ) -> DataFrame:
-    """Insert or update by key. Of several records with one key, the greatest ``order`` wins."""
-    from millrace.operators.changes import latest_per_key
+    """Insert or update by key. Of several records with one key, the greatest ``order`` wins;
+    without ``order`` different records of one key are an error.
+    """
+    from millrace.operators.changes import latest_per_key, one_per_key
 
-    last = latest_per_key(records, keys, order) if order else records.dropDuplicates(list(keys))
-    kept = target.join(last.select(*keys), list(keys), "left_anti")
+    last = latest_per_key(records, keys, order) if order else one_per_key(records, keys)
+    kept = join_groups(target, last.select(*keys), list(keys), "left_anti")
     return kept.unionByName(last.select(target.columns))

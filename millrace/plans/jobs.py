@@ -5,14 +5,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import replace as with_values
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.context import RunContext
 from millrace.functions.audit import add_audit
 from millrace.functions.naming import normalize_columns
 from millrace.operators.changes import (
-    FILES_PER_RUN,
     cap_files,
     changed_content,
     imported_names,
@@ -25,7 +24,7 @@ from millrace.operators.schema import SchemaPolicy, Transform, new_fields, recon
 from millrace.plans.events import EventLog, logged
 from millrace.plans.exports import backup_by_month, write_delimited
 from millrace.plans.table import WarehouseTable
-from millrace.session import stage
+from millrace.session import stage, unstage
 from millrace.sources.files import read_files
 from millrace.sources.listing import hash_files
 from millrace.sources.spec import Source
@@ -138,17 +137,19 @@ def incremental_files_job(
     pattern: str | None = None,
     ingest_type: str | Mode = Mode.CDC,
     partition_value: str | None = None,
-    cap: int = FILES_PER_RUN,
+    cap: int | None = None,
     force_rerun: bool = False,
     reload_modified: bool = False,
     transforms: Transform | Sequence[Transform] | None = None,
     events: EventLog | None = None,
     read_options: dict | None = None,
 ) -> list[str]:
-    """Load the files that are new since the last run, oldest names first, and log them.
+    """Load the files that are new since the last run, and log them.
 
-    All files of a run go into one load. They are logged after it, so a failed run is
-    simply repeated; CDC makes the repeat harmless.
+    All new files, or the ``cap`` lowest paths, go into one load; the others are left for the
+    next run. A month refresh takes the newest file only, and logs the older ones with it: they
+    are superseded, and must not be loaded over it later. Files are logged after the load, so a
+    failed run is simply repeated; CDC makes the repeat harmless.
     """
     mode = parse_mode(ingest_type)
     seen = log.read() if log.exists else listing.where(F.lit(False))
@@ -156,7 +157,8 @@ def incremental_files_job(
     fresh = new_files(
         listing, seen, imported, pattern, mode is Mode.MASTERDATA, force_rerun, reload_modified
     )
-    todo = stage(cap_files(fresh, cap, newest_only=mode is Mode.MTD), "files")
+    fresh = stage(fresh, "files")
+    todo = cap_files(fresh, cap, newest_only=mode is Mode.MTD)
     files = [(r["full_path"], r["filename"]) for r in todo.orderBy("full_path").collect()]
     if not files:
         return []
@@ -164,7 +166,9 @@ def incremental_files_job(
         ingest_type=mode, partition_column=table.partition_column, partition_value=partition_value or ctx.run_date
     )
     _load_files(spark, files, fmt, table, ctx, spec, transforms, events, read_options)
-    log.upsert(todo.drop("full_path"), ["parent_path", "filename", "st_mtime"])
+    done = fresh if mode is Mode.MTD else todo
+    log.upsert(done.drop("full_path"), ["parent_path", "filename", "st_mtime"])
+    unstage(fresh)
     return [path for path, _ in files]
 
 
@@ -199,6 +203,7 @@ def changed_files_job(
     n = _load_files(spark, files, fmt, table, ctx, spec, transforms, events, read_options)
     if is_logging:
         log.upsert(hashed.drop("parent_path"), ["file_name", "hash_check_sum"], ["st_mtime"])
+    unstage(hashed)
     return n
 
 
@@ -287,6 +292,11 @@ def run_log_job(
     return load_frame(rows, table, ctx, spec)
 
 
+def one_slash(path) -> Column:
+    """A path whose scheme is followed by one slash, as listings and readers write it differently."""
+    return F.regexp_replace(path, "^([a-z0-9]+):/+", "$1:/")
+
+
 def logged_files_job(
     spark: SparkSession,
     logged_listing: DataFrame,
@@ -308,5 +318,8 @@ def logged_files_job(
     if not files:
         return todo.withColumn("n_lines", F.lit(0).cast("bigint"))
     _load_files(spark, files, fmt, table, ctx, RefreshSpec(ingest_type=Mode.CDC), None, None, read_options)
-    lines = table.read().groupBy(F.col("FILE_NAME").alias("filename")).agg(F.count("*").alias("n_lines"))
-    return todo.join(lines, "filename", "left").withColumn("n_lines", F.coalesce("n_lines", F.lit(0).cast("bigint")))
+    # Files of one name in several folders are told apart by their paths.
+    loaded = read_files(spark, [path for path, _ in files], fmt, with_path=True, **(read_options or {}))
+    lines = loaded.groupBy(one_slash("FILE_PATH").alias("_path")).agg(F.count("*").alias("n_lines"))
+    own = todo.withColumn("_path", one_slash(F.concat_ws("/", "parent_path", "filename")))
+    return own.join(lines, "_path", "left").drop("_path").withColumn("n_lines", F.coalesce("n_lines", F.lit(0).cast("bigint")))

@@ -3,7 +3,8 @@
 A table is an external catalog table ``SCHEMA.TABLE``. Its partition column stays a normal
 column; the first day of its month (or day, week, year) is the directory key SLICE_START.
 A slice refresh rewrites only the affected slices in one dynamic overwrite, which Spark
-stages and commits at the end. A full refresh writes a new location and swaps the names.
+stages and commits at the end. A full refresh writes a new location and swaps the names; if a
+run dies between the two renames, the next one to touch the table puts the old version back.
 One writer per table at a time; re-running a failed refresh repairs it.
 """
 
@@ -18,7 +19,8 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.operators.calendar import slice_start, slice_start_of
+from millrace.operators.calendar import slice_interval, slice_start, slice_start_of
+from millrace.operators.joins import join_groups
 from millrace.operators.reconcile import month_mismatch, reconcile_totals
 from millrace.operators.refresh import RefreshSpec, Slice, resolve
 from millrace.operators.schema import add_missing_columns, fit, order_columns, sync_types
@@ -48,7 +50,7 @@ class WarehouseTable:
         self.name = name
         self.database, self.table = split_name(name)
         self.partition_column = None if partition_column == "None" else partition_column
-        self.interval = interval
+        self.interval = slice_interval(interval)
         if self.exists:
             stored = self._properties()
             self.partition_column = stored.get("millrace.partition_column")
@@ -58,7 +60,29 @@ class WarehouseTable:
 
     @property
     def exists(self) -> bool:
-        return table_exists(self.spark, self.name)
+        return table_exists(self.spark, self.name) or self._recover()
+
+    def _recover(self) -> bool:
+        """A swap that died between its renames left the table under its backup name: put it back."""
+        backups = self._versions("BACKUP")
+        if backups:
+            self.spark.sql(f"ALTER TABLE {backups[0]} RENAME TO {self.name}")
+        return bool(backups)
+
+    def _versions(self, kind: str) -> list[str]:
+        """Tables that an unfinished full refresh left behind."""
+        if not self.spark.catalog.databaseExists(self.database):
+            return []
+        pattern = f"{self.table}__{kind}_*".lower()
+        rows = self.spark.sql(f"SHOW TABLES IN {self.database} LIKE '{pattern}'").collect()
+        return sorted(f"{self.database}.{r['tableName']}" for r in rows)
+
+    def _clean(self) -> None:
+        """Drop versions of runs that died before or after their swap."""
+        for name in [*self._versions("NEXT"), *self._versions("BACKUP")]:
+            where = self._location(name)
+            self.spark.sql(f"DROP TABLE {name}")
+            delete_path(self.spark, where)
 
     def _properties(self, name: str | None = None) -> dict[str, str]:
         rows = self.spark.sql(f"SHOW TBLPROPERTIES {name or self.name}").collect()
@@ -156,6 +180,8 @@ class WarehouseTable:
 
     def replace(self, df: DataFrame) -> int:
         """Full refresh: the table gets the rows and the schema of ``df``."""
+        if self.exists:
+            self._clean()
         name = f"{self.name}__NEXT_{uuid.uuid4().hex[:8]}"
         self.create(df.schema, name)
         n = self._insert(self._sliced(df, df.schema), name)
@@ -269,20 +295,27 @@ class WarehouseTable:
         schema: T.StructType,
         present: Sequence[date | None],
     ) -> int:
-        """Rewrite the touched slices and those the batch falls in, in one commit."""
+        """Rewrite the touched slices in one commit, then append the rows of all others.
+
+        Slices that lose nothing keep their files. The append comes last: a run that dies before
+        it is repeated whole, and finds the touched slices as it would have left them.
+        """
         rows = self._sliced(batch, schema)
         incoming = self._slices_of(rows)
-        affected = (touched | incoming) & set(present)
         target = self.spark.table(self.name)
+        touched = touched & set(present)
         bare = touched - incoming
         kept = self._slices_of(survivors(target.where(self._slice_in(bare)))) if bare else set()
-        if affected:
-            rows = survivors(target.where(self._slice_in(affected))).unionByName(rows)
-        if incoming or kept:
-            many = len(affected | incoming) > 1
-            self._insert(rows.select(target.columns), self.name, overwrite=True, spread=many)
+        new = incoming - touched
+        if (touched & incoming) or kept:
+            stay = survivors(target.where(self._slice_in(touched)))
+            whole = stay.unionByName(rows.where(self._slice_in(touched)) if new else rows)
+            self._insert(whole.select(target.columns), self.name, overwrite=True, spread=len(touched) > 1)
         for emptied in bare - kept:
             self.purge(emptied)
+        if new:
+            rest = rows.where(self._slice_in(new)) if touched else rows
+            self._insert(rest.select(target.columns), self.name, spread=len(new) > 1)
         return batch.count()
 
     def refresh_slices(self, batch: DataFrame, due: Sequence[date] = ()) -> int:
@@ -298,9 +331,11 @@ class WarehouseTable:
         def work(rows: DataFrame) -> int:
             sliced = self._sliced(rows, self.schema)
             wanted = {slice_start_of(_midnight(d), self.interval) for d in due}
-            for emptied in (wanted & set(self.slices())) - self._slices_of(sliced):
+            bare = (wanted & set(self.slices())) - self._slices_of(sliced)
+            n = self._insert(sliced, self.name, overwrite=True)
+            for emptied in bare:
                 self.purge(emptied)
-            return self._insert(sliced, self.name, overwrite=True)
+            return n
 
         return self._with_stage(self._aligned(batch), False, work)
 
@@ -311,10 +346,13 @@ class WarehouseTable:
         self._rewrite(hit, nothing)
 
     def upsert(self, records: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> int:
-        """Insert or update by key; rewrites only slices that hold one of the keys."""
-        from millrace.operators.changes import latest_per_key
+        """Insert or update by key; rewrites only slices that hold one of the keys.
+
+        Of several records with one key the greatest ``order`` wins; without it they must be equal.
+        """
+        from millrace.operators.changes import latest_per_key, one_per_key
 
-        last = latest_per_key(records, keys, order) if order else records.dropDuplicates(list(keys))
+        last = latest_per_key(records, keys, order) if order else one_per_key(records, keys)
         if not self.exists:
             return self.append(last)
 
@@ -322,13 +360,13 @@ class WarehouseTable:
             chosen = rows.select(*keys)
 
             def survivors(df: DataFrame) -> DataFrame:
-                return df.join(chosen, list(keys), "left_anti")
+                return join_groups(df, chosen, keys, "left_anti")
 
             schema = self.schema
             if not self.partition_column:
                 self._replace_keeping_schema(survivors(self.read()).unionByName(fit(rows, schema)), schema)
                 return rows.count()
-            touched = self._slices_of(self.spark.table(self.name).join(chosen, list(keys), "left_semi"))
+            touched = self._slices_of(join_groups(self.spark.table(self.name), chosen, keys, "left_semi"))
             return self._overwrite(touched, survivors, rows, schema, self.slices())
 
         return self._with_stage(last, False, work)
@@ -348,7 +386,7 @@ class WarehouseTable:
         delete_path(self.spark, where)
 
     def repartition(self, column: str, interval: str = "MONTHLY") -> bool:
-        """Rebuild the table partitioned by ``column``, check the counts, swap.
+        """Rebuild the table partitioned by ``column``, check counts and content, swap.
 
         After an interruption only the months whose counts differ are written again.
         """
@@ -363,9 +401,10 @@ class WarehouseTable:
             month = F.trunc(column, "MM")
             chosen = source.where(month.isin([F.lit(m) for m in wrong]) | F.col(column).isNull())
             new.refresh_slices(chosen)
-            for m in set(wrong) - {r[0] for r in chosen.select(month).distinct().collect()}:
-                new.delete(month == F.lit(m))
-        return self.swap_with(new)
+            gone = set(wrong) - {r[0] for r in chosen.select(month).distinct().collect()}
+            if gone:
+                new.delete(month.isin([F.lit(m) for m in gone]))
+        return self.swap_with(new, content=True)
 
 
 def _midnight(day: date):

@@ -49,6 +49,12 @@ def delete_path(spark: SparkSession, path: str) -> bool:
     return fs.delete(jvm_path, True)
 
 
+def unstage(df: DataFrame) -> None:
+    """Delete what :func:`stage` wrote, once nothing reads it any more."""
+    for file in df.inputFiles()[:1]:
+        delete_path(df.sparkSession, file.rsplit("/", 1)[0])
+
+
 def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     """Write ``df`` once to shared storage and read it back.
 

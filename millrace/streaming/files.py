@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from millrace.operators.changes import FILES_PER_RUN
 from millrace.operators.refresh import Mode, RefreshSpec
 from millrace.plans.table import WarehouseTable
 
@@ -17,12 +16,17 @@ def file_stream(
     path: str,
     schema: T.StructType,
     fmt: str = "parquet",
-    max_files: int = FILES_PER_RUN,
+    max_files: int | None = None,
     latest_first: bool = False,
     **options,
 ) -> DataFrame:
-    """Stream of the files in a folder, each row with its FILE_NAME; at most ``max_files`` per batch."""
-    reader = spark.readStream.format(fmt).schema(schema).option("maxFilesPerTrigger", max_files)
+    """Stream of the files in a folder, each row with its FILE_NAME.
+
+    A batch takes all files that are there, or at most ``max_files``; the others follow.
+    """
+    reader = spark.readStream.format(fmt).schema(schema)
+    if max_files is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files)
     rows = reader.option("latestFirst", latest_first).options(**options).load(path)
     return rows.withColumn("FILE_NAME", F.col("_metadata.file_name"))
 
