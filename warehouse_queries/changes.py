@@ -70,7 +70,7 @@ def new_files_modified(spark, d):
     NEW_SQL + " AND filename NOT IN (SELECT filename FROM imported) ORDER BY full_path LIMIT 20",
 )
 def new_files_capped(spark, d):
-    return C.cap_files(C.new_files(listing(spark, d), log(spark, d), imported(spark, d)))
+    return C.cap_files(C.new_files(listing(spark, d), log(spark, d), imported(spark, d)), C.FILES_PER_RUN)
 
 
 @query(
@@ -328,13 +328,15 @@ def lineage_stages(spark, d):
     f"""
     WITH RECURSIVE {EDGES},
     r AS (SELECT node_id AS start, child_node_id AS node FROM edges
+          WHERE node_id NOT IN (SELECT child_node_id FROM edges)
           UNION SELECT r.start, e.child_node_id FROM r JOIN edges e ON e.node_id = r.node)
     SELECT start, node FROM r
     """,
 )
 def lineage_closure(spark, d):
+    """All that the end products (nodes that feed nothing) depend on."""
     e = edges(spark, d)
-    return lineage.reachable(e, e.select(F.col("node_id").alias("node")))
+    return lineage.reachable(e, lineage.stages(e).where("stage = 'root'").select("node"))
 
 
 @query(

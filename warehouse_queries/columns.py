@@ -321,14 +321,6 @@ def content_hash(spark, d):
     return table(spark, d, "documents").select("doc_id", text.content_sha("text", 256).alias("hash"))
 
 
-@query("content_hash_blake2b")
-def content_hash_blake2b(spark, d):
-    """BLAKE2b, which DuckDB lacks; tests compare it with hashlib."""
-    return table(spark, d, "documents").select(
-        "doc_id", text.blake2b_hex(F.encode("text", "UTF-8")).alias("hash")
-    )
-
-
 @query(
     "name_filter",
     """

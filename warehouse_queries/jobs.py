@@ -35,15 +35,15 @@ def sales_source(spark, d, first, last):
 
 SALES_SQL = f"""
     SELECT o_orderdate AS O_ORDERDATE, o_orderpriority AS O_ORDERPRIORITY, count(*) AS N_ORDERS, {AUDIT} FROM orders
-    WHERE o_orderdate >= TIMESTAMP '1997-01-01' AND o_orderdate < TIMESTAMP '1997-07-01' GROUP BY ALL
+    GROUP BY ALL
 """
 
 
 @query("job_transform", SALES_SQL)
 def job_transform(spark, d):
-    """Half a year loaded, then March loaded twice: the table stays the same."""
+    """All months loaded, then March loaded twice: the table stays the same."""
     target = WarehouseTable(spark, f"{new_database(spark)}.SALES", "O_ORDERDATE")
-    jobs.transform_job(spark, sales_source(spark, d, "1997-01-01", "1997-07-01"), target, CTX)
+    jobs.transform_job(spark, sales_source(spark, d, "0001-01-01", "9999-01-01"), target, CTX)
     for _ in range(2):
         jobs.transform_job(spark, sales_source(spark, d, "1997-03-01", "1997-04-01"), target, CTX)
     return target.read()
@@ -186,12 +186,13 @@ def job_logged_files(spark, d):
 def job_two_steps(spark, d):
     db = new_database(spark)
     staging, target = WarehouseTable(spark, f"{db}.STG_SALES"), WarehouseTable(spark, f"{db}.SALES", "MONTH")
-    lines = table(spark, d, "lineitem").where("l_shipdate >= '1997-03-01' AND l_shipdate < '1997-04-01'")
+    lines = table(spark, d, "lineitem")
     net = F.col("l_extendedprice") * (1 - F.col("l_discount"))
     source = Source(lambda: lines.select("l_shipdate", "l_returnflag", net.alias("net")), "memory")
 
     def build(df):
         month = F.trunc("L_SHIPDATE", "MM").cast("timestamp_ntz").alias("MONTH")
+        df = df.where("L_SHIPDATE >= '1997-03-01' AND L_SHIPDATE < '1997-04-01'")
         return df.groupBy(month, "L_RETURNFLAG").agg(money_sum(F.col("NET")).alias("REVENUE"))
 
     for _ in range(2):
@@ -199,16 +200,28 @@ def job_two_steps(spark, d):
     return target.read()
 
 
-@query("job_history_load", FILE_ORDERS + " WHERE o_orderdate >= TIMESTAMP '1996-01-01'")
+@query("job_history_load", FILE_ORDERS)
 def job_history_load(spark, d):
     """A bulk load over months that are partly there: each month in the file replaces the month in the table."""
     orders = table(spark, d, "orders").select("o_orderkey", "o_totalprice", "o_orderdate")
     target = WarehouseTable(spark, f"{new_database(spark)}.ORDERS", "O_ORDERDATE")
-    for part in ("o_orderdate >= '1996-01-01' AND o_totalprice < 200000", "o_orderdate >= '1996-01-01'"):
+    for part in ("o_totalprice < 200000", "true"):
         jobs.history_job(spark, Source(lambda part=part: orders.where(part), "memory"), target, CTX)
     return target.read()
 
 
+@query("month_driver", FILE_ORDERS + " WHERE NOT (o_orderdate >= TIMESTAMP '1997-03-01' AND o_orderdate < TIMESTAMP '1997-05-01')")
+def month_driver(spark, d):
+    """All months loaded, then two run dates whose months the source no longer has: they are emptied."""
+    orders = table(spark, d, "orders").select("o_orderkey", "o_totalprice", "o_orderdate")
+    target = WarehouseTable(spark, f"{new_database(spark)}.ORDERS", "O_ORDERDATE")
+    jobs.history_job(spark, Source(lambda: orders, "memory"), target, CTX)
+    later = orders.where("o_orderdate >= '1998-01-01'")
+    dates = spark.sql("SELECT explode(sequence(DATE'1997-03-31', DATE'1997-04-30', INTERVAL 1 MONTH)) AS run_date")
+    jobs.history_job(spark, Source(lambda: later, "memory"), target, CTX, run_dates=dates)
+    return target.read()
+
+
 @query(
     "job_mirror",
     f"SELECT c_custkey AS C_CUSTKEY, c_name AS C_NAME, c_nationkey AS C_NATIONKEY, c_acctbal AS C_ACCTBAL, "
@@ -235,12 +248,11 @@ def job_backup(spark, d):
 
 @query(
     "job_export",
-    "SELECT o_orderpriority, count(*) AS n_orders FROM orders WHERE o_orderdate >= TIMESTAMP '1997-03-01' "
-    "AND o_orderdate < TIMESTAMP '1997-04-01' GROUP BY 1",
+    "SELECT o_orderpriority, count(*) AS n_orders FROM orders GROUP BY 1",
 )
 def job_export(spark, d):
     path = scratch_dir(spark, "export") + "/report.csv"
-    source = sales_source(spark, d, "1997-03-01", "1997-04-01")
+    source = sales_source(spark, d, "0001-01-01", "9999-01-01")
     jobs.export_job(spark, source, path, CTX)
     out = read_files(spark, path, "csv")
     return out.groupBy("o_orderpriority").agg(F.sum("n_orders").alias("n_orders"))

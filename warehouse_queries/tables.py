@@ -2,16 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import functions as F
 
 from millrace.operators.refresh import RefreshSpec
 from millrace.plans import exports
 from millrace.plans.table import WarehouseTable
 from millrace.session import scratch_dir
-from millrace.sources import files, listing, workbook
+from millrace.sources import files, listing
 from millrace.sources.spec import Source
 from millrace.streaming.files import file_stream, ingest_stream
 from warehouse_queries.refreshes import BOUNDS_SQL, CDC_SQL, MONTH_SQL, march, three_days
@@ -55,12 +52,19 @@ def all_string_scan(spark, d):
     return files.read_text_all(spark, path, "txt")
 
 
-@query("sampled_inference", "SELECT o_orderkey, o_custkey, o_totalprice, o_orderdate, o_orderpriority FROM orders")
+@query(
+    "sampled_inference",
+    "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority, "
+    "CASE WHEN o_orderkey = (SELECT max(o_orderkey) FROM orders) THEN 'unknown' ELSE CAST(o_custkey AS VARCHAR) END AS late FROM orders",
+)
 def sampled_inference(spark, d):
+    """Types by the looks of all values: one that does not fit, in the last row, keeps its column text."""
     path = scratch_dir(spark, "orders") + ".csv"
-    orders = table(spark, d, "orders").drop("o_orderstatus")
-    exports.write_delimited(orders, path)
-    out = files.read_delimited(spark, path, infer_rows=files.INFER_ROWS)
+    orders = table(spark, d, "orders")
+    top = orders.agg(F.max("o_orderkey")).scalar()
+    late = F.when(F.col("o_orderkey") == top, "unknown").otherwise(F.col("o_custkey").cast("string"))
+    exports.write_delimited(orders.withColumn("late", late), path)
+    out = files.read_delimited(spark, path, infer_looks=True)
     casts = {c: F.col(c).cast("bigint") for c in ("o_orderkey", "o_custkey")}
     return out.withColumns({**casts, "o_orderdate": F.col("o_orderdate").cast("timestamp_ntz")})
 
@@ -85,6 +89,62 @@ def multi_path_union(spark, d):
     return out.withColumn("id", F.col("id").cast("bigint"))
 
 
+@query(
+    "folder_mixed_headers",
+    """
+    SELECT c_custkey AS id, c_name AS name, c_acctbal AS balance FROM customer
+    UNION ALL SELECT s_suppkey, s_name, s_acctbal FROM supplier
+    """,
+)
+def folder_mixed_headers(spark, d):
+    """One folder of files whose columns stand in different orders, with different delimiters."""
+    root = scratch_dir(spark, "mixed")
+    customers = table(spark, d, "customer").selectExpr("c_custkey AS id", "c_name AS name", "c_acctbal AS balance")
+    suppliers = table(spark, d, "supplier").selectExpr("s_acctbal AS balance", "s_name AS name", "s_suppkey AS id")
+    exports.write_delimited(customers, f"{root}/all.csv")
+    exports.write_delimited(suppliers, f"{root}/all.csv", delimiter=",", mode="append")
+    out = files.read_files(spark, f"{root}/all.csv", "csv", auto_delimiter=True)
+    return out.withColumn("id", F.col("id").cast("bigint"))
+
+
+@query(
+    "parquet_glob_merge",
+    """
+    SELECT c_custkey AS id, c_acctbal AS balance, CAST(NULL AS VARCHAR) AS name FROM customer
+    UNION ALL SELECT s_suppkey, NULL, s_name FROM supplier
+    """,
+)
+def parquet_glob_merge(spark, d):
+    """Parquet files with different columns under one glob."""
+    root = scratch_dir(spark, "merge")
+    exports.write_parquet(table(spark, d, "customer").selectExpr("c_custkey AS id", "c_acctbal AS balance"), f"{root}/a")
+    exports.write_parquet(table(spark, d, "supplier").selectExpr("s_suppkey AS id", "s_name AS name"), f"{root}/b")
+    return files.read_files(spark, f"{root}/*/*.parquet", "parquet")
+
+
+@query("encoding_choice", "SELECT doc_id, lang || ' é' AS lang, source FROM documents")
+def encoding_choice(spark, d):
+    """Latin-1 and UTF-8 files in one folder; each is read in the encoding that all its bytes say."""
+    root = scratch_dir(spark, "encoding")
+    docs = table(spark, d, "documents").select("doc_id", F.concat("lang", F.lit(" é")).alias("lang"), "source")
+    for part, name in (("doc_id % 2 = 0", "ISO-8859-1"), ("doc_id % 2 = 1", "UTF-8")):
+        docs.where(part).write.mode("append").options(header=True, sep="|", encoding=name).csv(f"{root}/all")
+    return files.read_files(spark, f"{root}/all", "csv", encoding="auto").withColumn("doc_id", F.col("doc_id").cast("bigint"))
+
+
+@query("archive_fallback", "SELECT count(*) AS n_rows, TRUE AS from_archive FROM orders")
+def archive_fallback(spark, d):
+    """The first folder has no file of the pattern, so the archive is listed and read."""
+    root = scratch_dir(spark, "archive")
+    exports.write_parquet(table(spark, d, "orders"), f"{root}/archive")
+    exports.write_delimited(table(spark, d, "region"), f"{root}/inbox.csv")
+    inbox = listing.list_directory(spark, f"{root}/inbox.csv", "*.parquet")
+    found = listing.list_with_fallback(inbox, listing.list_directory(spark, f"{root}/archive", "*.parquet"))
+    paths = [f"{r['parent_path']}/{r['filename']}" for r in found.select("parent_path", "filename").collect()]
+    rows = files.read_parquet(spark, paths).agg(F.count("*").alias("n_rows"))
+    return rows.withColumn("from_archive", F.lit(all("/archive/" in p for p in paths)))
+
+
 @query(
     "directory_listing",
     "SELECT strftime(o_orderdate, '%Y-%m-01') AS month, count(*) AS n_rows, 1 AS has_files FROM orders GROUP BY 1",
@@ -137,50 +197,6 @@ def memory_source(spark, d):
     return Source(rich, "memory").read(spark)
 
 
-def _write_books(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    import io
-    import zipfile
-    from xml.sax.saxutils import escape
-
-    for batch in batches:
-        rows = [["s_suppkey", "s_name", "s_acctbal"], *batch[["s_suppkey", "s_name", "s_acctbal"]].values.tolist()]
-        body = ""
-        for i, row in enumerate(rows, start=2):
-            cells = "".join(
-                f'<c r="{"BCD"[j]}{i}" t="inlineStr"><is><t>{escape(v)}</t></is></c>'
-                if isinstance(v, str)
-                else f'<c r="{"BCD"[j]}{i}"><v>{v!r}</v></c>'
-                for j, v in enumerate(row)
-            )
-            body += f'<row r="{i}">{cells}</row>'
-        main = "http://schemas.openxmlformats.org/spreadsheetml/2006/main"
-        rel = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
-        package = "http://schemas.openxmlformats.org/package/2006/relationships"
-        out = io.BytesIO()
-        with zipfile.ZipFile(out, "w") as book:
-            sheet = f'<sheets><sheet name="Data" sheetId="1" r:id="rId1"/></sheets>'
-            book.writestr("xl/workbook.xml", f'<workbook xmlns="{main}" xmlns:r="{rel}">{sheet}</workbook>')
-            link = '<Relationship Id="rId1" Target="worksheets/sheet1.xml"/>'
-            book.writestr("xl/_rels/workbook.xml.rels", f'<Relationships xmlns="{package}">{link}</Relationships>')
-            data = f"<sheetData>{body}</sheetData>"
-            book.writestr("xl/worksheets/sheet1.xml", f'<worksheet xmlns="{main}">{data}</worksheet>')
-        yield pd.DataFrame({"path": [str(batch["s_suppkey"].iloc[0])], "content": [out.getvalue()]})
-
-
-@query("workbook_cells", "SELECT s_suppkey, s_name, s_acctbal FROM supplier")
-def workbook_cells(spark, d):
-    """Suppliers as workbooks (one per Arrow batch, so of bounded size), read back by area."""
-    books = table(spark, d, "supplier").mapInPandas(_write_books, "path string, content binary")
-    area = workbook.select_area(workbook.rows_of(books), "Data!B2")
-    rows = area.where(F.col("row_index") > 2)
-    out = workbook.to_columns(rows, ["s_suppkey", "s_name", "s_acctbal"])
-    return out.select(
-        F.col("s_suppkey").cast("bigint").alias("s_suppkey"),
-        "s_name",
-        F.col("s_acctbal").cast("double").alias("s_acctbal"),
-    )
-
-
 def orders_table(spark, d, **options):
     db = new_database(spark)
     target = WarehouseTable(spark, f"{db}.orders", "o_orderdate", **options)
@@ -296,11 +312,11 @@ def repartition_roundtrip(spark, d):
     return target.read()
 
 
-@query("swap_roundtrip", ORDERS + " WHERE o_orderdate < TIMESTAMP '2001-01-01'")
+@query("swap_roundtrip", ORDERS)
 def swap_roundtrip(spark, d):
     """A new version with other counts is refused; one with equal content takes the place."""
     db = new_database(spark)
-    orders = table(spark, d, "orders").where("o_orderdate < '2001-01-01'")
+    orders = table(spark, d, "orders")
     target, short, full = (WarehouseTable(spark, f"{db}.{n}", "o_orderdate") for n in ("orders", "short", "full"))
     target.append(orders)
     short.append(orders.where("o_totalprice > 100000"))
