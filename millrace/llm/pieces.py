@@ -146,14 +146,15 @@ class Normalizer:
                 after_space = new.endswith(" ")
             if not squeeze:
                 after_space = False
-        done = "".join(out)
+        done = "".join(out).replace(" ", self.space)
         end = parts[-1][2]
         if squeeze:
-            short = done.rstrip(" ")
+            # The library cuts signs that stood in the text, too.
+            short = done.rstrip(self.space)
             if len(short) < len(done):
                 end = source[len(short)]
             done, source = short, source[: len(short)]
-        return done.replace(" ", self.space), np.array([*source, end], dtype=np.int64)
+        return done, np.array([*source, end], dtype=np.int64)
 
 
 class Merges:
