@@ -16,7 +16,7 @@ distinct words and pairs with their training counts, and get back the corpus cou
 order, so that each token is evaluated where its document is. Counts of counts come back with
 every answer. What travels grows with the corpus; the driver gets nothing.
 
-Words are told apart by 64-bit hashes, continuations of one context by 48 bits.
+Words are told apart by 64-bit hashes, continuations of one context by 40 bits.
 
 Edge cases: a null or empty text has one token, the end; documents of any length are whole;
 rows with a null id are not trained on and count as not held out; repeated rows are counted as
@@ -37,8 +37,11 @@ from millrace.llm.words import Words
 END = np.uint64(0x3C6EF372FE94F82B)
 BEGIN = np.uint64(0xA54FF53A5F1D36F1)
 TOP = 5
+#: Larger chunks repeat fewer words and pairs between them.
+CHUNK_BYTES = 8 << 20
 WORDS, PAIRS = 1, 2
-LOW_BITS = np.uint64(0xFFFF)
+#: Bits of a word's hash that tell it apart among the continuations of one context.
+KEEP_BITS = np.uint64(40)
 
 
 def counts_of_counts(counts: np.ndarray) -> np.ndarray:
@@ -88,14 +91,19 @@ class WordModel:
         return np.log10((counts + 0.5) / (self.total + 0.5 * (self.types + 1)))
 
 
-def pack_values(values: np.ndarray) -> list[bytes]:
-    """Numbers of few distinct values."""
-    few, at = np.unique(values, return_inverse=True)
-    return [pack(few.view(np.uint64)), pack(at.astype(np.uint32))]
+def pack_runs(values: np.ndarray, per: np.ndarray) -> bytes:
+    """Values that rise within runs of given lengths, as steps; each run starts with its first value."""
+    steps = np.diff(values, prepend=np.uint64(0))
+    starts = (np.cumsum(per) - per)[per > 0]
+    steps[starts] = values[starts]
+    return pack(steps)
 
 
-def unpack_values(packed: list[bytes]) -> np.ndarray:
-    return unpack(packed[0], np.uint64).view(np.float64)[unpack(packed[1], np.uint32)]
+def unpack_runs(data: bytes, per: np.ndarray) -> np.ndarray:
+    sums = np.cumsum(unpack(data, np.uint64), dtype=np.uint64)
+    starts = np.cumsum(per) - per
+    ahead = np.concatenate([[np.uint64(0)], sums])[starts].astype(np.uint64)
+    return sums - np.repeat(ahead, per)
 
 
 class ChunkTokens:
@@ -137,6 +145,7 @@ class ChunkTokens:
         self.counts = np.concatenate([unpack(r["more"][1], np.int64) for r in got])
         if len(self.counts) != len(self.words):
             raise RuntimeError("the answers do not fit the words of this chunk")
+        self.sums = sums
         self.model = WordModel(int(sums[0]), int(sums[1]), sums[2:])
         self.p_word = self.model(self.counts)
         # Occurrences of each context in training; texts begin as often as they end.
@@ -156,6 +165,9 @@ class ChunkTokens:
         self.context = np.full(len(order_of), -1, dtype=np.int64)
         self.context[order_of[used]] = np.arange(len(used))
         self.contexts = context_hash[order_of[used]]
+        # Only documents that are not trained on can hold a pair that training has not seen.
+        self.backs_off = np.zeros(len(used), dtype=np.uint8)
+        self.backs_off[self.context[self.before[ask & ~self.trained]]] = 1
         known = np.flatnonzero(ask & (self.counts[self.word] > 0))
         context = self.context[self.before[known]]
         code = context * len(self.words) + self.word[known]
@@ -177,7 +189,8 @@ class ChunkTokens:
         for a, b, i, j in zip(edges[:-1], edges[1:], cuts[:-1], cuts[1:], strict=True):
             word = self.pair_word[i:j]
             rows.append((pack_sorted(self.contexts[a:b]), [
-                pack(per[a:b]), pack(self.words[word] & ~LOW_BITS), pack(self.pair_trained[i:j]), *pack_values(self.p_word[word]),
+                pack(per[a:b]), pack(self.backs_off[a:b]), pack_runs(self.words[word] >> (np.uint64(64) - KEEP_BITS), per[a:b]),
+                pack(self.pair_trained[i:j]), pack(self.counts[word]), pack(self.sums),
             ]))
         return self._table(rows)
 
@@ -235,7 +248,7 @@ def answer_words(table: pa.Table) -> pa.Table:
 
 def answer_pairs(table: pa.Table) -> pa.Table:
     """Per packet: the corpus counts of its pairs; per context the number of continuations that
-    occur 1 .. TOP times, and the sum of P(w) over all that occur.
+    occur 1 .. TOP times and, if the chunk may back off there, the sum of P(w) over all that occur.
     """
     rows = table.sort_by("chunk")
     more = rows.column("more").to_pylist()
@@ -244,9 +257,11 @@ def answer_pairs(table: pa.Table) -> pa.Table:
     n_contexts, n_pairs = [len(c) for c in contexts], [int(p.sum()) for p in per]
     names, context = np.unique(np.concatenate(contexts), return_inverse=True)
     of_pair = np.repeat(context, np.concatenate(per))
-    word = np.concatenate([unpack(m[1], np.uint64) for m in more])
-    own = np.concatenate([unpack(m[2], np.uint64) for m in more]).astype(np.int64)
-    lower = np.concatenate([unpack_values(m[3:5]) for m in more])
+    asks = [unpack(m[1], np.uint8) for m in more]
+    word = np.concatenate([unpack_runs(m[2], p) for m, p in zip(more, per, strict=True)])
+    own = np.concatenate([unpack(m[3], np.uint64) for m in more]).astype(np.int64)
+    sums = unpack(more[0][5], np.int64)
+    lower = WordModel(int(sums[0]), int(sums[1]), sums[2:])(np.concatenate([unpack(m[4], np.int64) for m in more]))
     order = np.lexsort((word, of_pair))
     first = first_of_runs(of_pair[order]) | first_of_runs(word[order])
     at = np.flatnonzero(first)
@@ -259,10 +274,13 @@ def answer_pairs(table: pa.Table) -> pa.Table:
     low = np.zeros((len(names), TOP), dtype=np.uint32)
     few = seen & (total <= TOP)
     np.add.at(low, (home[few], total[few] - 1), 1)
+    # Where a chunk does not back off it only has to know whether anything is discounted.
+    some = np.zeros_like(low)
+    some[:, 0] = low.any(axis=1)
     stats = pack(counts_of_counts(total))
     answers = [
-        [stats, pack(pairs), pack(low[mine].reshape(-1)), pack(sums[mine].view(np.uint64))]
-        for pairs, mine in zip(np.split(out, np.cumsum(n_pairs)[:-1]), np.split(context, np.cumsum(n_contexts)[:-1]), strict=True)
+        [stats, pack(pairs), pack(np.where(asked[:, None] > 0, low[mine], some[mine]).reshape(-1)), pack(np.where(asked, sums[mine], 0.0).view(np.uint64))]
+        for pairs, mine, asked in zip(np.split(out, np.cumsum(n_pairs)[:-1]), np.split(context, np.cumsum(n_contexts)[:-1]), asks, strict=True)
     ]
     return answers_table(rows, answers)
 
@@ -304,11 +322,12 @@ def score(table: pa.Table, answers: pa.Table) -> pa.Table:
     })
 
 
-def katz_scores(docs: DataFrame, train: str, key: str = "doc_id", text: str = "text", **sizes) -> DataFrame:
+def katz_scores(docs: DataFrame, train: str, key: str = "doc_id", text: str = "text",
+                chunk_bytes: int = CHUNK_BYTES, **sizes) -> DataFrame:
     """``id``, ``train``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score`` and ``score``
     (log10 probability of the text). ``train`` is a boolean SQL expression over ``id``.
-    """
-    dealt, layout = chunked(docs, key, text, **sizes)
+    """
+    dealt, layout = chunked(docs, key, text, chunk_bytes=chunk_bytes, **sizes)
     dealt = dealt.withColumn("train", F.coalesce(F.expr(train), F.lit(False)))
     by_chunk = dealt.groupBy("chunk")
     answer = lambda asked, f: asked.repartition(layout.buckets, "bucket").groupBy("bucket").applyInArrow(f, PACKET)
