@@ -82,6 +82,35 @@ QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op10_embedding_near_dedup,
 )}
 ORACLE: dict[str, str] = {
+    "op1_substring_dedup": r"""
+        WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+        win AS (SELECT doc_id, ws, unnest(range(1, len(ws) - 48)) AS p FROM w WHERE len(ws) >= 50),
+        keyed AS (SELECT doc_id, p, array_to_string(ws[p:p + 49], ' ') AS key FROM win),
+        owned AS (SELECT doc_id, p, min(doc_id) OVER (PARTITION BY key) AS owner FROM keyed),
+        gone AS (SELECT doc_id, list(DISTINCT i) AS gone FROM (
+            SELECT doc_id, unnest(range(p, p + 50)) AS i FROM owned WHERE owner < doc_id) GROUP BY doc_id),
+        marked AS (SELECT w.doc_id, ws, coalesce(gone, []) AS gone FROM w LEFT JOIN gone USING (doc_id)),
+        word AS (SELECT doc_id, gone, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS i FROM marked WHERE len(gone) > 0),
+        cut AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS kept FROM word WHERE NOT list_contains(gone, i) GROUP BY doc_id)
+        SELECT doc_id, len(ws)::BIGINT AS n_words, len(gone)::BIGINT AS n_removed,
+            sha256(CASE WHEN len(gone) > 0 THEN coalesce(kept, '') ELSE array_to_string(ws, ' ') END) AS kept_sha256
+        FROM marked LEFT JOIN cut USING (doc_id)
+    """,
+    "op6_ngram_jaccard_join": r"""
+        WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+        g AS (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 2, 2))) AS p FROM w WHERE len(ws) > 0),
+        s AS MATERIALIZED (SELECT DISTINCT doc_id, array_to_string(ws[p:p + 3], ' ') AS gram FROM g),
+        n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+        pair AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS common FROM s AS a JOIN s AS b ON a.gram = b.gram AND a.doc_id < b.doc_id GROUP BY ALL),
+        link AS MATERIALIZED (SELECT x, y FROM pair JOIN n AS p ON p.doc_id = x JOIN n AS q ON q.doc_id = y
+            WHERE 100 * common >= 85 * (p.n + q.n - common)),
+        edge AS MATERIALIZED (SELECT x, y FROM link UNION ALL SELECT y, x FROM link),
+        reach AS (SELECT x AS start, y AS node FROM edge UNION SELECT start, y FROM reach JOIN edge ON node = x),
+        low AS (SELECT start, min(node) AS low FROM reach GROUP BY start)
+        SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, least(w.doc_id, coalesce(low, w.doc_id)) AS component_id
+        FROM w LEFT JOIN n ON n.doc_id = w.doc_id LEFT JOIN low ON start = w.doc_id
+    """,
     "op4_exact_top_k": """
         WITH v AS (
             SELECT vec_id, [floor(256 * x::DOUBLE) FOR x IN embedding] AS terms FROM embeddings
