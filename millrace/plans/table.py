@@ -23,7 +23,7 @@ from millrace.operators.calendar import slice_interval, slice_start, slice_start
 from millrace.operators.joins import join_groups
 from millrace.operators.reconcile import month_mismatch, reconcile_totals
 from millrace.operators.refresh import RefreshSpec, Slice, resolve
-from millrace.operators.schema import add_missing_columns, fit, order_columns, sync_types
+from millrace.operators.schema import add_missing_columns, fit, order_columns, require_width, sync_types
 from millrace.session import delete_path, scratch_dir
 from millrace.sources.catalog import split_name, table_exists
 
@@ -44,17 +44,25 @@ class WarehouseTable:
     """The only writer of a table. Reading gives the table without its slice key."""
 
     def __init__(
-        self, spark: SparkSession, name: str, partition_column: str | None = None, interval: str = "MONTHLY"
+        self,
+        spark: SparkSession,
+        name: str,
+        partition_column: str | None = None,
+        interval: str = "MONTHLY",
+        text_limit: int | None = None,
     ) -> None:
+        """``text_limit`` makes every write fail on a longer text; the table remembers it."""
         self.spark = spark
         self.name = name
         self.database, self.table = split_name(name)
         self.partition_column = None if partition_column == "None" else partition_column
         self.interval = slice_interval(interval)
+        self.text_limit = text_limit
         if self.exists:
             stored = self._properties()
             self.partition_column = stored.get("millrace.partition_column")
             self.interval = stored.get("millrace.interval", interval)
+            self.text_limit = int(stored["millrace.text_limit"]) if "millrace.text_limit" in stored else text_limit
 
     # metadata
 
@@ -140,6 +148,8 @@ class WarehouseTable:
                 "millrace.partition_column": self.partition_column,
                 "millrace.interval": self.interval,
             }
+        if self.text_limit is not None:
+            properties["millrace.text_limit"] = str(self.text_limit)
         listed = ", ".join(f"'{k}' = '{v}'" for k, v in properties.items())
         self.spark.sql(
             f"CREATE TABLE {name or self.name} ({columns}) USING parquet "
@@ -150,6 +160,8 @@ class WarehouseTable:
     def _sliced(self, df: DataFrame, schema: T.StructType) -> DataFrame:
         """``df`` in table columns plus the slice key."""
         fitted = fit(df, schema)
+        if self.text_limit is not None:
+            fitted = require_width(fitted, self.text_limit)
         if not self.partition_column:
             return fitted
         return fitted.withColumn(SLICE, slice_start(self.partition_column, self.interval))

@@ -7,7 +7,7 @@ from warehouse_queries import QUERIES
 # Queries whose feature is a hash or a file format the JVM side lacks.
 PYTHON = {"file_hashes"}
 # Round trips run jobs when called; their result is a plain scan.
-ACTIONS = ("table_", "job_", "_roundtrip", "partition_purge", "swap_", "stream_", "event_rows", "directory_", "_scan", "folder_mixed", "encoding_choice", "archive_fallback", "month_driver",
+ACTIONS = ("table_", "job_", "_roundtrip", "partition_purge", "swap_", "stream_", "event_rows", "directory_", "_scan", "folder_mixed", "encoding_choice", "archive_fallback", "month_driver", "catalog_metadata", "view_set",
            "multi_path", "sampled", "delimiter", "delimited", "parquet", "lineage_closure", "lineage_impact", "file_hashes")
 
 

@@ -80,6 +80,14 @@ def test_small_amounts_are_summed_whole(spark):
     assert df.agg(money_sum(F.col("x"))).first()[0] == 12345678.2504
 
 
+def test_long_texts_fail_where_a_limit_is_set(spark, db):
+    table = WarehouseTable(spark, f"{db}.t", text_limit=3)
+    table.append(spark.createDataFrame([("abc",), (None,)], "v string"))
+    with pytest.raises(PySparkException, match="longer than 3"):
+        WarehouseTable(spark, f"{db}.t").append(spark.createDataFrame([("abcd",)], "v string"))
+    assert table.read().count() == 2
+
+
 def test_unknown_slice_intervals_are_errors(spark, db):
     for name in ("HOURLY", "monthly"):
         with pytest.raises(ValueError, match="slice interval"):

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import tempfile
+from pathlib import Path
+
 from pyspark.sql import functions as F
 
 from millrace.operators.refresh import RefreshSpec
 from millrace.plans import exports
+from millrace.plans.sql import create_views
 from millrace.plans.table import WarehouseTable
 from millrace.session import scratch_dir
-from millrace.sources import files, listing
+from millrace.sources import catalog, files, listing
 from millrace.sources.spec import Source
 from millrace.streaming.files import file_stream, ingest_stream
 from warehouse_queries.refreshes import BOUNDS_SQL, CDC_SQL, MONTH_SQL, march, three_days
@@ -284,6 +288,45 @@ def table_upsert(spark, d):
     return target.read()
 
 
+@query(
+    "catalog_metadata",
+    """
+    SELECT 1 AS COLUMN_ID, 'o_orderkey' AS COL_NAME, 'bigint' AS DATA_TYPE, CAST(NULL AS INTEGER) AS MAX_LENGTH, CAST(NULL AS INTEGER) AS PRECISION, TRUE AS IS_NULLABLE, count(o_orderkey) AS n_filled FROM orders
+    UNION ALL SELECT 2, 'o_price', 'decimal(18,2)', NULL, 18, TRUE, count(o_totalprice) FROM orders
+    UNION ALL SELECT 3, 'o_orderstatus', 'string', -1, NULL, TRUE, count(o_orderstatus) FROM orders
+    UNION ALL SELECT 4, 'o_orderdate', 'timestamp_ntz', NULL, NULL, TRUE, count(o_orderdate) FROM orders
+    UNION ALL SELECT 5, 'SLICE_START', 'date', NULL, NULL, TRUE, count(o_orderdate) FROM orders
+    """,
+)
+def catalog_metadata(spark, d):
+    """Columns of a table as the catalog has them, beside the values that each holds."""
+    price = F.col("o_totalprice").cast("decimal(18,2)").alias("o_price")
+    target = WarehouseTable(spark, f"{new_database(spark)}.orders", "o_orderdate", text_limit=1)
+    target.append(table(spark, d, "orders").select("o_orderkey", price, "o_orderstatus", "o_orderdate"))
+    stored = spark.table(target.name)
+    filled = stored.agg(*[F.count(c).alias(c) for c in stored.columns])
+    counts = filled.unpivot([], stored.columns, "COL_NAME", "n_filled")
+    return catalog.sink_metadata(spark, target.name).join(counts, "COL_NAME")
+
+
+@query(
+    "view_set",
+    "SELECT o_orderpriority, count(*) AS n_orders, sum(CASE WHEN o_totalprice > 100000 THEN 1 ELSE 0 END)::BIGINT AS n_big FROM orders GROUP BY 1",
+)
+def view_set(spark, d):
+    """Views from query files, the second made from the first."""
+    db = new_database(spark)
+    with tempfile.TemporaryDirectory() as folder:
+        texts = {
+            "A_SIZED": f"SELECT o_orderpriority, o_totalprice > 100000 AS big FROM parquet.`{d}/orders.parquet`",
+            "B_COUNTS": f"SELECT o_orderpriority, count(*) AS n_orders, count_if(big) AS n_big FROM {db}.A_SIZED GROUP BY 1",
+        }
+        for name, text in texts.items():
+            Path(folder, f"{name}.sql").write_text(text)
+        create_views(spark, folder, database=db)
+    return spark.table(f"{db}.B_COUNTS")
+
+
 @query(
     "table_pruned_scan",
     "SELECT o_orderkey, o_orderdate FROM orders WHERE o_orderdate >= TIMESTAMP '1997-03-10' AND o_orderdate < TIMESTAMP '1997-06-05'",
