@@ -36,11 +36,18 @@ def test_flagship_reads_five_columns_and_pushes_its_filter(spark, sf_dir):
     assert plan.count("Exchange") == 1
 
 
-@pytest.mark.parametrize("name", ["refresh_mtd", "refresh_n_days_window", "refresh_partition", "refresh_cdc_file"])
+@pytest.mark.parametrize("name", ["refresh_mtd", "refresh_n_days_window", "refresh_partition"])
 def test_slice_refreshes_do_not_shuffle(spark, sf_dir, name):
     assert "Exchange" not in plan_of(QUERIES[name](spark, sf_dir))
 
 
+def test_file_refresh_shuffles_only_the_names_of_the_batch(spark, sf_dir):
+    """Names are joined, not collected; below Spark's size threshold they are broadcast to the target."""
+    plan = plan_of(QUERIES["refresh_cdc_file"](spark, sf_dir))
+    assert "BroadcastHashJoin" in plan and "LeftAnti" in plan
+    assert plan.count("Exchange hashpartitioning") == 1
+
+
 @pytest.mark.parametrize("name", ["partition_number", "text_month_to_date", "parse_date_pattern", "human_size", "tz_shift"])
 def test_column_functions_stay_in_one_generated_stage(spark, sf_dir, name):
     plan = plan_of(QUERIES[name](spark, sf_dir))
