@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.operators.joins import join_groups
+
 
 def cells(members: DataFrame, group: list[str], member: str, limit: int) -> DataFrame:
     """Adds ``cell`` (a hash of group and sub-blocks), ``sub`` (the own sub-block) and ``split``
@@ -17,7 +19,7 @@ def cells(members: DataFrame, group: list[str], member: str, limit: int) -> Data
     """
     sizes = members.groupBy(*group).agg(F.count("*").alias("_n")).where("_n > 1")
     blocks = F.ceil(F.col("_n") / F.lit(limit)).cast("int")
-    dealt = members.join(sizes, group).withColumn("sub", F.pmod(F.xxhash64(F.lit(17), member), blocks).cast("int"))
+    dealt = join_groups(members, sizes, group, "inner").withColumn("sub", F.pmod(F.xxhash64(F.lit(17), member), blocks).cast("int"))
     dealt = dealt.withColumn("_x", F.explode(F.sequence(F.lit(0), blocks - 1)))
     return dealt.select(
         *members.columns,

@@ -2,7 +2,7 @@
 
 Every round replaces each node's larger neighbours, then its smaller ones, by stars around the
 smallest node in reach. Edges never grow in number, and the rounds grow with the logarithm of
-the nodes. Nothing is gathered on the driver but one row of counts a round.
+the nodes. Joins to a node's minimum are such that Spark splits a node of very many edges. Nothing is gathered on the driver but one row of counts a round.
 """
 
 from __future__ import annotations
@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.shared import drop, stage
+from millrace.operators.joins import join_groups
 
 
 def _mark(edges: DataFrame) -> tuple:
@@ -29,9 +30,9 @@ def components(edges: DataFrame) -> DataFrame:
     while mark[0]:
         both = edges.select("u", "v").union(edges.select("v", "u"))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("v"), F.least("u", "m").alias("m"))
-        large = edges.join(low, "v").select("u", F.col("m").alias("v"))
+        large = join_groups(edges, low, ["v"], "inner").select("u", F.col("m").alias("v"))
         low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        small = join_groups(large, low, ["u"], "inner").where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         turned = stage(small.union(low.select("u", "m")).distinct(), "edges")
         drop(edges)
         edges, before, mark = turned, mark, _mark(turned)

@@ -173,6 +173,7 @@ def embedding_dedup(rows: DataFrame, key: str = "vec_id", vector: str = "embeddi
     found = binned(met, PER_BIN, placed.count()).groupBy("bin").applyInArrow(rerank(threshold), "id long, links long, root long")
     found = stage(found, "links")
     drop(placed)
+    drop(coded)
     direct = found.groupBy("id").agg(F.sum("links").alias("links"))
     linked = components(found.select(F.col("id").alias("a"), F.col("root").alias("b")))
     groups = groups.join(direct, "id", "left").join(linked.withColumnRenamed("node", "id"), "id", "left").select(

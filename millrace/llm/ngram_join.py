@@ -33,6 +33,7 @@ from millrace.llm.components import components
 from millrace.llm.exchange import PACKET, answered, bucket_edges, chunked, first_of_runs, pack, packets, pack_sorted, unpack, unpack_sorted
 from millrace.llm.shared import drop, stage
 from millrace.llm.words import Words, mix, window_sums, windows_inside
+from millrace.operators.joins import join_groups
 
 SHINGLE = 4
 THRESHOLD = 85
@@ -280,7 +281,7 @@ def ngram_join(docs: DataFrame, key: str = "doc_id", text: str = "text", size: i
 
     posts = described.where("posts is not null").select("id", F.explode("posts").alias("token"))
     heads = posts.groupBy("token").agg(F.min("id").alias("head"), F.count("*").alias("n")).where("n > 1")
-    same = posts.join(heads, "token").where("id != head").select(F.col("id").alias("a"), F.col("head").alias("b"))
+    same = join_groups(posts, heads, ["token"], "inner").where("id != head").select(F.col("id").alias("a"), F.col("head").alias("b"))
     families = components(same.distinct()).select(F.col("node").alias("id"), F.col("component").alias("family"))
     placed = stage(cells(families, ["family"], "id", cell).select("id", "sub", "split", "cell"), "cells")
     payload = described.where("tokens is not null").select("id", "size", "open", "tokens", "freqs")
