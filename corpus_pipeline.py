@@ -23,6 +23,8 @@ from millrace.llm.shared import scratch, stage
 
 #: Repeats were removed two stages before, so no document is taken twice.
 PIPELINE_MIX = mixing.Mix(**{**vars(MIX), "epochs": 1, "percent": 80})
+#: The stage links by shingles of five words and a similarity of 0.8; op6 has a contract of its own.
+NEAR = {"size": 5, "percent": 80}
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,7 +33,7 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    groups = ngram_join.ngram_join(docs)
+    groups = ngram_join.ngram_join(docs, **NEAR)
     gone = groups.where("id <> component_id").select(F.col("id").alias("doc_id")).distinct()
     return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
 

@@ -46,3 +46,17 @@ def test_run_gives_the_last_stage(spark, sf_dir):
     rows = corpus_pipeline.run(spark, sf_dir)
     assert rows.columns == ["doc_id", "lang", "source", "n_tokens", "ids", "ids_sha256", "decoded_sha256"]
     assert rows.count() == rows.select("doc_id").distinct().count() > 0
+
+
+def test_near_copies_by_five_words_and_four_fifths(spark, sf_dir):
+    words = [f"w{k}" for k in range(100)]
+    two = ["x" if k in (30, 70) else w for k, w in enumerate(words)]
+    three = ["y" if k in (20, 50, 80) else w for k, w in enumerate(words)]
+    rows = [(1, " ".join(words)), (2, " ".join(two)), (3, " ".join(three)), (4, "a b c d"), (5, "A b  c d")]
+    four, five = ([brute.shingles(t, size) for _, t in rows] for size in (4, 5))
+    similar = lambda s, a, b: len(s[a] & s[b]) / len(s[a] | s[b])
+    assert similar(four, 0, 1) < 0.85 and similar(five, 0, 1) >= 0.8 and max(similar(five, 0, 2), similar(five, 1, 2)) < 0.8
+    schema = table(spark, sf_dir, "documents").schema
+    docs = spark.createDataFrame([(i, t, "en", "src0", len(t)) for i, t in rows], schema)
+    kept = dict(corpus_pipeline.STAGES)["near_duplicates"](spark, docs, sf_dir)
+    assert {r.doc_id for r in kept.collect()} == {1, 3, 4}
