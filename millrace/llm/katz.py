@@ -5,7 +5,7 @@ P(w | v) = d(c(v w)) c(v w) / c(v)   if the pair was seen in training,
 P(w)     = d(c(w)) c(w) / N          if the word was seen, else the mass that is left.
 
 ``d`` are Good-Turing discounts of counts up to 5 (none above), from the counts of counts of
-all training n-grams of the order. ``alpha(v)`` makes the probabilities over all seen words and
+all training n-grams of the order, smoothed by a log-linear fit. ``alpha(v)`` makes the probabilities over all seen words and
 the unknown word sum to one: what the discounts of v leave, over what the words seen after v
 leave of P. Texts start in the context of a begin sign and end with an end token.
 
@@ -49,22 +49,41 @@ def counts_of_counts(counts: np.ndarray) -> np.ndarray:
     return np.bincount(np.minimum(counts, TOP + 2), minlength=TOP + 3)[1 : TOP + 2]
 
 
+def slope_of(n: np.ndarray) -> float | None:
+    """Slope b of the line of Simple Good-Turing, ``log n(r) = a + b log r``, if n(1) and n(2) are known.
+
+    Missing counts are averaged into their neighbours. The slope is kept at -1 or steeper, the
+    best fit for which tokens do not gather at higher counts.
+    """
+    some = np.flatnonzero(n > 0) + 1.0
+    if n[0] <= 0 or n[1] <= 0:
+        return None
+    below = np.concatenate([[0.0], some[:-1]])
+    above = np.append(some[1:], 2 * some[-1] - below[-1])
+    y = np.log(n[n > 0] / (0.5 * (above - below)))
+    x = np.log(some)
+    x -= x.mean()
+    return min(-1.0, float(x @ y / (x @ x)))
+
+
 def discounts(n: np.ndarray) -> np.ndarray:
     """Factors for counts 0 .. TOP from the counts of counts; 0 and 1 where nothing is known.
 
-    Katz's formula is used where its values fall as they must, from 1 towards 0; else counts are
-    lowered by the constant ``n1 / (n1 + 2 n2)``.
+    Katz's formula on the smoothed counts of counts; its values always rise with the count
+    between 0 and 1. Only where no n-gram occurs twice there is no line to fit, and counts are
+    lowered by one half; where none occurs once, nothing is discounted.
     """
     out = np.ones(TOP + 1)
     n = n.astype(np.float64)
-    if n[0] > 0:
-        with np.errstate(divide="ignore", invalid="ignore"):
-            r = np.arange(1, TOP + 1)
-            cut = (TOP + 1) * n[TOP] / n[0]
-            katz = ((r + 1) * n[1:] / (r * n[:-1]) - cut) / (1 - cut)
-        fixed = 1 - n[0] / (n[0] + 2 * n[1]) / r if n[1] > 0 else 1 - 0.5 / r
-        good = np.isfinite(katz) & (katz > 0.05) & (katz < 1)
-        out[1:] = katz if good.all() else fixed
+    r = np.arange(1, TOP + 1)
+    slope = slope_of(n)
+    if slope is not None:
+        # n(r + 1) (r + 1) / (n(r) r) is a power of (r + 1) / r, and the cut the same of TOP + 1.
+        rise, top = np.log1p(1 / r), np.log(TOP + 1)
+        power = slope + 1
+        out[1:] = 1 - rise / top if power > -1e-9 else 1 - np.expm1(power * rise) / np.expm1(power * top)
+    elif n[0] > 0:
+        out[1:] = 1 - 0.5 / r
     return out
 
 

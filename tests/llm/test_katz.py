@@ -1,5 +1,6 @@
 import math
 
+import numpy as np
 import pytest
 
 from millrace.llm import katz
@@ -46,3 +47,30 @@ def test_nothing_to_train_on(spark):
     rows = katz.katz_scores(frame, "false").collect()
     assert [(r.n_known, r.train_tokens, r.score) for r in rows] == [(0, 0, 0.0), (0, 0, 0.0)]
     assert katz.katz_scores(frame.limit(0), TRAIN).count() == 0
+
+
+def test_discounts_of_counts_on_a_line():
+    """n(r) = 3600 / r**2 is its own fit: factors are (r / (r + 1) - 1 / 6) / (5 / 6)."""
+    found = katz.discounts(np.array([3600, 900, 400, 225, 144, 100]))
+    assert np.allclose(found, [1, 0.4, 0.6, 0.7, 0.76, 0.8])
+
+
+#: Words and pairs of the training documents of sf0.1.
+@pytest.mark.parametrize("n", [[196853, 56582, 23638, 13634, 12848, 6779], [1480242, 227968, 47069, 19756, 17459, 7018]])
+def test_discounts_of_uneven_counts_are_good_turing(n):
+    b, a = np.polyfit(np.log(np.arange(1, 7)), np.log(n), 1)
+    fit = [math.exp(a) * r**b for r in range(1, 7)]
+    cut = 6 * fit[5] / fit[0]
+    expected = [((r + 1) * fit[r] / (r * fit[r - 1]) - cut) / (1 - cut) for r in range(1, 6)]
+    found = katz.discounts(np.array(n))
+    assert np.allclose(found[1:], expected)
+    assert (np.diff(found[1:]) > 0).all() and 0 < found[1] and found[5] < 1
+
+
+def test_discounts_of_odd_counts():
+    # Gaps and counts that do not fall still have factors between 0 and 1.
+    for n in ([10, 4, 0, 0, 1, 0], [5, 5, 5, 5, 5, 5], [1, 9, 9, 9, 9, 9], [7, 1, 0, 0, 0, 0]):
+        found = katz.discounts(np.array(n))[1:]
+        assert (np.diff(found) > 0).all() and 0 < found[0] and found[4] < 1
+    assert katz.discounts(np.array([3, 0, 2, 0, 0, 0]))[1:].tolist() == [1 - 0.5 / r for r in range(1, 6)]
+    assert katz.discounts(np.array([0, 3, 0, 0, 0, 0])).tolist() == [1.0] * 6
