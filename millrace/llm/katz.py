@@ -11,7 +11,9 @@ leave of P. Texts start in the context of a begin sign and end with an end token
 
 Tables are partitioned by hash and never gathered: a bucket of the first exchange
 (:mod:`millrace.llm.exchange`) holds the counts of its words, a bucket of the second the counts
-of all pairs of its contexts, with the sums that alpha needs. Chunks of documents send their
+of all pairs of its contexts, with the sums that alpha needs. A context that occurs more than
+``SPLIT`` times is dealt by ranges of its continuations' hashes, each with a key of its own: counts
+are exact within a range, and a chunk adds up the sums of the ranges. Chunks of documents send their
 distinct words and pairs with their training counts, and get back the corpus counts in the same
 order, so that each token is evaluated where its document is. Counts of counts come back with
 every answer. What travels grows with the corpus; the driver gets nothing.
@@ -32,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.exchange import PACKET, answered, bucket_edges, chunked, first_of_runs, pack, pack_sorted, unpack, unpack_sorted
-from millrace.llm.words import Words
+from millrace.llm.words import Words, mix
 
 END = np.uint64(0x3C6EF372FE94F82B)
 BEGIN = np.uint64(0xA54FF53A5F1D36F1)
@@ -40,6 +42,9 @@ TOP = 5
 #: Larger chunks repeat fewer words and pairs between them.
 CHUNK_BYTES = 8 << 20
 WORDS, PAIRS = 1, 2
+#: Training occurrences of a context in one range of continuations, about.
+SPLIT = 1 << 20
+RANGE = np.uint64(0xD1B54A32D192ED03)
 #: Bits of a word's hash that tell it apart among the continuations of one context.
 KEEP_BITS = np.uint64(40)
 
@@ -128,8 +133,8 @@ def unpack_runs(data: bytes, per: np.ndarray) -> np.ndarray:
 class ChunkTokens:
     """Tokens of the documents of a chunk: the words of each text, then its end."""
 
-    def __init__(self, table: pa.Table):
-        self.table = table
+    def __init__(self, table: pa.Table, split: int = SPLIT):
+        self.table, self.split = table, split
         self.train = np.array(table.column("train"))
         words = Words(table.column("text"), lower=True)
         self.count = words.count + 1
@@ -199,16 +204,48 @@ class ChunkTokens:
         code = code[order][first]
         self.pair_context, self.pair_word = code // max(1, len(self.words)), code % max(1, len(self.words))
         self.pair_trained = np.bincount(number[self.trained[known]], minlength=len(code)).astype(np.uint64)
+        self._ranges(order_of[used])
+
+    def _ranges(self, used: np.ndarray) -> None:
+        """Cut hot contexts into ranges of the next word's hash; all chunks cut a context alike."""
+        bits = np.ceil(np.log2(np.maximum(self.context_counts[used] / self.split, 1))).astype(np.uint64)
+        parts = np.left_shift(np.uint64(1), bits).astype(np.int64)
+        start = np.cumsum(parts) - parts
+        owner = np.repeat(np.arange(len(used)), parts)
+        part = (np.arange(len(owner)) - start[owner]).astype(np.uint64)
+        keys = self.contexts[owner]
+        cut = parts[owner] > 1
+        keys[cut] = mix(keys[cut] ^ mix(part[cut] + RANGE))
+        order = np.argsort(keys, kind="stable")
+        place = np.empty(len(order), dtype=np.int64)
+        place[order] = np.arange(len(order))
+        #: Keys that are sent, in their order, and the context of each.
+        self.keys, self.owner = keys[order], owner[order]
+        some = bits[self.pair_context]
+        own = np.zeros(len(some), dtype=np.int64)
+        hot = some > 0
+        own[hot] = (self.words[self.pair_word[hot]] >> (np.uint64(64) - some[hot])).astype(np.int64)
+        self.pair_key = place[start[self.pair_context] + own]
+        # Words of a context are sorted by hash, and stay so within a range.
+        order = np.argsort(self.pair_key, kind="stable")
+        rank = np.empty(len(order), dtype=np.int64)
+        rank[order] = np.arange(len(order))
+        has = self.pair >= 0
+        self.pair[has] = rank[self.pair[has]]
+        self.pair_context, self.pair_word, self.pair_key, self.pair_trained = (
+            x[order] for x in (self.pair_context, self.pair_word, self.pair_key, self.pair_trained)
+        )
 
     def pair_packets(self, buckets: int) -> pa.Table:
-        edges = bucket_edges(self.contexts, buckets)
-        cuts = np.searchsorted(self.pair_context, edges)
-        per = np.bincount(self.pair_context, minlength=len(self.contexts)).astype(np.uint32)
+        edges = bucket_edges(self.keys, buckets)
+        cuts = np.searchsorted(self.pair_key, edges)
+        per = np.bincount(self.pair_key, minlength=len(self.keys)).astype(np.uint32)
+        backs_off = self.backs_off[self.owner]
         rows = []
         for a, b, i, j in zip(edges[:-1], edges[1:], cuts[:-1], cuts[1:], strict=True):
             word = self.pair_word[i:j]
-            rows.append((pack_sorted(self.contexts[a:b]), [
-                pack(per[a:b]), pack(self.backs_off[a:b]), pack_runs(self.words[word] >> (np.uint64(64) - KEEP_BITS), per[a:b]),
+            rows.append((pack_sorted(self.keys[a:b]), [
+                pack(per[a:b]), pack(backs_off[a:b]), pack_runs(self.words[word] >> (np.uint64(64) - KEEP_BITS), per[a:b]),
                 pack(self.pair_trained[i:j]), pack(self.counts[word]), pack(self.sums),
             ]))
         return self._table(rows)
@@ -219,8 +256,11 @@ class ChunkTokens:
         pairs = np.concatenate([unpack(r["more"][1], np.int64) for r in got])
         low = np.concatenate([unpack(r["more"][2], np.uint32).reshape(-1, TOP) for r in got]).astype(np.float64)
         sums = np.concatenate([unpack(r["more"][3], np.uint64).view(np.float64) for r in got])
-        if len(pairs) != len(self.pair_word) or len(sums) != len(self.contexts):
+        if len(pairs) != len(self.pair_word) or len(sums) != len(self.keys):
             raise RuntimeError("the answers do not fit the pairs of this chunk")
+        # Ranges of one context add up, in the same order in every chunk.
+        sums = np.bincount(self.owner, weights=sums, minlength=len(self.contexts))
+        low = np.stack([np.bincount(self.owner, weights=x, minlength=len(self.contexts)) for x in low.T], axis=1)
         total = np.zeros(len(self.contexts))
         has = self.context >= 0
         total[self.context[has]] = self.context_counts[has]
@@ -315,34 +355,37 @@ def ask_words(buckets: int):
     return lambda table: ChunkTokens(table).word_packets(buckets)
 
 
-def ask_pairs(buckets: int):
+def ask_pairs(buckets: int, split: int = SPLIT):
     def run(table: pa.Table, answers: pa.Table) -> pa.Table:
-        chunk = ChunkTokens(table)
+        chunk = ChunkTokens(table, split)
         chunk.hear_words(answers)
         return chunk.pair_packets(buckets)
 
     return run
 
 
-def score(table: pa.Table, answers: pa.Table) -> pa.Table:
-    chunk = ChunkTokens(table)
-    chunk.hear_words(answers)
-    chunk.hear_pairs(answers)
-    add = lambda values: np.add.reduceat(values, chunk.first[:-1])
-    counts = chunk.counts[chunk.word]
-    return pa.table({
-        "id": table.column("id"),
-        "train": table.column("train"),
-        "n_tokens": pa.array(chunk.count, pa.int64()),
-        "n_known": pa.array(add((counts > 0).astype(np.int64)), pa.int64()),
-        "train_tokens": pa.array(np.full(len(chunk.count), chunk.model.total), pa.int64()),
-        "base_score": pa.array(add(chunk.model.base(counts)), pa.float64()),
-        "score": pa.array(add(chunk.log_probability()), pa.float64()),
-    })
+def score(split: int = SPLIT):
+    def run(table: pa.Table, answers: pa.Table) -> pa.Table:
+        chunk = ChunkTokens(table, split)
+        chunk.hear_words(answers)
+        chunk.hear_pairs(answers)
+        add = lambda values: np.add.reduceat(values, chunk.first[:-1])
+        counts = chunk.counts[chunk.word]
+        return pa.table({
+            "id": table.column("id"),
+            "train": table.column("train"),
+            "n_tokens": pa.array(chunk.count, pa.int64()),
+            "n_known": pa.array(add((counts > 0).astype(np.int64)), pa.int64()),
+            "train_tokens": pa.array(np.full(len(chunk.count), chunk.model.total), pa.int64()),
+            "base_score": pa.array(add(chunk.model.base(counts)), pa.float64()),
+            "score": pa.array(add(chunk.log_probability()), pa.float64()),
+        })
+
+    return run
 
 
 def katz_scores(docs: DataFrame, train: str, key: str = "doc_id", text: str = "text",
-                chunk_bytes: int = CHUNK_BYTES, **sizes) -> DataFrame:
+                chunk_bytes: int = CHUNK_BYTES, split: int = SPLIT, **sizes) -> DataFrame:
     """``id``, ``train``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score`` and ``score``
     (log10 probability of the text). ``train`` is a boolean SQL expression over ``id``.
     """
@@ -351,6 +394,6 @@ def katz_scores(docs: DataFrame, train: str, key: str = "doc_id", text: str = "t
     by_chunk = dealt.groupBy("chunk")
     answer = lambda asked, f: asked.repartition(layout.buckets, "bucket").groupBy("bucket").applyInArrow(f, PACKET)
     words = answer(by_chunk.applyInArrow(ask_words(layout.buckets), PACKET), answer_words)
-    pairs = answer(by_chunk.cogroup(words.groupBy("chunk")).applyInArrow(ask_pairs(layout.buckets), PACKET), answer_pairs)
+    pairs = answer(by_chunk.cogroup(words.groupBy("chunk")).applyInArrow(ask_pairs(layout.buckets, split), PACKET), answer_pairs)
     schema = "id long, train boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    return by_chunk.cogroup(words.union(pairs).groupBy("chunk")).applyInArrow(score, schema)
+    return by_chunk.cogroup(words.union(pairs).groupBy("chunk")).applyInArrow(score(split), schema)

@@ -74,3 +74,33 @@ def test_discounts_of_odd_counts():
         assert (np.diff(found) > 0).all() and 0 < found[0] and found[4] < 1
     assert katz.discounts(np.array([3, 0, 2, 0, 0, 0]))[1:].tolist() == [1 - 0.5 / r for r in range(1, 6)]
     assert katz.discounts(np.array([0, 3, 0, 0, 0, 0])).tolist() == [1.0] * 6
+
+
+def hot_chunk(split):
+    """A chunk in which 2,000 words follow one; with the answers to its words."""
+    import pyarrow as pa
+
+    text = " ".join(f"the w{k}" for k in range(2_000))
+    table = pa.table({"chunk": pa.array([0], pa.int32()), "id": [1], "text": [text], "train": [True]})
+    chunk = katz.ChunkTokens(table, split)
+    chunk.hear_words(pa.concat_tables([katz.answer_words(chunk.word_packets(1))]))
+    return chunk
+
+
+def test_pairs_of_a_hot_context_are_dealt_over_buckets():
+    def largest(split):
+        packets = hot_chunk(split).pair_packets(64).to_pylist()
+        return max(int(katz.unpack(r["more"][0], np.uint32).sum()) for r in packets)
+
+    assert largest(1 << 20) >= 2_000
+    assert largest(50) < 400
+
+
+@pytest.mark.parametrize("chunk", [200, 4 << 20])
+def test_split_contexts_match_brute_force(spark, chunk):
+    docs = [(i, " ".join(f"the w{(i * k) % 37} w{k % 5}" for k in range(20 + i % 9))) for i in range(60)]
+    docs += [(100, "the new the w1 w1"), (101, ""), (102, None)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    found = katz.katz_scores(frame, TRAIN, chunk_bytes=chunk, bucket_bytes=chunk, split=10)
+    rows = found.selectExpr("id AS doc_id", "not train AS held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score").collect()
+    same(rows, brute.katz(docs, katz.discounts))
