@@ -5,10 +5,11 @@
    id): centred principal axes, then alternating sign codes and orthogonal Procrustes steps.
    Rotations from several starts give codes of several times the dimension.
 3. Codes are cut into substrings of ``bits`` bits; each substring is a Hamming table. Vectors of
-   one label that agree on a whole substring meet in its bucket. The number of tables follows
-   from ``bits`` so that a pair at the threshold is missed with a chance of ``MISS`` if each bit
-   flips as for a random plane; ``bits`` follows from the largest label so that buckets of
-   unrelated vectors hold about ``FILL``.
+   one label that agree on a whole substring meet in its bucket. ``bits`` follows from the
+   largest label so that buckets of unrelated vectors hold about ``FILL``. Centring widens the
+   angle of a pair if vectors share a direction, so the number of tables is fitted: sample
+   vectors get partners at the threshold, and tables are added until at most ``MISS`` of these
+   pairs meet in none. Of several shares of the mean the one with the least work is subtracted.
 4. Buckets are dealt into cells of bounded size. A cell reranks its pairs by the cosine of the
    original vectors in double precision. A pair that meets in several tables counts in the
    first of them only, so links need no global distinct; pairs are never written as rows.
@@ -37,6 +38,9 @@ THRESHOLD = 0.93
 SAMPLE = 20_000
 ROUNDS = 40
 MISS = 0.02
+#: Sample vectors that get partners to fit the number of tables, and shares of the mean to try.
+FITTED = 2_000
+SHIFTS = (1.0, 0.75, 0.5, 0.25, 0.0)
 FILL = 8
 CELL = 256
 PER_BIN = 8_192
@@ -48,15 +52,16 @@ def usable(vector: str) -> F.Column:
     return F.col(vector).isNotNull() & (F.size(vector) > 0) & fine & F.exists(vector, lambda x: x != 0)
 
 
-def train(vectors: np.ndarray, starts: int, rounds: int = ROUNDS, seed: int = 7) -> tuple[np.ndarray, list[np.ndarray]]:
-    """Mean and rotations: principal axes times an orthogonal matrix fitted to the sign codes."""
+def train(vectors: np.ndarray, starts: int, rounds: int = ROUNDS, seed: int = 7, shift: float = 1.0,
+          first: int = 0) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Mean (times ``shift``) and rotations: principal axes times an orthogonal matrix fitted to the sign codes."""
     unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
-    mean = unit.mean(axis=0)
+    mean = shift * unit.mean(axis=0)
     centred = unit - mean
     axes = np.linalg.eigh(centred.T @ centred)[1][:, ::-1]
     turned = centred @ axes
     found = []
-    for k in range(starts):
+    for k in range(first, starts):
         start = np.random.default_rng([seed, k]).standard_normal((vectors.shape[1],) * 2)
         rotation = np.linalg.qr(start)[0]
         for _ in range(rounds):
@@ -74,6 +79,65 @@ def tables_for(largest: int, threshold: float, miss: float = MISS, fill: int = F
     return bits, math.ceil(math.log(miss) / math.log(1 - agree))
 
 
+def angles(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Angles of the pairs of rows; a right one where a row is zero."""
+    size = np.linalg.norm(x, axis=1) * np.linalg.norm(y, axis=1)
+    return np.arccos(np.clip(np.einsum("ij,ij->i", x, y) / np.where(size > 0, size, 1.0), -1, 1))
+
+
+def at_threshold(unit: np.ndarray, threshold: float, seed: int = 11) -> tuple[np.ndarray, np.ndarray]:
+    """Vectors and partners at the threshold, one half in random directions, one half towards other vectors."""
+    draw = np.random.default_rng(seed)
+    away = np.concatenate([draw.standard_normal(unit.shape), unit[draw.permutation(len(unit))]])
+    x = np.concatenate([unit, unit])
+    away -= np.einsum("ij,ij->i", away, x)[:, None] * x
+    size = np.linalg.norm(away, axis=1)
+    fine = size > 1e-6
+    x, away = x[fine], away[fine] / size[fine, None]
+    return x, threshold * x + math.sqrt(max(0.0, 1 - threshold**2)) * away
+
+
+def fit(vectors: np.ndarray, bits: int, least: int, largest: int, threshold: float, miss: float = MISS) -> tuple[int, np.ndarray, list[np.ndarray]]:
+    """Number of tables, mean and rotations, so that at most ``miss`` of the pairs at the threshold meet in no table."""
+    unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    dim, centre = unit.shape[1], unit.mean(axis=0)
+    x, y = at_threshold(unit[:FITTED], threshold)
+    if not len(x):
+        return least, *train(vectors, -(-least * bits // dim))
+    other = np.roll(unit, 1, axis=0)
+
+    def needed(shift: float) -> float:
+        apart = 1 - (1 - angles(x - shift * centre, y - shift * centre) / math.pi) ** bits
+        tables = least
+        while (apart**tables).mean() > miss:
+            tables += max(1, tables // 20)
+            # Without a shift about ``least`` tables do, so one of the shifts always stays.
+            if shift and tables > 64 * least:
+                return math.inf
+        return tables
+
+    def work(shift: float) -> float:
+        met = ((1 - angles(unit - shift * centre, other - shift * centre) / math.pi) ** bits).mean()
+        return counts[shift] * (1 + largest * met)
+
+    counts = {shift: needed(shift) for shift in SHIFTS}
+    shift = SHIFTS[0]
+    for k in SHIFTS[1:]:
+        if work(k) < 0.9 * work(shift):
+            shift = k
+    if math.isinf(counts[shift]):
+        shift = 0.0
+    tables = counts[shift]
+    mean, rotations = train(vectors, -(-tables * bits // dim), shift=shift)
+    while True:
+        same = np.concatenate([((x - mean) @ r >= 0) == ((y - mean) @ r >= 0) for r in rotations], axis=1)
+        if 1 - same[:, : tables * bits].reshape(len(x), tables, bits).all(axis=2).any(axis=1).mean() <= miss:
+            return tables, mean, rotations
+        # Plain random rotations have the odds that the number was taken from.
+        tables += max(1, tables // 10)
+        rotations += train(vectors, -(-tables * bits // dim), rounds=0, shift=shift, first=len(rotations))[1]
+
+
 def substrings(bits: int, tables: int, model: dict[int, tuple[np.ndarray, list[np.ndarray]]]):
     """Codes of all tables of each vector, as an array of longs."""
 
@@ -157,13 +221,19 @@ def embedding_dedup(rows: DataFrame, key: str = "vec_id", vector: str = "embeddi
     groups = stage(groups, "vectors")
     largest = groups.groupBy("label").count().agg(F.max("count")).first()[0] or 0
     bits, tables = tables_for(largest, threshold)
-    model = {}
+    model, least = {}, tables
     picked = groups.orderBy(F.xxhash64("id"), "id").limit(sample).select("vector").toArrow().column("vector").to_pylist()
     for dim in sorted({len(v) for v in picked}):
         own = np.array([v for v in picked if len(v) == dim], dtype=np.float64)
         own /= np.abs(own).max(axis=1, keepdims=True)
         if len(own) >= 2 * dim:
-            model[dim] = train(own, -(-tables * bits // dim))
+            needed, *model[dim] = fit(own, bits, least, largest, threshold)
+            tables = max(tables, needed)
+    for dim, (_, rotations) in model.items():
+        # All lengths have the same number of tables; the further ones need not be learnt.
+        own = np.random.default_rng([dim, 1])
+        while len(rotations) * dim < tables * bits:
+            rotations.append(np.linalg.qr(own.standard_normal((dim, dim)))[0])
     schema = f"{groups.select('id', 'label', 'vector', 'weight').schema.simpleString()[7:-1]},codes:array<bigint>"
     coded = groups.select("id", "label", "vector", "weight").mapInArrow(substrings(bits, tables, model), schema)
     coded = stage(coded, "codes")

@@ -62,3 +62,31 @@ def test_rotations_are_orthogonal_and_codes_balanced():
         assert np.allclose(r.T @ r, np.eye(12))
         unit = x / np.linalg.norm(x, axis=1, keepdims=True)
         assert np.abs(((unit - mean) @ r >= 0).mean(axis=0) - 0.5).max() < 0.1
+
+
+def with_common_direction(seed, pairs, mean_cosine, dim=64, threshold=0.931):
+    """Unit vectors that share a direction, each with a partner a little above the threshold."""
+    draw = np.random.default_rng(seed)
+    normed = lambda x: x / np.linalg.norm(x, axis=1, keepdims=True)
+    x = normed(draw.standard_normal((pairs, dim)) / math.sqrt(dim) * math.sqrt(1 / mean_cosine - 1) + np.eye(dim)[0])
+    away = draw.standard_normal(x.shape)
+    away = normed(away - np.einsum("ij,ij->i", away, x)[:, None] * x)
+    return x, threshold * x + math.sqrt(1 - threshold**2) * away
+
+
+@pytest.mark.parametrize("mean_cosine", [0.49, 0.64])
+def test_recall_with_a_common_direction(spark, mean_cosine):
+    x, y = with_common_direction(3, 1_500, mean_cosine)
+    rows = [(2 * i + k, v[i].tolist(), 1) for i in range(len(x)) for k, v in enumerate((x, y))]
+    found = found_rows(itq.embedding_dedup(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")))
+    assert np.mean([found[2 * i + 1][1] == found[2 * i][1] for i in range(len(x))]) >= 0.95
+
+
+@pytest.mark.parametrize("largest", [10_000, 1_000_000])
+def test_tables_are_enough_for_large_labels(largest):
+    x, _ = with_common_direction(4, 4_000, 0.64)
+    bits, least = itq.tables_for(largest, 0.93)
+    tables, mean, rotations = itq.fit(x, bits, least, largest, 0.93)
+    a, b = with_common_direction(5, 2_000, 0.64)
+    signs = [np.concatenate([(v - mean) @ r >= 0 for r in rotations], axis=1)[:, : tables * bits].reshape(-1, tables, bits) for v in (a, b)]
+    assert (signs[0] == signs[1]).all(axis=2).any(axis=1).mean() >= 0.95
