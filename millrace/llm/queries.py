@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import chat, embeddings_itq, katz, mixing, ngram_join, pieces, quality, repair, spelling, substrings, topk, urls
+from millrace.llm import chat, embeddings_itq, katz, licenses, mixing, ngram_join, pieces, quality, repair, spelling, substrings, topk, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -86,9 +86,13 @@ def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.spelling_variants(spelling.vocabulary(table(spark, sf_dir, "documents")))
 
 
+def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_scan(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_substring_dedup, op2_url_filter, op3_chat_format, op4_exact_top_k, op5_source_mixing, op6_ngram_jaccard_join, op7_sentencepiece, op8_katz_lm, op9_quality_classifier,
-    op10_embedding_near_dedup, op11_conversation_repair, op12_spelling_variants,
+    op10_embedding_near_dedup, op11_conversation_repair, op12_spelling_variants, op13_license_scan,
 )}
 ORACLE: dict[str, str] = {
     "op1_substring_dedup": r"""
@@ -134,4 +138,5 @@ ORACLE: dict[str, str] = {
         SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
     """,
     "op5_source_mixing": mixing.oracle(MIX),
+    "op13_license_scan": licenses.oracle(),
 }
