@@ -1,10 +1,12 @@
 """Warehouse tables: parquet partitioned by a derived slice, refreshed slice by slice.
 
-A table is an external catalog table ``SCHEMA.TABLE``. Its partition column stays a normal
-column; the first day of its month (or day, week, year) is the directory key SLICE_START.
-A slice refresh rewrites only the affected slices in one dynamic overwrite, which Spark
-stages and commits at the end. A full refresh writes a new location and swaps the names; if a
-run dies between the two renames, the next one to touch the table puts the old version back.
+``SCHEMA.TABLE`` is a view on one numbered *version*, an external table in the database
+``SCHEMA__versions``. Its partition column stays a normal column; the first day of its month (or
+day, week, year) is the directory key SLICE_START. A slice refresh rewrites only the affected slices
+in one dynamic overwrite, which Spark stages and commits at the end. A full refresh writes the next
+version and then replaces the view, one statement of the catalog: at any moment the name stands for
+one whole version. The view's properties name its version, so versions of runs that died are never
+taken for the table; the next writer drops them. Readers change nothing.
 One writer per table at a time; re-running a failed refresh repairs it.
 """
 
@@ -59,52 +61,76 @@ class WarehouseTable:
         self.interval = slice_interval(interval)
         self.text_limit = text_limit
         if self.exists:
-            stored = self._properties()
+            stored = self._properties(self.stored)
             self.partition_column = stored.get("millrace.partition_column")
             self.interval = stored.get("millrace.interval", interval)
             self.text_limit = int(stored["millrace.text_limit"]) if "millrace.text_limit" in stored else text_limit
 
-    # metadata
+    # metadata and versions
 
     @property
     def exists(self) -> bool:
-        return table_exists(self.spark, self.name) or self._recover()
-
-    def _recover(self) -> bool:
-        """A swap that died between its renames left the table under its backup name: put it back."""
-        backups = self._versions("BACKUP")
-        if backups:
-            self.spark.sql(f"ALTER TABLE {backups[0]} RENAME TO {self.name}")
-        return bool(backups)
-
-    def _versions(self, kind: str) -> list[str]:
-        """Tables that an unfinished full refresh left behind."""
-        if not self.spark.catalog.databaseExists(self.database):
+        return table_exists(self.spark, self.name)
+
+    @property
+    def stored(self) -> str:
+        """The table that holds the rows now."""
+        number = self._properties(self.name).get("millrace.version")
+        if number is None:
+            raise ValueError(f"{self.name} is not a table made by this library")
+        return self._version_name(int(number))
+
+    def _version_name(self, number: int) -> str:
+        return f"{self.database}__versions.{self.table}__v{number}".lower()
+
+    def _versions(self) -> list[int]:
+        """Numbers of all versions, ascending: the current one, and what dead runs left behind."""
+        if not self.spark.catalog.databaseExists(f"{self.database}__versions"):
             return []
-        pattern = f"{self.table}__{kind}_*".lower()
-        rows = self.spark.sql(f"SHOW TABLES IN {self.database} LIKE '{pattern}'").collect()
-        return sorted(f"{self.database}.{r['tableName']}" for r in rows)
+        head = f"{self.table}__v".lower()
+        rows = self.spark.sql(f"SHOW TABLES IN {self.database}__versions LIKE '{head}*'").collect()
+        tails = [r["tableName"].removeprefix(head) for r in rows if not r["isTemporary"]]
+        return sorted(int(t) for t in tails if t.isdigit())
+
+    def _next_version(self) -> str:
+        return self._version_name(max(self._versions(), default=0) + 1)
+
+    def _run(self, statement: str) -> None:
+        """One change of the catalog."""
+        self.spark.sql(statement)
+
+    def _point(self, version: str) -> None:
+        """Make ``version`` the table, in one statement."""
+        number = version.rsplit("__v", 1)[1]
+        self._run(f"CREATE OR REPLACE VIEW {self.name} TBLPROPERTIES ('millrace.version' = '{number}') AS SELECT * FROM {version}")
+
+    def _drop_version(self, version: str) -> None:
+        """The files go first: a run that dies in between leaves a name that can be dropped again."""
+        delete_path(self.spark, self._location(version))
+        self._run(f"DROP TABLE {version}")
 
     def _clean(self) -> None:
-        """Drop versions of runs that died before or after their swap."""
-        for name in [*self._versions("NEXT"), *self._versions("BACKUP")]:
-            where = self._location(name)
-            self.spark.sql(f"DROP TABLE {name}")
-            delete_path(self.spark, where)
-
-    def _properties(self, name: str | None = None) -> dict[str, str]:
-        rows = self.spark.sql(f"SHOW TBLPROPERTIES {name or self.name}").collect()
+        """Drop all versions but the current one."""
+        current = self.stored if self.exists else None
+        for name in map(self._version_name, self._versions()):
+            if name != current:
+                self._drop_version(name)
+
+    def _properties(self, name: str) -> dict[str, str]:
+        rows = self.spark.sql(f"SHOW TBLPROPERTIES {name}").collect()
         return {r["key"]: r["value"] for r in rows}
 
-    def _location(self, name: str) -> str:
+    def _location(self, name: str | None = None) -> str:
+        name = self.stored if name in (None, self.name) else name
         rows = self.spark.sql(f"DESCRIBE EXTENDED {name}").where("col_name = 'Location'").collect()
         return rows[-1]["data_type"]
 
     @property
     def schema(self) -> T.StructType:
         """Columns without the slice key; NOT NULL columns are kept as a table property."""
-        required = set(filter(None, self._properties().get("millrace.not_null", "").split(",")))
-        fields = self.spark.table(self.name).schema.fields
+        stored = self.stored
+        required = set(filter(None, self._properties(stored).get("millrace.not_null", "").split(",")))
+        fields = self.spark.table(stored).schema.fields
         return T.StructType(
             [T.StructField(f.name, f.dataType, f.name not in required) for f in fields if f.name != SLICE]
         )
@@ -113,20 +139,23 @@ class WarehouseTable:
         """Slices present, from the catalog; no data is read."""
         if not self.partition_column:
             return []
-        names = [r[0].split("=", 1)[1] for r in self.spark.sql(f"SHOW PARTITIONS {self.name}").collect()]
+        names = [r[0].split("=", 1)[1] for r in self.spark.sql(f"SHOW PARTITIONS {self.stored}").collect()]
         return [None if n.startswith("__HIVE") or n == "null" else date.fromisoformat(n) for n in names]
 
     # reading
 
     def read(self) -> DataFrame:
-        return self.spark.table(self.name).drop(SLICE)
+        return self._rows().drop(SLICE)
+
+    def _rows(self) -> DataFrame:
+        return self.spark.table(self.stored)
 
     def scan(self, lower=None, upper=None) -> DataFrame:
         """Rows with the partition column in ``[lower, upper)``, pruned to their slices."""
         from millrace.operators.refresh import as_datetime, in_range
 
         lower, upper = as_datetime(lower), as_datetime(upper)
-        return self.spark.table(self.name).where(self._within(lower, upper) & in_range(self.partition_column, lower, upper)).drop(SLICE)
+        return self._rows().where(self._within(lower, upper) & in_range(self.partition_column, lower, upper)).drop(SLICE)
 
     def _within(self, lower, upper) -> Column:
         first = slice_start_of(lower, self.interval)
@@ -135,9 +164,18 @@ class WarehouseTable:
 
     # writing
 
-    def create(self, schema: T.StructType, name: str | None = None) -> None:
-        """Empty table of ``schema`` in a location of its own."""
+    def create(self, schema: T.StructType) -> None:
+        """Empty table of ``schema``."""
+        if self.exists:
+            raise ValueError(f"{self.name} exists")
+        self._clean()
+        self._point(self._create_version(schema))
+
+    def _create_version(self, schema: T.StructType) -> str:
+        """The next version, empty, in a location of its own; nobody sees it yet."""
         base = self.spark.catalog.getDatabase(self.database).locationUri.rstrip("/")
+        ensure_database(self.spark, f"{self.database}__versions", f"{base}/__versions")
+        name = self._next_version()
         where = f"{base}/{self.table}/{uuid.uuid4().hex}"
         required = ",".join(f.name for f in schema.fields if not f.nullable)
         columns, partitioned, properties = _ddl(schema), "", {"millrace.not_null": required}
@@ -151,11 +189,12 @@ class WarehouseTable:
         if self.text_limit is not None:
             properties["millrace.text_limit"] = str(self.text_limit)
         listed = ", ".join(f"'{k}' = '{v}'" for k, v in properties.items())
-        self.spark.sql(
-            f"CREATE TABLE {name or self.name} ({columns}) USING parquet "
+        self._run(
+            f"CREATE TABLE {name} ({columns}) USING parquet "
             f"OPTIONS (partitionOverwriteMode 'dynamic', maxRecordsPerFile '{ROWS_PER_FILE}') "
             f"{partitioned} LOCATION '{where}' TBLPROPERTIES ({listed})"
         )
+        return name
 
     def _sliced(self, df: DataFrame, schema: T.StructType) -> DataFrame:
         """``df`` in table columns plus the slice key."""
@@ -188,43 +227,45 @@ class WarehouseTable:
         """
         if not self.exists:
             self.create(df.schema)
-        return self._insert(self._sliced(df, self.schema), self.name, spread=not clustered)
+        return self._insert(self._sliced(df, self.schema), self.stored, spread=not clustered)
 
     def replace(self, df: DataFrame) -> int:
         """Full refresh: the table gets the rows and the schema of ``df``."""
-        if self.exists:
-            self._clean()
-        name = f"{self.name}__NEXT_{uuid.uuid4().hex[:8]}"
-        self.create(df.schema, name)
-        n = self._insert(self._sliced(df, df.schema), name)
-        if self.exists:
-            self._swap(name)
-        else:
-            self.spark.sql(f"ALTER TABLE {name} RENAME TO {self.name}")
+        return self._new_version(self._sliced(df, df.schema), df.schema)
+
+    def _new_version(self, rows: DataFrame, schema: T.StructType) -> int:
+        """Write the next version, switch to it, drop the others."""
+        self._clean()
+        name = self._create_version(schema)
+        n = self._insert(rows, name)
+        self._point(name)
+        self._clean()
         return n
 
-    def _swap(self, new_name: str) -> None:
-        """Rename only; the old files go last."""
-        old = self._location(self.name)
-        backup = f"{self.name}__BACKUP_{uuid.uuid4().hex[:8]}"
-        self.spark.sql(f"ALTER TABLE {self.name} RENAME TO {backup}")
-        self.spark.sql(f"ALTER TABLE {new_name} RENAME TO {self.name}")
-        self.spark.sql(f"DROP TABLE {backup}")
-        delete_path(self.spark, old)
-
     def swap_with(self, new: WarehouseTable, content: bool = False) -> bool:
-        """Put ``new`` in this table's place if their row counts (and content) agree."""
+        """Put ``new`` in this table's place if their row counts (and content) agree.
+
+        ``new`` hands its version over and is no table afterwards. A run that dies on the way leaves
+        this table as it was.
+        """
         verdict = reconcile_totals(self.read(), new.read(), content).first()
         if not verdict["is_equal"]:
             return False
-        self._swap(new.name)
+        self._clean()
+        theirs, mine = new.stored, self._next_version()
+        self._run(f"DROP VIEW {new.name}")
+        self._run(f"ALTER TABLE {theirs} RENAME TO {mine}")
+        self._point(mine)
+        self._clean()
         self.partition_column, self.interval = new.partition_column, new.interval
         return True
 
     def add_columns(self, fields: Sequence[T.StructField]) -> None:
         """Schema evolution: old files give NULL for the new columns."""
         if fields:
-            self.spark.sql(f"ALTER TABLE {self.name} ADD COLUMNS ({_ddl(T.StructType(list(fields)))})")
+            self._run(f"ALTER TABLE {self.stored} ADD COLUMNS ({_ddl(T.StructType(list(fields)))})")
+        if self.spark.table(self.name).columns != self._rows().columns:
+            self._point(self.stored)  # a view keeps the columns it was made with
 
     def refresh(self, batch: DataFrame, spec: RefreshSpec, staged: bool = False) -> int:
         """Replace the slice ``spec`` names by ``batch``; returns the batch rows written.
@@ -279,14 +320,11 @@ class WarehouseTable:
             last = slice_start_of(hit.upper - timedelta(microseconds=1), self.interval)
             touched = {s for s in present if s is not None and first <= s <= last}
         else:
-            touched = self._slices_of(hit.hits(self.spark.table(self.name)))
+            touched = self._slices_of(hit.hits(self._rows()))
         return self._overwrite(touched, hit.survivors, batch, schema, present)
 
     def _replace_keeping_schema(self, rows: DataFrame, schema: T.StructType) -> None:
-        name = f"{self.name}__NEXT_{uuid.uuid4().hex[:8]}"
-        self.create(schema, name)
-        self._insert(rows.select(schema.fieldNames()), name)
-        self._swap(name)
+        self._new_version(rows.select(schema.fieldNames()), schema)
 
     @staticmethod
     def _slices_of(rows: DataFrame) -> set[date | None]:
@@ -314,7 +352,8 @@ class WarehouseTable:
         """
         rows = self._sliced(batch, schema)
         incoming = self._slices_of(rows)
-        target = self.spark.table(self.name)
+        stored = self.stored
+        target = self.spark.table(stored)
         touched = touched & set(present)
         bare = touched - incoming
         kept = self._slices_of(survivors(target.where(self._slice_in(bare)))) if bare else set()
@@ -322,12 +361,12 @@ class WarehouseTable:
         if (touched & incoming) or kept:
             stay = survivors(target.where(self._slice_in(touched)))
             whole = stay.unionByName(rows.where(self._slice_in(touched)) if new else rows)
-            self._insert(whole.select(target.columns), self.name, overwrite=True, spread=len(touched) > 1)
+            self._insert(whole.select(target.columns), stored, overwrite=True, spread=len(touched) > 1)
         for emptied in bare - kept:
             self.purge(emptied)
         if new:
             rest = rows.where(self._slice_in(new)) if touched else rows
-            self._insert(rest.select(target.columns), self.name, spread=len(new) > 1)
+            self._insert(rest.select(target.columns), stored, spread=len(new) > 1)
         return batch.count()
 
     def refresh_slices(self, batch: DataFrame, due: Sequence[date] = ()) -> int:
@@ -338,13 +377,13 @@ class WarehouseTable:
         if not self.exists:
             return self.append(batch)
         if not due:
-            return self._insert(self._sliced(batch, self.schema), self.name, overwrite=True)
+            return self._insert(self._sliced(batch, self.schema), self.stored, overwrite=True)
 
         def work(rows: DataFrame) -> int:
             sliced = self._sliced(rows, self.schema)
             wanted = {slice_start_of(_midnight(d), self.interval) for d in due}
             bare = (wanted & set(self.slices())) - self._slices_of(sliced)
-            n = self._insert(sliced, self.name, overwrite=True)
+            n = self._insert(sliced, self.stored, overwrite=True)
             for emptied in bare:
                 self.purge(emptied)
             return n
@@ -378,7 +417,7 @@ class WarehouseTable:
             if not self.partition_column:
                 self._replace_keeping_schema(survivors(self.read()).unionByName(fit(rows, schema)), schema)
                 return rows.count()
-            touched = self._slices_of(join_groups(self.spark.table(self.name), chosen, keys, "left_semi"))
+            touched = self._slices_of(join_groups(self._rows(), chosen, keys, "left_semi"))
             return self._overwrite(touched, survivors, rows, schema, self.slices())
 
         return self._with_stage(last, False, work)
@@ -388,13 +427,13 @@ class WarehouseTable:
         if day is None:
             return self._purge_null()
         start = slice_start_of(_midnight(day), self.interval)
-        where = f"{self._location(self.name)}/{SLICE}={start.isoformat()}"
-        self.spark.sql(f"ALTER TABLE {self.name} DROP IF EXISTS PARTITION ({SLICE} = DATE'{start}')")
+        where = f"{self._location()}/{SLICE}={start.isoformat()}"
+        self.spark.sql(f"ALTER TABLE {self.stored} DROP IF EXISTS PARTITION ({SLICE} = DATE'{start}')")
         delete_path(self.spark, where)
 
     def _purge_null(self) -> None:
-        where = f"{self._location(self.name)}/{SLICE}=__HIVE_DEFAULT_PARTITION__"
-        self.spark.sql(f"ALTER TABLE {self.name} DROP IF EXISTS PARTITION ({SLICE} = NULL)")
+        where = f"{self._location()}/{SLICE}=__HIVE_DEFAULT_PARTITION__"
+        self.spark.sql(f"ALTER TABLE {self.stored} DROP IF EXISTS PARTITION ({SLICE} = NULL)")
         delete_path(self.spark, where)
 
     def repartition(self, column: str, interval: str = "MONTHLY") -> bool:

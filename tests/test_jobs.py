@@ -131,6 +131,7 @@ def test_views_and_sql_files(spark, db, tmp_path):
     write(tmp_path / "sql", "TOP_N.sql", "SELECT id FROM range(5) WHERE id > 2")
     assert create_views(spark, tmp_path) == ["TOP_N"]
     assert spark.table("TOP_N").count() == 2
+    spark.catalog.dropTempView("TOP_N")
     assert create_views(spark, tmp_path, database=db) == [f"{db}.TOP_N"]
     assert spark.table(f"{db}.TOP_N").count() == 2
     assert load_sql(tmp_path, "TOP_N.sql").startswith("SELECT")
