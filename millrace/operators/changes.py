@@ -116,7 +116,10 @@ def new_files(
     force_rerun: bool = False,
     reload_modified: bool = False,
 ) -> DataFrame:
-    """Files to load: not in the log, and not imported under the same name.
+    """Files to load: not in the log, and not imported before.
+
+    ``imported`` has the names (``filename``) of files in the sink; where it has their paths too
+    (``file_path``), these decide, so that equal names in two folders are two files.
 
     ``pattern`` is a regular expression found anywhere in the name.
     ``masterdata`` keeps only the newest name above everything imported. ``force_rerun``
@@ -142,10 +145,20 @@ def new_files(
         best = fresh.where(pick).orderBy(F.desc("filename"), F.desc("last_modified_dt")).limit(1)
         return best.withColumn("full_path", full_path)
     if imported is not None and not reload_modified:
-        fresh = join_groups(fresh, imported.select("filename"), ["filename"], "left_anti")
+        placed = "file_path" in imported.columns
+        names = imported.where("file_path IS NULL") if placed else imported
+        fresh = join_groups(fresh, names.select("filename").distinct() if placed else names.select("filename"), ["filename"], "left_anti")
+        if placed:
+            paths = imported.select(F.col("file_path").alias("_path")).where("_path IS NOT NULL").distinct()
+            fresh = join_groups(fresh.withColumn("_path", plain(full_path)), paths, ["_path"], "left_anti").drop("_path")
     return fresh.withColumn("full_path", full_path)
 
 
+def plain(path: Column) -> Column:
+    """A path whose scheme is followed by one slash."""
+    return F.regexp_replace(path, "^([a-z0-9]+):/+", "$1:/")
+
+
 def cap_files(files: DataFrame, n: int | None = None, newest_only: bool = False) -> DataFrame:
     """Files of one run: all, the ``n`` lowest paths, or only the greatest for month refreshes."""
     if newest_only:

@@ -7,6 +7,7 @@ column is NULL are never hit. The same :class:`Slice` drives the pure form
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import date, datetime, timedelta
@@ -19,6 +20,7 @@ from pyspark.sql import functions as F
 from millrace.operators.joins import join_groups
 
 FILE_COLUMNS = ("FILENAME", "FILE_NAME")
+PATH_COLUMN = "FILE_PATH"
 
 
 class Mode(Enum):
@@ -52,7 +54,8 @@ def parse_mode(value: str | Mode | None) -> Mode | None:
 class RefreshSpec:
     """What to replace: the mode and its parameters.
 
-    ``refresh_type`` wins over ``ingest_type``; with neither, nothing is deleted.
+    ``refresh_type`` wins over ``ingest_type``; with neither, nothing is deleted. Files are told
+    apart by path (``file_paths``, or FILE_PATH of the batch) where the target knows paths, else by name.
     """
 
     refresh_type: str | Mode | None = None
@@ -61,6 +64,7 @@ class RefreshSpec:
     partition_value: str | date | datetime | None = None
     n_days: int | None = None
     file_names: str | Sequence[str] | None = None
+    file_paths: Sequence[str] | None = None
 
     @property
     def mode(self) -> Mode | None:
@@ -93,15 +97,18 @@ class RefreshSpec:
 class Slice:
     """Rows of a target that a refresh replaces.
 
-    ``condition`` decides by value; ``names`` (distinct, one column ``name``) decides by join on
-    ``name_columns``. ``lower``/``upper`` bound the partition column, half-open, so that a
+    ``condition`` decides by value; ``names`` (distinct, one column ``name``) decides by join on each of
+    ``keys``. ``files`` are the names or paths that ``condition`` tests, if it is about files; ``by_path``
+    says whether files are known by path. ``lower``/``upper`` bound the partition column, half-open, so that a
     partitioned table can prune. Nothing set means no row is hit.
     """
 
     everything: bool = False
     condition: Column | None = None
     names: DataFrame | None = None
-    name_columns: tuple[str, ...] = ()
+    keys: tuple[Column, ...] = ()
+    files: tuple[str, ...] = ()
+    by_path: bool = False
     lower: datetime | None = None
     upper: datetime | None = None
 
@@ -116,10 +123,21 @@ class Slice:
         if self.condition is not None:
             return target.where(~F.coalesce(self.condition, F.lit(False)))
         if self.names is not None:
-            for column in self.name_columns:
-                target = join_groups(target, self.names.withColumnRenamed("name", column), [column], "left_anti")
+            for key in self.keys:
+                target = self._joined(target, key, "left_anti")
         return target
 
+    def _joined(self, target: DataFrame, key: Column, how: str) -> DataFrame:
+        keyed = target.withColumn("_file", key)
+        return join_groups(keyed, self.names.withColumnRenamed("name", "_file"), ["_file"], how).drop("_file")
+
+    def in_ledger(self, ledger: DataFrame) -> DataFrame | None:
+        """Ledger entries of the files that are replaced; None if the slice is not about files."""
+        file = F.col("file") if self.by_path else F.substring_index("file", "/", -1)
+        if self.names is not None:
+            return self._joined(ledger, file, "left_semi")
+        return ledger.where(file.isin(list(self.files))) if self.files else None
+
     def hits(self, target: DataFrame) -> DataFrame:
         """Target rows that go."""
         if self.everything:
@@ -127,10 +145,7 @@ class Slice:
         if self.condition is not None:
             return target.where(self.condition)
         if self.names is not None:
-            parts = [
-                join_groups(target, self.names.withColumnRenamed("name", c), [c], "left_semi") for c in self.name_columns
-            ]
-            return reduce(DataFrame.unionAll, parts)
+            return reduce(DataFrame.unionAll, [self._joined(target, key, "left_semi") for key in self.keys])
         return target.where(F.lit(False))
 
 
@@ -171,16 +186,48 @@ def file_name_columns(columns: Sequence[str]) -> tuple[str, ...]:
     return tuple(c for c in columns if c.upper() in FILE_COLUMNS)
 
 
+def path_column(columns: Sequence[str]) -> str | None:
+    return next((c for c in columns if c.upper() == PATH_COLUMN), None)
+
+
+def file_keys(columns: Sequence[str]) -> list[Column]:
+    """What tells the files of a table's rows apart: the path if there is one (the name where it is
+    NULL), else each of the name columns.
+    """
+    names, path = file_name_columns(columns), path_column(columns)
+    return [F.coalesce(path, *names)] if path else [F.col(c) for c in names]
+
+
+def plain_path(path: str) -> str:
+    """A path whose scheme is followed by one slash, as listings and readers write it differently."""
+    return re.sub("^([a-z0-9]+):/+", r"\1:/", path)
+
+
+def row_path(column: str = "_metadata.file_path") -> Column:
+    """:func:`plain_path` of the file a row was read from; the reader's percent codes are undone."""
+    decoded = F.url_decode(F.replace(F.col(column), F.lit("+"), F.lit("%2B")))
+    return F.regexp_replace(decoded, "^([a-z0-9]+):/+", "$1:/")
+
+
 def _file_slice(spec: RefreshSpec, batch: DataFrame, target_columns: Sequence[str]) -> Slice:
-    columns = file_name_columns(target_columns)
+    columns, keys = file_name_columns(target_columns), tuple(file_keys(target_columns))
+    source = {c.upper(): c for c in batch.columns}
+    named, placed = source.get("FILE_NAME"), source.get(PATH_COLUMN)
+    if spec.file_paths and path_column(target_columns):
+        paths = [plain_path(p) for p in spec.file_paths]
+        files = (*paths, *dict.fromkeys(p.rsplit("/", 1)[-1] for p in paths))
+        return Slice(condition=keys[0].isin(list(files)), files=files, by_path=True)
     given = [spec.file_names] if isinstance(spec.file_names, str) else list(spec.file_names or [])
-    source = next((c for c in batch.columns if c.upper() == "FILE_NAME"), None)
-    if not columns or (not given and source is None):
+    if given and columns:
+        return Slice(condition=reduce(Column.__or__, [F.col(c).isin(given) for c in columns]), files=tuple(given))
+    if placed and path_column(target_columns):
+        both = F.array(placed, named) if named else F.array(placed)
+        names = batch.select(F.explode(both).alias("name")).where(F.col("name").isNotNull()).distinct()
+        return Slice(names=names, keys=keys, by_path=True)
+    if not columns or named is None:
         return Slice()
-    if not given:
-        names = batch.select(F.col(source).alias("name")).where(F.col("name").isNotNull()).distinct()
-        return Slice(names=names, name_columns=columns)
-    return Slice(condition=reduce(Column.__or__, [F.col(c).isin(given) for c in columns]))
+    names = batch.select(F.col(named).alias("name")).where(F.col("name").isNotNull()).distinct()
+    return Slice(names=names, keys=tuple(F.col(c) for c in columns))
 
 
 def resolve(spec: RefreshSpec, batch: DataFrame, target_columns: Sequence[str]) -> Slice:

@@ -7,6 +7,7 @@ from dataclasses import replace as with_values
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.context import RunContext
 from millrace.functions.audit import add_audit
@@ -14,11 +15,10 @@ from millrace.functions.naming import normalize_columns
 from millrace.operators.changes import (
     cap_files,
     changed_content,
-    imported_names,
     new_files,
     unlogged,
 )
-from millrace.operators.refresh import Mode, RefreshSpec, as_datetime, parse_mode
+from millrace.operators.refresh import PATH_COLUMN, Mode, RefreshSpec, as_datetime, parse_mode, path_column
 from millrace.operators.relational import group_bounds
 from millrace.operators.schema import SchemaPolicy, Transform, new_fields, reconcile
 from millrace.plans.events import EventLog, logged
@@ -115,18 +115,28 @@ def _load_files(
     events: EventLog | None,
     read_options: dict | None,
 ) -> int:
-    """Several files in one load, each row with the name of its file."""
+    """Several files in one load, each row with the name and path of its file."""
     paths = [path for path, _ in files]
-    spec = with_values(spec, file_names=[name for _, name in files]) if spec.mode is Mode.CDC else spec
+    if spec.mode is Mode.CDC:
+        spec = with_values(spec, file_paths=paths, file_names=[name for _, name in files])
+        if table.exists and path_column(table.schema.fieldNames()) is None:
+            table.add_columns([T.StructField(PATH_COLUMN, T.StringType())])
 
     def work() -> int:
-        df = read_files(spark, paths, fmt, with_file_name=True, **(read_options or {}))
+        df = read_files(spark, paths, fmt, with_file_name=True, with_path=True, **(read_options or {}))
         return load_frame(df, table, ctx, spec, transforms)
 
     method = spec.mode.value if spec.mode else None
     return logged(events, ctx, table.name, paths, fmt, method, work)
 
 
+def imported_files(table: WarehouseTable) -> DataFrame:
+    """``filename`` and ``file_path`` (NULL where only the name is known) of files in a table, from its ledger."""
+    file = F.col("file")
+    path = F.when(F.contains(file, F.lit("/")), file)
+    return table.files().select(F.substring_index(file, "/", -1).alias("filename"), path.alias("file_path")).distinct()
+
+
 def incremental_files_job(
     spark: SparkSession,
     listing: DataFrame,
@@ -153,7 +163,7 @@ def incremental_files_job(
     """
     mode = parse_mode(ingest_type)
     seen = log.read() if log.exists else listing.where(F.lit(False))
-    imported = imported_names(table.read()) if table.exists else None
+    imported = imported_files(table) if table.exists else None
     fresh = new_files(
         listing, seen, imported, pattern, mode is Mode.MASTERDATA, force_rerun, reload_modified
     )

@@ -24,8 +24,9 @@ from pyspark.sql import types as T
 from millrace.operators.calendar import slice_interval, slice_start, slice_start_of
 from millrace.operators.joins import join_groups
 from millrace.operators.reconcile import month_mismatch, reconcile_totals
-from millrace.operators.refresh import RefreshSpec, Slice, resolve
+from millrace.operators.refresh import RefreshSpec, Slice, file_keys, resolve
 from millrace.operators.schema import add_missing_columns, fit, order_columns, require_width, sync_types
+from millrace.plans.ledger import FileLedger, entries
 from millrace.session import delete_path, scratch_dir
 from millrace.sources.catalog import split_name, table_exists
 
@@ -106,9 +107,45 @@ class WarehouseTable:
 
     def _drop_version(self, version: str) -> None:
         """The files go first: a run that dies in between leaves a name that can be dropped again."""
-        delete_path(self.spark, self._location(version))
+        where = self._location(version)
+        for path in (where, self._ledger_folder(where)):
+            delete_path(self.spark, path)
         self._run(f"DROP TABLE {version}")
 
+    @staticmethod
+    def _ledger_folder(location: str) -> str:
+        return f"{location}.files"
+
+    def _ledger(self, version: str | None = None) -> FileLedger:
+        return FileLedger(self.spark, self._ledger_folder(self._location(version)))
+
+    def files(self) -> DataFrame:
+        """``file``, ``slice`` and ``rows`` of all files that the table has rows of, without reading rows."""
+        return self._known_files().read().groupBy("file", "slice").agg(F.sum("rows").alias("rows"))
+
+    def _known_files(self) -> FileLedger:
+        """The ledger; one that is missing is made from the rows first."""
+        ledger = self._ledger()
+        if not ledger.exists and file_keys(self._rows().columns):
+            ledger.rewrite(self._entries(self._rows()))
+        return ledger
+
+    def _entries(self, rows: DataFrame) -> DataFrame:
+        return entries(rows, SLICE if self.partition_column else None)
+
+    def _announce(self, rows: DataFrame) -> None:
+        """Enter the files of rows that are about to be written."""
+        if file_keys(rows.columns):
+            self._known_files().add(self._entries(rows))
+
+    def _settle(self, slices: set[date | None]) -> None:
+        """Enter again what rewritten slices hold now."""
+        if slices and file_keys(self._rows().columns):
+            within = self._slice_in(slices)
+            held = self._entries(self._rows().where(within))
+            ledger = self._ledger()
+            ledger.rewrite(ledger.without(self._slice_in(slices, "slice")).unionByName(held))
+
     def _clean(self) -> None:
         """Drop all versions but the current one."""
         current = self.stored if self.exists else None
@@ -227,7 +264,14 @@ class WarehouseTable:
         """
         if not self.exists:
             self.create(df.schema)
-        return self._insert(self._sliced(df, self.schema), self.stored, spread=not clustered)
+        if file_keys(self.schema.fieldNames()):
+            return self._with_stage(df, False, lambda rows: self._append(rows, clustered))
+        return self._append(df, clustered)
+
+    def _append(self, df: DataFrame, clustered: bool = False) -> int:
+        rows = self._sliced(df, self.schema)
+        self._announce(rows)
+        return self._insert(rows, self.stored, spread=not clustered)
 
     def replace(self, df: DataFrame) -> int:
         """Full refresh: the table gets the rows and the schema of ``df``."""
@@ -238,6 +282,9 @@ class WarehouseTable:
         self._clean()
         name = self._create_version(schema)
         n = self._insert(rows, name)
+        written = self.spark.table(name)
+        if file_keys(written.columns):
+            self._ledger(name).rewrite(self._entries(written))
         self._point(name)
         self._clean()
         return n
@@ -303,13 +350,17 @@ class WarehouseTable:
         columns = self.schema.fieldNames()
         hit = resolve(spec, batch, columns)
         if hit.empty:
-            return self.append(batch)
+            return self._append(batch)
         if (spec.partition_column or "").lower() != (self.partition_column or "").lower():
             hit = with_values(hit, lower=None, upper=None)
         return self._rewrite(hit, batch)
 
     def _rewrite(self, hit: Slice, batch: DataFrame) -> int:
         schema = self.schema
+        about_files = hit.files or hit.names is not None
+        known = hit.in_ledger(self._known_files().read()) if about_files else None
+        if known is not None and known.isEmpty():
+            return self._append(batch)
         if not self.partition_column:
             rows = fit(batch, schema)
             self._replace_keeping_schema(hit.survivors(self.read()).unionByName(rows), schema)
@@ -319,6 +370,8 @@ class WarehouseTable:
             first = slice_start_of(hit.lower, self.interval)
             last = slice_start_of(hit.upper - timedelta(microseconds=1), self.interval)
             touched = {s for s in present if s is not None and first <= s <= last}
+        elif known is not None:
+            touched = {r["slice"] for r in known.select("slice").distinct().collect()}
         else:
             touched = self._slices_of(hit.hits(self._rows()))
         return self._overwrite(touched, hit.survivors, batch, schema, present)
@@ -332,10 +385,10 @@ class WarehouseTable:
         return {r[0] for r in rows.select(SLICE).distinct().collect()}
 
     @staticmethod
-    def _slice_in(slices: set[date | None]) -> Column:
+    def _slice_in(slices: set[date | None], column: str = SLICE) -> Column:
         known = [F.lit(s) for s in slices if s is not None]
-        test = F.col(SLICE).isin(known) if known else F.lit(False)
-        return test | F.col(SLICE).isNull() if None in slices else test
+        test = F.col(column).isin(known) if known else F.lit(False)
+        return test | F.col(column).isNull() if None in slices else test
 
     def _overwrite(
         self,
@@ -354,19 +407,21 @@ class WarehouseTable:
         incoming = self._slices_of(rows)
         stored = self.stored
         target = self.spark.table(stored)
-        touched = touched & set(present)
+        listed, touched = touched, touched & set(present)
         bare = touched - incoming
         kept = self._slices_of(survivors(target.where(self._slice_in(bare)))) if bare else set()
         new = incoming - touched
+        self._announce(rows)
         if (touched & incoming) or kept:
             stay = survivors(target.where(self._slice_in(touched)))
             whole = stay.unionByName(rows.where(self._slice_in(touched)) if new else rows)
             self._insert(whole.select(target.columns), stored, overwrite=True, spread=len(touched) > 1)
         for emptied in bare - kept:
-            self.purge(emptied)
+            self._drop_slice(emptied)
         if new:
             rest = rows.where(self._slice_in(new)) if touched else rows
             self._insert(rest.select(target.columns), stored, spread=len(new) > 1)
+        self._settle(listed | incoming)
         return batch.count()
 
     def refresh_slices(self, batch: DataFrame, due: Sequence[date] = ()) -> int:
@@ -376,16 +431,19 @@ class WarehouseTable:
         """
         if not self.exists:
             return self.append(batch)
-        if not due:
+        if not due and not file_keys(self.schema.fieldNames()):
             return self._insert(self._sliced(batch, self.schema), self.stored, overwrite=True)
 
         def work(rows: DataFrame) -> int:
             sliced = self._sliced(rows, self.schema)
+            self._announce(sliced)
             wanted = {slice_start_of(_midnight(d), self.interval) for d in due}
-            bare = (wanted & set(self.slices())) - self._slices_of(sliced)
+            filled = self._slices_of(sliced)
+            bare = (wanted & set(self.slices())) - filled
             n = self._insert(sliced, self.stored, overwrite=True)
             for emptied in bare:
-                self.purge(emptied)
+                self._drop_slice(emptied)
+            self._settle(bare | filled)
             return n
 
         return self._with_stage(self._aligned(batch), False, work)
@@ -424,6 +482,10 @@ class WarehouseTable:
 
     def purge(self, day: date | None) -> None:
         """Drop one slice and its files."""
+        self._drop_slice(day)
+        self._settle({None if day is None else slice_start_of(_midnight(day), self.interval)})
+
+    def _drop_slice(self, day: date | None) -> None:
         if day is None:
             return self._purge_null()
         start = slice_start_of(_midnight(day), self.interval)

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.operators.refresh import plain_path, row_path
 from millrace.operators.relational import union_by_name
 from millrace.sources.streams import head_of
 
@@ -82,9 +83,9 @@ def read_delimited(
             df = reader.schema(infer_text_types(reader.option("inferSchema", False).csv(files))).csv(files)
         else:
             df = reader.option("inferSchema", True).csv(files)
-        origin = {"FILE_NAME": "_metadata.file_name"} if with_file_name else {}
-        origin |= {"FILE_PATH": "_metadata.file_path"} if with_path else {}
-        return df.withColumns({name: F.col(c) for name, c in origin.items()}) if origin else df
+        origin = {"FILE_NAME": F.col("_metadata.file_name")} if with_file_name else {}
+        origin |= {"FILE_PATH": row_path()} if with_path else {}
+        return df.withColumns(origin) if origin else df
 
     return union_by_name([read(*group) for group in groups])
 
@@ -150,25 +151,27 @@ def header_groups(
 
 
 def read_files(
-    spark: SparkSession, paths: str | Sequence[str], fmt: str, with_file_name: bool = False, **options
+    spark: SparkSession, paths: str | Sequence[str], fmt: str, with_file_name: bool = False, with_path: bool = False, **options
 ) -> DataFrame:
     """One path or several as one DataFrame, united by column name, missing columns NULL.
 
     Delimited files with the same header share one scan, so many files stay one small plan.
-    ``with_file_name`` adds FILE_NAME, the file each row came from.
+    ``with_file_name`` adds FILE_NAME, the file each row came from, ``with_path`` FILE_PATH.
     """
     many = [paths] if isinstance(paths, str) else list(paths)
     if fmt == "parquet":
         df = read_parquet(spark, many)
-        return df.withColumn("FILE_NAME", F.col("_metadata.file_name")) if with_file_name else df
+        origin = {"FILE_NAME": F.col("_metadata.file_name")} if with_file_name else {}
+        return df.withColumns(origin | ({"FILE_PATH": row_path()} if with_path else {})) if origin or with_path else df
     if fmt in ("csv", "txt"):
-        return read_delimited(spark, many, with_file_name=with_file_name, **options)
+        return read_delimited(spark, many, with_file_name=with_file_name, with_path=with_path, **options)
     if fmt in ("xlsx", "excel"):
         from millrace.sources.workbook import read_workbook
 
         frames = []
         for path in many:
             df = read_workbook(spark, path, **options)
-            frames.append(df.withColumn("FILE_NAME", F.lit(path.rsplit("/", 1)[-1])) if with_file_name else df)
+            df = df.withColumn("FILE_NAME", F.lit(path.rsplit("/", 1)[-1])) if with_file_name else df
+            frames.append(df.withColumn("FILE_PATH", F.lit(plain_path(path))) if with_path else df)
         return union_by_name(frames)
     raise ValueError(f"unknown source format {fmt}")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from urllib.parse import quote
+
 CHUNK = 1024 * 1024
 
 #: Names that Hadoop gives to stores which pyarrow knows by another.
@@ -20,7 +22,7 @@ def open_stream(path: str):
     """Input stream of a file by path or URI."""
     from pyarrow import fs
 
-    system, inner = fs.FileSystem.from_uri(stream_uri(path))
+    system, inner = fs.FileSystem.from_uri(quote(stream_uri(path), safe="/:@"))
     return system.open_input_stream(inner)
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from millrace.operators.refresh import Mode, RefreshSpec
+from millrace.operators.refresh import Mode, RefreshSpec, row_path
 from millrace.plans.table import WarehouseTable
 
 
@@ -20,7 +20,7 @@ def file_stream(
     latest_first: bool = False,
     **options,
 ) -> DataFrame:
-    """Stream of the files in a folder, each row with its FILE_NAME.
+    """Stream of the files in a folder, each row with its FILE_NAME and FILE_PATH.
 
     A batch takes all files that are there, or at most ``max_files``; the others follow.
     """
@@ -28,7 +28,7 @@ def file_stream(
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
     rows = reader.option("latestFirst", latest_first).options(**options).load(path)
-    return rows.withColumn("FILE_NAME", F.col("_metadata.file_name"))
+    return rows.withColumns({"FILE_NAME": F.col("_metadata.file_name"), "FILE_PATH": row_path()})
 
 
 def ingest_stream(stream: DataFrame, table: WarehouseTable, checkpoint: str) -> StreamingQuery:

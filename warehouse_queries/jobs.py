@@ -12,7 +12,7 @@ from millrace.operators.relational import money_sum
 from millrace.plans import exports, jobs
 from millrace.plans.events import EventLog
 from millrace.plans.table import WarehouseTable
-from millrace.session import scratch_dir
+from millrace.session import delete_path, hadoop_path, scratch_dir
 from millrace.sources.files import read_files
 from millrace.sources.listing import list_directory
 from millrace.sources.spec import Source
@@ -124,7 +124,47 @@ def job_incremental_files(spark, d):
     again = jobs.incremental_files_job(spark, year_listing(spark, root), log, target, CTX, "csv", read_options=READ)
     if again:
         raise AssertionError(f"loaded again: {again}")
-    return target.read().drop("FILE_NAME")
+    return target.read().drop("FILE_NAME", "FILE_PATH")
+
+
+@query(
+    "job_same_names",
+    f"""
+    SELECT o_orderkey AS O_ORDERKEY, o_totalprice AS O_TOTALPRICE, o_orderdate AS O_ORDERDATE, {AUDIT}, year(o_orderdate) AS YEAR FROM orders
+    WHERE year(o_orderdate) <> 1995 OR o_orderdate >= TIMESTAMP '1995-07-01'
+    """,
+)
+def job_same_names(spark, d):
+    """One folder a year, each with an ``orders.csv``; one of them is delivered again, shorter."""
+    db, root = new_database(spark), scratch_dir(spark, "years")
+    target, log = WarehouseTable(spark, f"{db}.ORDERS", "O_ORDERDATE"), WarehouseTable(spark, f"{db}.FILE_LOG")
+    orders = table(spark, d, "orders").select("o_orderkey", "o_totalprice", "o_orderdate")
+    year = F.year("o_orderdate")
+
+    def deliver(y, condition):
+        whole = f"{scratch_dir(spark, 'delivery')}.csv"
+        exports.write_delimited(orders.where((year == y) & F.expr(condition)), whole, single_file=True)
+        (part,) = [r.filename for r in list_directory(spark, whole, "*.csv").collect()]
+        fs, folder = hadoop_path(spark, f"{root}/y={y}")
+        fs.mkdirs(folder)
+        delete_path(spark, f"{root}/y={y}/orders.csv")
+        fs.rename(hadoop_path(spark, f"{whole}/{part}")[1], hadoop_path(spark, f"{root}/y={y}/orders.csv")[1])
+
+    def load():
+        return len(jobs.incremental_files_job(spark, year_listing(spark, root), log, target, CTX, "csv", reload_modified=True, read_options=READ))
+
+    years = [r.y for r in orders.select(year.alias("y")).distinct().orderBy("y").collect()]
+    for y in years:
+        deliver(y, "true")
+        if load() != 1:
+            raise AssertionError(f"not loaded: {y}")
+    deliver(1995, "o_orderdate >= '1995-07-01'")
+    if load() != 1:
+        raise AssertionError("not loaded again")
+    held = target.files().groupBy("file").agg(F.sum("rows")).count()
+    if held != len(years):
+        raise AssertionError(f"files in the ledger: {held}")
+    return target.read().withColumn("YEAR", F.regexp_extract("FILE_PATH", "y=([0-9]*)", 1).cast("bigint")).drop("FILE_NAME", "FILE_PATH")
 
 
 @query("job_changed_batch", FILE_ORDERS)
@@ -140,7 +180,7 @@ def job_changed_batch(spark, d):
         )
     if loaded[1] <= loaded[0] or loaded[2] != 0:
         raise AssertionError(f"rows loaded: {loaded}")
-    return target.read().drop("FILE_NAME")
+    return target.read().drop("FILE_NAME", "FILE_PATH")
 
 
 @query("job_changed_file", FILE_ORDERS)
@@ -159,7 +199,7 @@ def job_changed_file(spark, d):
     ]
     if loaded[1] != 0 or loaded[0] != loaded[2]:
         raise AssertionError(f"rows loaded: {loaded}")
-    return target.read().drop("FILE_NAME")
+    return target.read().drop("FILE_NAME", "FILE_PATH")
 
 
 @query("job_logged_files", "SELECT y || '' AS year, count(*) AS n_lines FROM (SELECT year(o_orderdate) AS y FROM orders) WHERE y <> 1996 GROUP BY y")

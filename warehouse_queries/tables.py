@@ -401,4 +401,4 @@ def stream_ingest_roundtrip(spark, d):
         ingest_stream(stream, target, f"{root}/checkpoint").awaitTermination()
     replay = file_stream(spark, f"{root}/in", events.schema)
     ingest_stream(replay, target, f"{root}/checkpoint-lost").awaitTermination()
-    return target.read().drop("FILE_NAME")
+    return target.read().drop("FILE_NAME", "FILE_PATH")
