@@ -26,6 +26,7 @@ from millrace.operators.joins import join_groups
 from millrace.operators.reconcile import month_mismatch, reconcile_totals
 from millrace.operators.refresh import RefreshSpec, Slice, file_keys, resolve
 from millrace.operators.schema import add_missing_columns, fit, order_columns, require_width, sync_types
+from millrace.plans.keys import KeySketches
 from millrace.plans.ledger import FileLedger, entries
 from millrace.session import delete_path, scratch_dir
 from millrace.sources.catalog import split_name, table_exists
@@ -108,7 +109,7 @@ class WarehouseTable:
     def _drop_version(self, version: str) -> None:
         """The files go first: a run that dies in between leaves a name that can be dropped again."""
         where = self._location(version)
-        for path in (where, self._ledger_folder(where)):
+        for path in (where, self._ledger_folder(where), f"{where}.keys"):
             delete_path(self.spark, path)
         self._run(f"DROP TABLE {version}")
 
@@ -475,11 +476,17 @@ class WarehouseTable:
             if not self.partition_column:
                 self._replace_keeping_schema(survivors(self.read()).unionByName(fit(rows, schema)), schema)
                 return rows.count()
-            touched = self._slices_of(join_groups(self._rows(), chosen, keys, "left_semi"))
+            touched = self._slices_with(chosen, keys)
             return self._overwrite(touched, survivors, rows, schema, self.slices())
 
         return self._with_stage(last, False, work)
 
+    def _slices_with(self, chosen: DataFrame, keys: Sequence[str]) -> set[date | None]:
+        """Slices that may hold one of the keys, from the sketches of the files where these help."""
+        rows = self._rows()
+        found = KeySketches(self.spark, f"{self._location()}.keys", keys, SLICE).slices(rows, chosen)
+        return self._slices_of(join_groups(rows, chosen, keys, "left_semi")) if found is None else found
+
     def purge(self, day: date | None) -> None:
         """Drop one slice and its files."""
         self._drop_slice(day)
