@@ -18,7 +18,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.operators.refresh import plain_path, row_path
+from millrace.operators.changes import plain
+from millrace.operators.refresh import plain_path
 from millrace.session import path_exists
 
 BLOCK_BITS = 32768  # fixed value: bits of one bitmap
@@ -54,9 +55,10 @@ class KeySketches:
         fresh = [f for f in rows.inputFiles() if plain_path(f) not in known]
         if not fresh:
             return
-        part = rows.select(*self.keys, self.slice_column, row_path().alias("file"), F.col("_metadata.file_path").alias("_at"))
-        if known:
-            part = part.where(F.col("_at").isin(fresh))  # prunes files before they are opened
+        at = F.col("_metadata.file_path")
+        part = rows.select(*self.keys, self.slice_column, plain(at).alias("file"), at.alias("_at"))
+        if known:  # prunes files before they are opened; readers write one or three slashes
+            part = part.where(F.col("_at").isin([*fresh, *map(plain_path, fresh)]))
         part = part.drop("_at").withColumn("hash", self._hash())
         first = self.keys[0]
         blocks = F.ceil(F.count("*") * BITS_A_KEY / F.lit(BLOCK_BITS)).cast("int")
