@@ -79,7 +79,7 @@ def refresh_ingest_mtd(spark, d):
     return refresh(t, march(t), spec)
 
 
-EVENT_COLUMNS = "event_id, ts, user_id, event_type"
+EVENT_COLUMNS = "event_id, ts, user_id, event_type, props"
 BOUNDS_SQL = f"""
     WITH b AS (SELECT * FROM events WHERE event_type = 'click'
                AND ts >= TIMESTAMP '2024-01-10' AND ts < TIMESTAMP '2024-01-13')
@@ -97,13 +97,13 @@ def three_days(t):
 
 @query("refresh_n_days_batch_bounds", BOUNDS_SQL)
 def refresh_n_days_batch_bounds(spark, d):
-    t = table(spark, d, "events").drop("props")
+    t = table(spark, d, "events")
     return refresh(t, three_days(t), RefreshSpec(refresh_type="PARTITION_N_DAYS", partition_column="ts"))
 
 
 @query("refresh_back_fill_n_days", BOUNDS_SQL)
 def refresh_back_fill_n_days(spark, d):
-    t = table(spark, d, "events").drop("props")
+    t = table(spark, d, "events")
     return refresh(t, three_days(t), RefreshSpec(ingest_type="BACK_FILL_N_DAYS", partition_column="ts"))
 
 
@@ -117,7 +117,7 @@ def refresh_back_fill_n_days(spark, d):
     """,
 )
 def refresh_n_days_window(spark, d):
-    t = table(spark, d, "events").drop("props")
+    t = table(spark, d, "events")
     spec = RefreshSpec(
         refresh_type="PARTITION_N_DAYS", partition_column="ts", partition_value="2024-01-15", n_days=5
     )

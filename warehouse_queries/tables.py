@@ -11,10 +11,10 @@ from millrace.operators.refresh import RefreshSpec
 from millrace.plans import exports
 from millrace.plans.sql import create_views
 from millrace.plans.table import WarehouseTable
-from millrace.session import scratch_dir
+from millrace.session import delete_path, hadoop_path, scratch_dir
 from millrace.sources import catalog, files, listing
 from millrace.sources.spec import Source
-from millrace.streaming.files import file_stream, ingest_stream
+from millrace.streaming.files import file_stream, ingest_changed, ingest_stream
 from warehouse_queries.refreshes import BOUNDS_SQL, CDC_SQL, MONTH_SQL, march, three_days
 from warehouse_queries.registry import new_database, query, table
 
@@ -225,7 +225,7 @@ def table_refresh_month(spark, d):
 
 @query("table_refresh_n_days", BOUNDS_SQL)
 def table_refresh_n_days(spark, d):
-    events = table(spark, d, "events").drop("props")
+    events = table(spark, d, "events")
     target = WarehouseTable(spark, f"{new_database(spark)}.events", "ts")
     target.append(events)
     target.refresh(three_days(events), RefreshSpec(refresh_type="PARTITION_N_DAYS"))
@@ -388,11 +388,11 @@ def schema_evolution_roundtrip(spark, d):
     return target.read()
 
 
-@query("stream_ingest_roundtrip", "SELECT event_id, ts, user_id, event_type, value FROM events")
+@query("stream_ingest_roundtrip", "SELECT event_id, ts, user_id, event_type, value, props FROM events")
 def stream_ingest_roundtrip(spark, d):
     """Event files arrive in two waves, the second with one file delivered again."""
     root = scratch_dir(spark, "stream")
-    events = table(spark, d, "events").drop("props")
+    events = table(spark, d, "events")
     middle = F.lit("2024-01-15").cast("timestamp_ntz")
     target = WarehouseTable(spark, f"{new_database(spark)}.events", "ts")
     for half in (F.col("ts") < middle, F.col("ts") >= middle):
@@ -402,3 +402,43 @@ def stream_ingest_roundtrip(spark, d):
     replay = file_stream(spark, f"{root}/in", events.schema)
     ingest_stream(replay, target, f"{root}/checkpoint-lost").awaitTermination()
     return target.read().drop("FILE_NAME", "FILE_PATH")
+
+
+@query(
+    "stream_changed_files",
+    """
+    SELECT event_id, ts, user_id, event_type, CASE WHEN event_type = 'click' AND ts >= TIMESTAMP '2024-01-10' THEN value + 1 ELSE value END AS value, props
+    FROM events WHERE event_type <> 'view' OR ts < TIMESTAMP '2024-01-20'
+    """,
+)
+def stream_changed_files(spark, d):
+    """One file an event type. Then two of them change: one gets other values, one loses rows."""
+    root = scratch_dir(spark, "drop")
+    events = table(spark, d, "events")
+    target = WarehouseTable(spark, f"{new_database(spark)}.events", "ts")
+
+    def deliver(kind, rows):
+        """One whole file of a fixed name."""
+        whole = scratch_dir(spark, "delivery")
+        exports.write_parquet(rows.where(F.col("event_type") == kind).coalesce(1), whole)
+        (part,) = [r.filename for r in listing.list_directory(spark, whole, "*.parquet").collect()]
+        fs, folder = hadoop_path(spark, f"{root}/in/kind={kind}")
+        fs.mkdirs(folder)
+        delete_path(spark, f"{root}/in/kind={kind}/events.parquet")
+        fs.rename(hadoop_path(spark, f"{whole}/{part}")[1], hadoop_path(spark, f"{root}/in/kind={kind}/events.parquet")[1])
+
+    def run():
+        found = listing.list_directory(spark, f"{root}/in", "*.parquet", recursive=True)
+        done = ingest_changed(found, target, f"{root}/state", lambda paths: files.read_files(spark, paths, "parquet", True, True))
+        done.awaitTermination()
+        return target.stored, target.files().agg(F.sum("rows")).first()[0]
+
+    for kind in [r[0] for r in events.select("event_type").distinct().collect()]:
+        deliver(kind, events)
+    first = run()
+    if run() != first:
+        raise AssertionError("loaded again without a change")
+    deliver("click", events.withColumn("value", F.when(F.col("ts") >= "2024-01-10", F.col("value") + 1).otherwise(F.col("value"))))
+    deliver("view", events.where("ts < '2024-01-20'"))
+    run()
+    return target.read().drop("FILE_NAME", "FILE_PATH")
