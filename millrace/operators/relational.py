@@ -18,9 +18,13 @@ def money_sum(value: Column, scale: int = 8) -> Column:
 
     Amounts are summed as whole units of the last decimal. High and low bits go in two long
     sums, which is twice as fast as a decimal sum and cannot overflow below some trillion rows.
-    An amount of more than 18 digits in these units is an error, never cut.
+    An amount of more than 18 digits in these units is an error, never cut, and so is one with more
+    decimals; the noise of computed doubles (some units in their last place) is none.
     """
-    units = F.rint(value * 10**scale).cast("bigint")
+    exact = value * 10**scale
+    whole = F.rint(exact)
+    finer = F.abs(exact - whole) > 0.001 + F.abs(whole) * 1e-15
+    units = F.when(finer, F.raise_error(F.concat(F.lit(f"more than {scale} decimals: "), value.cast("string")))).otherwise(whole).cast("bigint")
     high = F.sum(F.shiftright(units, 20)).cast("decimal(38,0)")
     low = F.sum(units.bitwiseAND(F.lit((1 << 20) - 1)))
     return (high * (1 << 20) + low).cast("double") / 10**scale

@@ -18,8 +18,6 @@ from millrace.operators.joins import join_groups
 from millrace.operators.relational import union_by_name
 from millrace.sources.files import infer_text_types
 
-HEADER_ROWS = 50  # fixed value: rows searched for the header
-
 CELL_ROWS = T.StructType(
     [
         T.StructField("path", T.StringType()),
@@ -190,16 +188,18 @@ def select_area(rows: DataFrame, address: str) -> DataFrame:
     return chosen.withColumns({"cells": cut, "first_col": F.lit(c1)})
 
 
-def header_row(rows: DataFrame, key: Sequence[str] = ("path", "sheet"), sample: int = HEADER_ROWS) -> DataFrame:
-    """Per sheet the row with the most distinct filled cells among the first ``sample``; ties go to the upper row."""
+def header_row(rows: DataFrame, key: Sequence[str] = ("path", "sheet"), sample: int | None = None) -> DataFrame:
+    """Per sheet the row with the most distinct filled cells, of all or of the first ``sample``; ties go
+    to the upper row.
+    """
     distinct = F.size(F.array_distinct(F.array_compact("cells")))
     rank = F.struct(distinct.alias("n"), (-F.col("row_index")).alias("r"))
-    head = rows.where(F.col("row_index") <= sample)
+    head = rows if sample is None else rows.where(F.col("row_index") <= sample)
     best = head.groupBy(*key).agg(F.max_by(F.struct("row_index", "cells"), rank).alias("h"))
     return best.select(*key, F.col("h.row_index").alias("header_row"), F.col("h.cells").alias("header"))
 
 
-def below_header(rows: DataFrame, key: Sequence[str] = ("path", "sheet"), sample: int = HEADER_ROWS) -> DataFrame:
+def below_header(rows: DataFrame, key: Sequence[str] = ("path", "sheet"), sample: int | None = None) -> DataFrame:
     """Rows under their sheet's header, with the header beside them."""
     heads = header_row(rows, key, sample)
     return join_groups(rows, heads, key, "inner").where(F.col("row_index") > F.col("header_row"))
@@ -222,8 +222,8 @@ def read_workbook(
 ) -> DataFrame:
     """Sheets of a workbook as one table, united by name; requested sheets that do not exist are skipped.
 
-    The first row of the area is the header, or with ``promote_header`` the most diverse of
-    the first rows. Types are those that all cells of a column fit.
+    The first row of the area is the header, or with ``promote_header`` the most diverse
+    row. Types are those that all cells of a column fit.
     """
     rows = workbook_rows(spark, path)
     addresses = [data_address] if isinstance(data_address, str) else list(data_address)

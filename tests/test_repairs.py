@@ -16,7 +16,7 @@ from millrace.operators.relational import money_sum
 from millrace.plans import jobs
 from millrace.plans.table import SLICE, WarehouseTable, ensure_database
 from millrace.session import scratch_dir
-from millrace.sources import files, listing, streams
+from millrace.sources import files, listing, streams, workbook
 
 CTX = RunContext("2024-01-20", "job", dt.datetime(2024, 2, 1))
 
@@ -81,6 +81,20 @@ def test_small_amounts_are_summed_whole(spark):
     assert df.agg(money_sum(F.col("x"))).first()[0] == 12345678.2504
 
 
+@pytest.mark.parametrize("amount", [4e-9, 1.000000004, 0.123456789])
+def test_amounts_finer_than_the_unit_fail(spark, amount):
+    df = spark.createDataFrame([(amount,)] * 10 + [(None,), (1e7 * 0.07 * 1.1,)], "x double")
+    with pytest.raises(PySparkException, match="more than 8 decimals"):
+        df.agg(money_sum(F.col("x"))).collect()
+    assert abs(df.agg(money_sum(F.col("x"), 9)).first()[0] - (10 * amount + 1e7 * 0.07 * 1.1)) < 1e-6
+
+
+def test_a_header_far_down_is_found(spark):
+    rows_ = [("s", i, ["a", "a"] if i != 60 else ["id", "name", "day"]) for i in range(1, 100)]
+    found = workbook.header_row(spark.createDataFrame(rows_, "sheet string, row_index int, cells array<string>"), ["sheet"])
+    assert found.first()["header_row"] == 60
+
+
 def test_long_texts_fail_where_a_limit_is_set(spark, db):
     table = WarehouseTable(spark, f"{db}.t", text_limit=3)
     table.append(spark.createDataFrame([("abc",), (None,)], "v string"))

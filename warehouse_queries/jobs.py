@@ -60,10 +60,11 @@ def job_transform(spark, d):
     """,
 )
 def event_rows(spark, d):
-    """One good run and one that fails, each with its event row."""
+    """All months loaded, then one good run for March and one that fails, each with its event row."""
     db = new_database(spark)
     log = EventLog(spark, f"{db}.EVENTS")
     target = WarehouseTable(spark, f"{db}.SALES", "O_ORDERDATE")
+    jobs.transform_job(spark, sales_source(spark, d, "0001-01-01", "9999-01-01"), target, CTX)
     source = sales_source(spark, d, "1997-03-01", "1997-04-01")
     jobs.transform_job(spark, source, target, CTX, events=log)
 

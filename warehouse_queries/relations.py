@@ -213,7 +213,7 @@ def sheets(spark, d):
 HEADERS = """
     c AS (SELECT conv_id AS sheet, CAST(turn + 1 AS INTEGER) AS row_index,
                  len(list_distinct(list_filter(string_split(text, ' '), lambda w: w <> ''))) AS n FROM conversations),
-    h AS (SELECT sheet, arg_max(row_index, n * 1000000 - row_index) AS header_row FROM c WHERE row_index <= 50 GROUP BY sheet)
+    h AS (SELECT sheet, arg_max(row_index, n * 1000000 - row_index) AS header_row FROM c GROUP BY sheet)
 """
 
 

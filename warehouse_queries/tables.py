@@ -48,11 +48,11 @@ def delimiter_fallback(spark, d):
 
 @query(
     "all_string_scan",
-    "SELECT CAST(p_partkey AS VARCHAR) AS p_partkey, p_name, CAST(p_size AS VARCHAR) AS p_size FROM part",
+    "SELECT CAST(p_partkey AS VARCHAR) AS p_partkey, p_name, p_brand, p_type, CAST(p_size AS VARCHAR) AS p_size, CAST(p_retailprice AS VARCHAR) AS p_retailprice FROM part",
 )
 def all_string_scan(spark, d):
     path = scratch_dir(spark, "part") + ".csv"
-    exports.write_delimited(table(spark, d, "part").select("p_partkey", "p_name", "p_size"), path)
+    exports.write_delimited(table(spark, d, "part"), path)
     return files.read_text_all(spark, path, "txt")
 
 
