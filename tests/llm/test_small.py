@@ -136,12 +136,12 @@ def test_templates_are_checked():
 def test_top_k_edges(spark):
     rows = [
         (0, [0.5, 0.25]), (50, [1.0, -1.0]), (100, None), (150, [1.0, math.nan]), (1, [0.5, 0.25]), (2, [0.5, 0.25]), (3, [None, 1.0]),
-        (4, [math.inf, 0.0]), (5, [1e30, 1.0]), (6, []), (7, [-0.001, 0.0]), (8, [2.0]), (9, [0.5, 0.25, 9.0]), (None, [9.0, 9.0]),
+        (4, [math.inf, 0.0]), (5, [3e8, 0.0]), (10, [-1e200, 1.0]), (6, []), (7, [-0.001, 0.0]), (8, [2.0]), (9, [0.5, 0.25, 9.0]), (None, [9.0, 9.0]),
     ]
     frame = spark.createDataFrame([(*r, 1) for r in rows], "vec_id long, embedding array<double>, rank int")
     frame = frame.union(frame.where("vec_id in (0, 1)")).union(spark.createDataFrame([(2, [0.75, 0.25], 1)], frame.schema))
     found = topk.top_k(frame, F.col("vec_id") % 50 == 0, query_block=1, candidate_block=3).collect()
-    good = {0: [[128, 64]], 50: [[256, -256]], 1: [[128, 64]], 2: [[128, 64], [192, 64]], 6: [[]], 7: [[-1, 0]], 8: [[512]], 9: [[128, 64, 2304]]}
+    good = {0: [[128, 64]], 50: [[256, -256]], 1: [[128, 64]], 2: [[128, 64], [192, 64]], 5: [[76_800_000_000, 0]], 10: [[-256 * int(1e200), 256]], 6: [[]], 7: [[-1, 0]], 8: [[512]], 9: [[128, 64, 2304]]}
     expected = {}
     for q in (0, 50):
         scores = {c: max(sum(a * b for a, b in zip(good[q][0], v, strict=False)) for v in vs) for c, vs in good.items() if c != q}
@@ -151,6 +151,23 @@ def test_top_k_edges(spark):
     assert topk.top_k(frame.limit(0), F.col("vec_id") % 50 == 0).count() == 0
 
 
+def test_wide_vectors_are_exact_or_fail(spark):
+    rows = [(0, [2.0**40, 2.0**-8]), (50, [1e300, -1e300]), (1, [2.0**6, 3.0]), (2, [-(2.0**6), 5.0]), (3, [1e300, 1e300]), (4, [2.0**45, 0.0]), (100, [0.0, 1.0])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+
+    def best(data, q, k):
+        found = topk.top_k(data, F.col("vec_id") == q, k=k, candidate_block=2).orderBy("rank").collect()
+        return [(r.vec_id, r.score) for r in found]
+
+    assert best(frame.where("vec_id in (0, 1, 2, 100)"), 0, 5) == [(1, 2**48 * 2**14 + 768), (100, 256), (2, -(2**48) * 2**14 + 1280)]
+    exact = 256 * int(1e300)
+    assert best(frame.where("vec_id in (3, 50)"), 50, 5) == [(3, exact * exact - exact * exact)]
+    for data, q in ((frame, 0), (frame.where("vec_id in (0, 4)"), 0), (frame.where("vec_id in (2, 3)"), 3)):
+        with pytest.raises(Exception, match="range of a long"):
+            best(data, q, 5)
+    assert best(frame.where("vec_id in (100, 1, 2, 4, 0)"), 100, 2) == [(2, 1280 * 256), (1, 768 * 256)]
+
+
 def test_blocks_do_not_change_the_result(spark):
     draw = np.random.default_rng(4)
     rows = [(i, [float(x) for x in draw.integers(-3, 4, 8) / 16]) for i in range(400)]
