@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,6 +11,7 @@ from pyspark.sql import types as T
 
 from millrace.operators.refresh import plain_path, row_path
 from millrace.operators.relational import union_by_name
+from millrace.sources.quoted import read_quoted, splittable
 from millrace.sources.streams import head_of
 
 TEXT_DELIMITER = "|"  # fixed value: delimiter of text files unless given
@@ -60,8 +62,8 @@ def read_delimited(
 
     Types come from ``schema``, from Spark's inference, from the looks of all values with
     ``infer_looks``, or stay text with ``all_text``. Line breaks inside quotes are allowed once a
-    quote character is given; each file is then read by one task (``multi_line=False`` splits it
-    again if no value holds a line break).
+    quote character is given: UTF-8 files are still read in splits, see ``sources.quoted``; with
+    ``multi_line`` each file is read by one task, without it (False) no value may hold a line break.
 
     Paths may be files, folders or globs. Files that differ in header or encoding are read by
     groups and united by column name, each with the delimiter that fits its header. With a
@@ -73,6 +75,10 @@ def read_delimited(
 
     def read(found: str, line: str, files: Sequence[str]) -> DataFrame:
         mark = choose_delimiter(line, delimiter) if auto_delimiter else delimiter
+        if quote and multi_line is None and found == "UTF-8" and splittable(line, mark, quote):
+            texts = read_quoted(spark, files, line, mark, quote)
+            if texts is not None:
+                return _in_splits(texts)
         lines = bool(quote) or found == "UTF-16" if multi_line is None else multi_line
         reader = spark.read.options(header=True, delimiter=mark, quote=quote, escape="\\", encoding=found, multiLine=lines)
         if schema is not None:
@@ -87,9 +93,43 @@ def read_delimited(
         origin |= {"FILE_PATH": row_path()} if with_path else {}
         return df.withColumns(origin) if origin else df
 
+    def _in_splits(texts: DataFrame) -> DataFrame:
+        """The columns of a text frame in the wanted types, with the wanted origin."""
+        names = [c for c in texts.columns if c not in ("_file", "_name")]
+        if schema is not None:
+            wanted = (schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)).fields
+        elif all_text:
+            wanted = [T.StructField(c, T.StringType()) for c in names]
+        elif infer_looks:
+            wanted = infer_text_types(texts.select(*[F.col(f"`{c}`") for c in names])).fields
+        else:
+            wanted = inferred(texts, names)
+        typed = [_parsed(F.col(f"`{c}`"), f.dataType).alias(f.name) for c, f in zip(names, wanted, strict=False)]
+        origin = [F.col("_name").alias("FILE_NAME")] if with_file_name else []
+        origin += [row_path("_file").alias("FILE_PATH")] if with_path else []
+        return texts.select(*typed, *origin)
+
     return union_by_name([read(*group) for group in groups])
 
 
+def _parsed(text: Column, dtype: T.DataType) -> Column:
+    """A text as the reader turns it into a value: through the parser of its own type."""
+    if isinstance(dtype, T.StringType):
+        return text
+    kind = T.StructType([T.StructField("v", dtype)]).simpleString().removeprefix("struct<").removesuffix(">")
+    quoted_text = F.concat(F.lit('"'), F.replace(F.replace(text, F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"')), F.lit('"'))
+    return F.from_csv(F.when(text.isNotNull(), quoted_text).otherwise(F.lit("")), F.lit(kind.replace(":", " ")), {"escape": "\\"})["v"]
+
+
+def inferred(texts: DataFrame, names: Sequence[str]) -> list[T.StructField]:
+    """Types by Spark's own inference over all rows, from the texts written as plain records."""
+    plain = texts.select(F.to_csv(F.struct(*[F.col(f"`{c}`") for c in names]), {"escape": "\\"}).alias("value"))
+    reader = texts.sparkSession.read.options(inferSchema=True, escape="\\")
+    found = reader._jreader.csv(getattr(plain._jdf, "as")(texts.sparkSession._jvm.org.apache.spark.sql.Encoders.STRING())).schema().json()
+    kinds = T.StructType.fromJson(json.loads(found)).fields
+    return [T.StructField(c, f.dataType) for c, f in zip(names, kinds, strict=True)]
+
+
 # Types tried in order, each with the look a text must have. The cast alone would take "y" for
 # a boolean, "1d" for a number, and would cut the time off a timestamp.
 TEXT_TYPES = (
