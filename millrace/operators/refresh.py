@@ -98,7 +98,7 @@ class Slice:
     """Rows of a target that a refresh replaces.
 
     ``condition`` decides by value; ``names`` (distinct, one column ``name``) decides by join on each of
-    ``keys``. ``files`` are the names or paths that ``condition`` tests, if it is about files; ``by_path``
+    ``name_columns`` and ``keys``. ``files`` are the names or paths that ``condition`` tests, if it is about files; ``by_path``
     says whether files are known by path. ``lower``/``upper`` bound the partition column, half-open, so that a
     partitioned table can prune. Nothing set means no row is hit.
     """
@@ -106,6 +106,7 @@ class Slice:
     everything: bool = False
     condition: Column | None = None
     names: DataFrame | None = None
+    name_columns: tuple[str, ...] = ()
     keys: tuple[Column, ...] = ()
     files: tuple[str, ...] = ()
     by_path: bool = False
@@ -123,10 +124,13 @@ class Slice:
         if self.condition is not None:
             return target.where(~F.coalesce(self.condition, F.lit(False)))
         if self.names is not None:
-            for key in self.keys:
+            for key in self._all_keys():
                 target = self._joined(target, key, "left_anti")
         return target
 
+    def _all_keys(self) -> list[Column]:
+        return [*map(F.col, self.name_columns), *self.keys]
+
     def _joined(self, target: DataFrame, key: Column, how: str) -> DataFrame:
         keyed = target.withColumn("_file", key)
         return join_groups(keyed, self.names.withColumnRenamed("name", "_file"), ["_file"], how).drop("_file")
@@ -145,7 +149,7 @@ class Slice:
         if self.condition is not None:
             return target.where(self.condition)
         if self.names is not None:
-            return reduce(DataFrame.unionAll, [self._joined(target, key, "left_semi") for key in self.keys])
+            return reduce(DataFrame.unionAll, [self._joined(target, key, "left_semi") for key in self._all_keys()])
         return target.where(F.lit(False))
 
 
@@ -227,7 +231,7 @@ def _file_slice(spec: RefreshSpec, batch: DataFrame, target_columns: Sequence[st
     if not columns or named is None:
         return Slice()
     names = batch.select(F.col(named).alias("name")).where(F.col("name").isNotNull()).distinct()
-    return Slice(names=names, keys=tuple(F.col(c) for c in columns))
+    return Slice(names=names, name_columns=columns)
 
 
 def resolve(spec: RefreshSpec, batch: DataFrame, target_columns: Sequence[str]) -> Slice:
