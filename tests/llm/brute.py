@@ -59,8 +59,8 @@ class Union:
         self.up[b] = a
 
 
-def ngram_join(rows, percent=85):
-    sets = {i: shingles(t) for i, t in rows}
+def ngram_join(rows, percent=85, size=4):
+    sets = {i: shingles(t, size) for i, t in rows}
     union = Union(sets)
     for a in sets:
         for b in sets:

@@ -20,7 +20,7 @@ def test_stages_against_brute_force(spark, sf_dir):
 
     scores = {r.id: r.predicted for r in quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).collect()}
     assert {r["doc_id"] for r in given["near_duplicates"]} == {i for i, p in scores.items() if p}
-    groups = brute.ngram_join([(r["doc_id"], r["text"]) for r in given["near_duplicates"]])
+    groups = brute.ngram_join([(r["doc_id"], r["text"]) for r in given["near_duplicates"]], percent=80, size=5)
     assert {r["doc_id"] for r in given["substrings"]} == {i for i, (_, c) in groups.items() if i == c}
     cut = brute.substring_dedup([(r["doc_id"], r["text"]) for r in given["substrings"]], 50)
     texts = {r["doc_id"]: r["text"] for r in given["mixture"]}

@@ -93,6 +93,20 @@ def test_next_characters_have_probability_one():
         assert abs(sum(p(context, chr(c)) for c in range(256)) - 1) < 1e-9
 
 
+def formatted_length(turns):
+    """Characters of the formatted text: a doubled backslash, and one more for each control string inside."""
+    total = 0
+    for role, text in turns:
+        form = chat.DEFAULT.forms.get(role)
+        parts = [text] if form else [role, text]
+        frame = [form.open, form.close] if form else [chat.DEFAULT.other.open, chat.DEFAULT.name_end, chat.DEFAULT.other.close]
+        total += sum(map(len, frame))
+        for part in parts:
+            doubled = part.replace("\\", "\\\\")
+            total += len(doubled) + sum(doubled.count(c) for c in chat.DEFAULT.controls())
+    return total
+
+
 def conversation(turns):
     everything = "".join(f"{r}\n{t}\n" for r, t in turns)
     learnt = "".join(t for r, t in turns if r == "assistant")
@@ -107,6 +121,8 @@ def test_chat_on_the_whole_table(spark, sf_dir):
     expected[-7] = [("user", control), ("assistant", control)]
     found = {r.conv_id: tuple(r)[1:5] for r in QUERIES["op3_chat_format"](spark, sf_dir).collect()}
     assert found == {c: conversation(t) for c, t in expected.items()}
+    chars = {r.conv_id: r.formatted_chars for r in QUERIES["op3_chat_format"](spark, sf_dir).collect()}
+    assert chars == {c: formatted_length(t) for c, t in expected.items()}
 
 
 def test_chat_edges(spark):
@@ -121,6 +137,7 @@ def test_chat_edges(spark):
         expected[conv].append((role or "", text or ""))
     found = {r.conv_id: r for r in chat.read_back(formatted).collect()}
     assert {c: tuple(r)[1:5] for c, r in found.items()} == {c: conversation(t) for c, t in expected.items()}
+    assert {c: r.formatted_chars for c, r in found.items()} == {c: formatted_length(t) for c, t in expected.items()}
     assert found[None].first_wrong is None and found[50].first_wrong == 2
     for r in formatted.collect():
         texts = [s.text for s in r.segments]
