@@ -43,7 +43,7 @@ class FileLedger:
     def add(self, entries: DataFrame) -> None:
         """Entries of rows that are about to be written."""
         if self.exists:
-            entries.hint("rebalance").write.mode("append").parquet(self._path(self._generations()[-1]))
+            entries.write.mode("append").parquet(self._path(self._generations()[-1]))
         else:
             self.rewrite(entries)
 
@@ -51,7 +51,7 @@ class FileLedger:
         """A new generation with these entries; it may be derived from the present one."""
         old = self._generations()
         number = max(old, default=0) + 1
-        entries.hint("rebalance").write.mode("overwrite").parquet(self._path(number))
+        entries.write.mode("overwrite").parquet(self._path(number))
         for generation in old:
             delete_path(self.spark, self._path(generation))
 
