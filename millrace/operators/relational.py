@@ -50,16 +50,31 @@ def group_bounds(df: DataFrame, keys: Sequence[str], start: str, end: str) -> Da
     return join_groups(df, bounds, keys)
 
 
+def text_lists(details: DataFrame, keys: Sequence[str], text: str, name: str, separator: str = ",") -> DataFrame:
+    """The texts of each group in order (of bytes), as one text.
+
+    Repeated texts are counted first, in every task before the shuffle. What is left is ranged by text
+    and then key, so a hot group and a hot text both lie in many tasks. Each task joins its range of a
+    group to one piece, and the pieces are put together in the order of the ranges: no task holds a
+    group's rows, only the text that is asked for. A group of NULL texts only has an empty list.
+    """
+    once = details.groupBy(*keys, F.col(text).alias("_text")).agg(F.count("*").alias("_n"))
+    ranged = once.where("_text IS NOT NULL").repartitionByRange("_text", *keys)
+    in_order = F.array_sort(F.collect_list(F.struct("_text", F.col("_n").cast("int").alias("_n"))))
+    listed = F.flatten(F.transform(in_order, lambda t: F.array_repeat(t["_text"], t["_n"])))
+    # Partitions stay ranges in ascending order, also where AQE merges neighbours.
+    pieces = ranged.groupBy(*keys, F.spark_partition_id().alias("_range")).agg(F.array_join(listed, separator).alias("_piece"))
+    without = once.where("_text IS NULL").select(*keys, F.lit(-1).alias("_range"), F.lit(None).cast("string").alias("_piece"))
+    parts = F.array_sort(F.collect_list(F.struct("_range", "_piece")))
+    joined = F.array_join(F.transform(parts, lambda p: p["_piece"]), separator)
+    return pieces.unionByName(without).groupBy(*keys).agg(joined.alias(name))
+
+
 def join_aggregate(
     left: DataFrame, details: DataFrame, keys: Sequence[str], text: str, name: str, separator: str = ","
 ) -> DataFrame:
-    """Left join to ``details`` grouped by ``keys``, their texts listed in order.
-
-    The list is one value per group, so pass ``details`` with few rows per group
-    (distinct texts, as a rule).
-    """
-    listed = details.groupBy(*keys).agg(F.array_join(F.array_sort(F.collect_list(text)), separator).alias(name))
-    return join_groups(left, listed, keys)
+    """Left join to ``details`` grouped by ``keys``, their texts listed by :func:`text_lists`."""
+    return join_groups(left, text_lists(details, keys, text, name, separator), keys)
 
 
 def lookup(left: DataFrame, required: DataFrame, optional: DataFrame, on: str, optional_on: str) -> DataFrame:

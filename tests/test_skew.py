@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators.changes import latest_per_key, retention_expired
 from millrace.operators.refresh import Slice
-from millrace.operators.relational import group_bounds
+from millrace.operators.relational import group_bounds, join_aggregate, text_lists
 from millrace.plans.table import SLICE, WarehouseTable, ensure_database
 from millrace.session import scratch_dir, scratch_root
 from millrace.sources.listing import list_directory
@@ -117,3 +117,25 @@ def test_scratch_folder_is_the_configured_one_or_local_only(spark):
     assert scratch_root(local) == scratch_root(local)
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         scratch_root(FakeSession("yarn"))
+
+
+def test_text_lists_of_a_hot_group_lie_in_many_tasks(spark, hot):
+    """Pieces of the hot group come from all ranges; a text that a third of all rows share is spread by key."""
+    texts = hot.select("k", F.when(F.col("id") % 4 == 0, "hot").otherwise(F.col("id").cast("string")).alias("t"))
+    with settings(spark, **{"spark.sql.adaptive.coalescePartitions.enabled": "false"}):
+        found = {r["k"]: r["l"] for r in text_lists(texts, ["k"], "t", "l", "|").collect()}
+        once = texts.groupBy("k", "t").count().repartitionByRange("t", "k").groupBy(F.spark_partition_id()).count()
+        sizes = [r["count"] for r in once.collect()]
+    assert max(sizes) < 2 * sum(sizes) / len(sizes)
+    rows = {}
+    for k, t in texts.collect():
+        rows.setdefault(k, []).append(t)
+    assert found == {k: "|".join(sorted(v)) for k, v in rows.items()}
+
+
+def test_text_lists_keep_nulls_and_blanks_apart(spark):
+    details = spark.createDataFrame([(1, "b"), (1, ""), (1, None), (2, None), (3, "é"), (3, "z"), (None, "n")], "k int, t string")
+    left = spark.createDataFrame([(1,), (2,), (3,), (4,), (None,)], "k int")
+    out = {r["k"]: r["l"] for r in join_aggregate(left, details, ["k"], "t", "l").collect()}
+    assert out == {1: ",b", 2: "", 3: "z,é", 4: None, None: None}
+    assert text_lists(details.where("false"), ["k"], "t", "l").count() == 0

@@ -87,6 +87,22 @@ def join_to_aggregate(spark, d):
     return R.join_aggregate(customers, details, ["c_custkey"], "o_orderpriority", "priorities")
 
 
+@query(
+    "text_lists",
+    """
+    SELECT o_orderpriority, count(*) AS n_texts,
+           string_agg(o_clerk, ';' ORDER BY o_clerk) AS clerks FROM (
+      SELECT o_orderpriority, CAST(o_custkey AS VARCHAR) AS o_clerk FROM orders) GROUP BY o_orderpriority
+    """,
+)
+def text_lists(spark, d):
+    """All customers of all orders under few priorities: groups of many rows, with repeated texts."""
+    texts = table(spark, d, "orders").select("o_orderpriority", F.col("o_custkey").cast("string").alias("o_clerk"))
+    listed = R.text_lists(texts, ["o_orderpriority"], "o_clerk", "clerks", ";")
+    counts = texts.groupBy("o_orderpriority").agg(F.count("*").alias("n_texts"))
+    return counts.join(listed, "o_orderpriority")
+
+
 @query(
     "run_bounds_window",
     """
