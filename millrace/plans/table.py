@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 
 from millrace.operators.calendar import slice_interval, slice_start, slice_start_of
 from millrace.operators.joins import join_groups
-from millrace.operators.reconcile import month_mismatch, reconcile_totals
+from millrace.operators.reconcile import content_mismatch, reconcile_totals
 from millrace.operators.refresh import RefreshSpec, Slice, file_keys, resolve
 from millrace.operators.schema import add_missing_columns, fit, order_columns, require_width, sync_types
 from millrace.plans.keys import KeySketches
@@ -251,9 +251,10 @@ class WarehouseTable:
         slice too big for one. Rows of one slice, or of an unsliced table, need no shuffle.
         """
         counted = Observation()
-        rows = rows.observe(counted, F.count(F.lit(1)).alias("n"))
         if self.partition_column and spread:
             rows = rows.hint("rebalance", F.col(SLICE))
+        # Counted behind the shuffle: AQE drops the plan of an empty shuffle, and a count in it would be lost.
+        rows = rows.observe(counted, F.count(F.lit(1)).alias("n"))
         rows.write.mode("overwrite" if overwrite else "append").insertInto(name)
         return counted.get["n"]
 
@@ -386,10 +387,14 @@ class WarehouseTable:
         return {r[0] for r in rows.select(SLICE).distinct().collect()}
 
     @staticmethod
-    def _slice_in(slices: set[date | None], column: str = SLICE) -> Column:
+    def _in(value: Column, slices: set[date | None]) -> Column:
         known = [F.lit(s) for s in slices if s is not None]
-        test = F.col(column).isin(known) if known else F.lit(False)
-        return test | F.col(column).isNull() if None in slices else test
+        test = value.isin(known) if known else F.lit(False)
+        return test | value.isNull() if None in slices else test
+
+    @classmethod
+    def _slice_in(cls, slices: set[date | None], column: str = SLICE) -> Column:
+        return cls._in(F.col(column), slices)
 
     def _overwrite(
         self,
@@ -508,24 +513,34 @@ class WarehouseTable:
     def repartition(self, column: str, interval: str = "MONTHLY") -> bool:
         """Rebuild the table partitioned by ``column``, check counts and content, swap.
 
-        After an interruption only the months whose counts differ are written again.
+        After an interruption only the slices whose content differs are written again, also where their
+        row counts are equal. What was begun for another schema or slicing is begun anew.
         """
         new = WarehouseTable(self.spark, f"{self.name}_TEMP", column, interval)
-        source = self.read()
+        source, schema = self.read(), self.schema
+        if new.exists and (new.schema, new.partition_column, new.interval) != (schema, column, slice_interval(interval)):
+            new = new._begun_anew(schema, column, interval)
         if not new.exists:
-            new.create(self.schema)
+            new.create(schema)
             new.append(source)
         else:
-            months = month_mismatch(source, new.read(), column, both_sides=True).select("month")
-            wrong = [r["month"] for r in months.collect()]
-            month = F.trunc(column, "MM")
-            chosen = source.where(month.isin([F.lit(m) for m in wrong]) | F.col(column).isNull())
-            new.refresh_slices(chosen)
-            gone = set(wrong) - {r[0] for r in chosen.select(month).distinct().collect()}
-            if gone:
-                new.delete(month.isin([F.lit(m) for m in gone]))
+            start = slice_start(column, new.interval)
+            wrong = {r["part"] for r in content_mismatch(source, new.read(), start).select("part").collect()}
+            if wrong:
+                chosen = source.where(self._in(start, wrong))
+                lost = None in wrong and chosen.where(F.col(column).isNull()).isEmpty()
+                new.refresh_slices(chosen, due=sorted(day for day in wrong if day is not None))
+                if lost:
+                    new.purge(None)
         return self.swap_with(new, content=True)
 
+    def _begun_anew(self, schema: T.StructType, column: str, interval: str) -> WarehouseTable:
+        """This table, empty, with another schema and other slices."""
+        self.partition_column, self.interval = column, slice_interval(interval)
+        empty = self.spark.createDataFrame([], schema)
+        self._new_version(self._sliced(empty, schema), schema)
+        return self
+
 
 def _midnight(day: date):
     from datetime import datetime

@@ -15,7 +15,7 @@ from millrace.operators import changes as C
 from millrace.operators import lineage
 from millrace.operators import schema as S
 from millrace.operators.relational import group_bounds, union_by_name
-from millrace.operators.reconcile import month_mismatch, reconcile_totals
+from millrace.operators.reconcile import content_mismatch, month_mismatch, reconcile_totals, row_differences
 
 
 def tuples(df):
@@ -165,6 +165,23 @@ def test_group_bounds_null_group(spark):
     assert tuples(group_bounds(df, ["k"], "n", "n")) == [("a", 1, 1, 3), ("a", 3, 1, 3), (None, 1, None, None)]
 
 
+def test_content_differences(spark):
+    kind = "k int, a string, b string"
+    old = spark.createDataFrame([(1, "x", None), (1, "y", "y"), (1, "y", "y"), (2, "z", "z"), (None, None, None)], kind)
+    new = spark.createDataFrame([(1, None, "x"), (1, "y", "y"), (2, "z", "z"), (2, "z", "z"), (None, None, None)], kind)
+    same = spark.createDataFrame([(r.b, r.k, r.a) for r in old.collect()[::-1]], "b string, k int, a string")
+    assert tuples(content_mismatch(old, new, F.col("k"))) == [(1, 3, 2), (2, 1, 2)]
+    for parts in (1, 4096):
+        assert tuples(row_differences(old, same, parts)) == []
+        found = row_differences(old, new, parts).select("a", "old_rows", "new_rows").collect()
+        assert sorted(found, key=str) == sorted([("x", 1, 0), (None, 0, 1), ("y", 2, 1), ("z", 1, 2)], key=str)
+    # A value that moves to the next column of a row with NULLs is another row.
+    assert not reconcile_totals(old.limit(1), old.limit(1).selectExpr("k", "b AS a", "a AS b"), content=True).first()["is_equal"]
+    empty = old.where("false")
+    assert row_differences(old, empty).agg(F.sum("old_rows")).first()[0] == 5
+    assert tuples(content_mismatch(empty, empty, F.col("k"))) == []
+
+
 def test_reconcile(spark):
     a = spark.createDataFrame([(1, dt.datetime(2024, 1, 5)), (2, None)], "k int, d timestamp_ntz")
     b = a.withColumn("k", F.col("k") + 1)

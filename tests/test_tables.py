@@ -193,6 +193,46 @@ def test_interrupted_repartition_goes_on(spark, db):
     assert t.partition_column == "d"
 
 
+def test_empty_batches(spark, db):
+    t = make(spark, db)
+    assert t.append(frame(spark, [])) == 0
+    staged = t.read().where("k > 99")
+    assert t.append(staged) == 0 and t.refresh_slices(staged) == 0
+    assert t.refresh_slices(staged, [dt.date(2024, 2, 1)]) == 0 and keys(t) == [1, 2, 4]
+    assert t.replace(staged) == 0 and keys(t) == []
+
+
+def began(spark, db, rows, interval="MONTHLY", column="d", schema=None):
+    half = WarehouseTable(spark, f"{db}.t_TEMP", column, interval)
+    half.create(schema or frame(spark, ROWS).schema)
+    half.append(frame(spark, rows))
+    return half
+
+
+@pytest.mark.parametrize("interval", ["DAILY", "WEEKLY", "MONTHLY", "YEARLY"])
+def test_resumed_repartition_mends_equal_counts(spark, db, interval):
+    t = make(spark, db, column=None)
+    changed = [(k + 100, *rest) if k == 2 else (k, *rest) for k, *rest in ROWS]
+    began(spark, db, changed, interval)
+    assert t.repartition("d", interval)
+    assert keys(t) == [1, 2, 3, 4] and t.interval == interval
+
+
+def test_resumed_repartition_drops_rows_without_a_date(spark, db):
+    t = make(spark, db, column=None)
+    t.delete(F.col("d").isNull())
+    began(spark, db, [*ROWS, (9, None, "x")])
+    left = keys(t)
+    assert t.repartition("d") and keys(t) == left
+
+
+def test_repartition_begun_otherwise_begins_anew(spark, db):
+    t = make(spark, db, column=None)
+    began(spark, db, ROWS, "YEARLY")
+    assert t.repartition("d", "DAILY")
+    assert keys(t) == [1, 2, 3, 4] and t.interval == "DAILY"
+
+
 def test_refused_swap_keeps_the_table(spark, db):
     t, other = make(spark, db), make(spark, db, "other")
     other.append(frame(spark, ROWS[:1]))

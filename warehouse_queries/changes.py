@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators import changes as C
 from millrace.operators import lineage
-from millrace.operators.reconcile import distinct_months, month_mismatch, reconcile_totals
+from millrace.operators.reconcile import content_mismatch, distinct_months, month_mismatch, reconcile_totals, row_differences
 from warehouse_queries.registry import query, table
 
 # Documents stand for listed files: one folder per language, the id in the name.
@@ -300,6 +300,49 @@ def reconcile_content(spark, d):
     return reconcile_totals(orders, orders.withColumn("o_totalprice", F.col("o_totalprice") + 1), content=True)
 
 
+# Equal counts in every month; in one, some prices moved to other orders' rows.
+CHANGED = """
+    new AS (SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice + CASE WHEN o_orderkey % 7 = 0
+            AND date_trunc('month', o_orderdate) = TIMESTAMP '1996-03-01' THEN 1 ELSE 0 END AS o_totalprice,
+            o_orderdate, o_orderpriority FROM orders)
+"""
+
+
+def changed_orders(spark, d):
+    orders = table(spark, d, "orders")
+    hit = (F.col("o_orderkey") % 7 == 0) & (F.date_trunc("month", "o_orderdate") == F.lit("1996-03-01").cast("timestamp"))
+    return orders, orders.withColumn("o_totalprice", F.col("o_totalprice") + F.when(hit, 1).otherwise(0))
+
+
+@query(
+    "content_mismatch",
+    f"""
+    WITH {CHANGED}
+    SELECT strftime(o_orderdate, '%Y-%m-01') AS month, count(*) AS old_rows, count(*) AS new_rows
+    FROM orders JOIN new USING (o_orderkey, o_orderdate) GROUP BY 1
+    HAVING bool_or(orders.o_totalprice <> new.o_totalprice)
+    """,
+)
+def content_mismatch_query(spark, d):
+    """The month that differs, though its counts agree."""
+    old, new = changed_orders(spark, d)
+    found = content_mismatch(old, new, F.trunc("o_orderdate", "MM"))
+    return found.select(F.col("part").cast("string").alias("month"), "old_rows", "new_rows")
+
+
+@query(
+    "row_differences",
+    f"""
+    WITH {CHANGED}, gone AS (SELECT * FROM orders EXCEPT ALL SELECT * FROM new), come AS (SELECT * FROM new EXCEPT ALL SELECT * FROM orders)
+    SELECT *, CAST(1 AS BIGINT) AS old_rows, CAST(0 AS BIGINT) AS new_rows FROM gone
+    UNION ALL SELECT *, CAST(0 AS BIGINT), CAST(1 AS BIGINT) FROM come
+    """,
+)
+def row_differences_query(spark, d):
+    """The changed rows themselves, in their old and their new form."""
+    return row_differences(*changed_orders(spark, d))
+
+
 # Suppliers stand for nodes; node n is computed from node n div 2.
 EDGES = "edges AS (SELECT s_suppkey AS node_id, s_suppkey // 2 AS child_node_id FROM supplier WHERE s_suppkey > 0)"
 
