@@ -12,6 +12,7 @@ are shuffled once: all steps on a chunk read the same exchange.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 import numpy as np
@@ -21,9 +22,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.llm.shared import drop, stage
+
 CHUNK_BYTES = 4 << 20
 BUCKET_BYTES = 8 << 20
-MAX_SPLITS = 10_000
 
 
 @dataclass(frozen=True)
@@ -32,37 +34,61 @@ class Layout:
     buckets: int
 
 
+def byte_limits(sizes: DataFrame, parts: int, mean: float) -> list[float]:
+    """Ids that cut rows of (``id``, ``bytes``) into about ``parts`` ranges of equal weight, ascending.
+
+    A row weighs its bytes in units of the ``mean`` row, rounded up, so all rows weigh at most twice their
+    number, and a range of 1 / ``parts`` of the weight at most twice its share of the bytes (a single
+    id cannot be cut). Quantiles are taken in two steps, of all rows and then inside each of the ranges
+    found, so neither a list of quantiles nor its aggregate grows beyond the root of ``parts``. The
+    driver gets one number for each range.
+    """
+    outer = math.isqrt(parts - 1) + 1
+    weight = F.greatest(F.lit(1), F.ceil(F.col("bytes") / F.lit(max(1.0, mean)))).cast("int")
+    rows = sizes.where("id IS NOT NULL").select(F.col("id").cast("double").alias("id"), F.explode(F.array_repeat(F.lit(0), weight)).alias("one"))
+
+    def quantiles(n: int):
+        return F.percentile_approx("id", [i / n for i in range(1, n)], max(10_000, 100 * n))
+
+    first = sorted(set(rows.agg(quantiles(outer)).first()[0] or [])) if outer > 1 else []
+    inner = -(-parts // outer)
+    if inner < 2:
+        return first
+    ranged = ranges(rows, first, "range")
+    return sorted({*first, *(x for r in ranged.groupBy("range").agg(quantiles(inner).alias("q")).collect() for x in r.q)})
+
+
+def ranges(rows: DataFrame, limits: list[float], name: str) -> DataFrame:
+    """``rows`` with the number of the range that the double ``id`` lies in; a limit begins its range."""
+    if not limits:
+        return rows.withColumn(name, F.lit(0))
+    dealer = Bucketizer(splits=[-float("inf"), *limits, float("inf")], inputCol="id", outputCol="_range")
+    return dealer.transform(rows).withColumn(name, F.col("_range").cast("int")).drop("_range")
+
+
 def chunked(docs: DataFrame, key: str, text: str, carry: list[str] | None = None,
             chunk_bytes: int = CHUNK_BYTES, bucket_bytes: int = BUCKET_BYTES) -> tuple[DataFrame, Layout]:
     """``chunk``, ``id``, ``text`` and the carried columns as struct ``row``, dealt by chunk.
 
-    The number of chunks follows from all text bytes, their limits from quantiles of all ids.
-    Rows without an id form a chunk of their own.
+    The number of chunks follows from all text bytes, their limits from quantiles of the ids weighted
+    by bytes, so long texts do not pile up. Rows without an id are dealt over all chunks by their text.
+    Rows that share one id stay in one chunk, and so do rows without an id that have the same text.
     """
     base = docs.select(
         F.col(key).cast("long").alias("id"),
         F.col(text).cast("string").alias("text"),
         F.struct(*[F.col(c) for c in carry]).alias("row") if carry else F.lit(None).cast("int").alias("row"),
     )
-    total = base.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    sizes = stage(base.select("id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("bytes")), "sizes")
+    total, n = sizes.agg(F.coalesce(F.sum("bytes"), F.lit(0)), F.count("*")).first()
     wanted = max(1, -(-total // chunk_bytes))
-    layout = Layout(wanted, max(1, -(-total // bucket_bytes)))
-    splits = []
-    if wanted > 1:
-        parts = int(min(wanted, MAX_SPLITS))
-        probs = [i / parts for i in range(1, parts)]
-        found = base.agg(F.percentile_approx("id", probs, max(10_000, 20 * parts))).first()[0] or []
-        splits = sorted({float(x) for x in found})
-    if splits:
-        limits = [-float("inf"), *splits, float("inf")]
-        dealer = Bucketizer(splits=limits, inputCol="_id", outputCol="_c", handleInvalid="keep")
-        base = dealer.transform(base.withColumn("_id", F.col("id").cast("double"))).withColumn("chunk", F.col("_c").cast("int"))
-        base = base.select("chunk", "id", "text", "row")
-        layout = Layout(len(limits) - 1, layout.buckets)
-    else:
-        base = base.select(F.when(F.col("id").isNull(), 1).otherwise(0).alias("chunk"), "id", "text", "row")
-        layout = Layout(1, layout.buckets)
-    return base.repartition(layout.chunks, "chunk"), layout
+    limits = byte_limits(sizes, wanted, total / n) if wanted > 1 else []
+    drop(sizes)
+    layout = Layout(len(limits) + 1, max(1, -(-total // bucket_bytes)))
+    anywhere = F.pmod(F.xxhash64("text"), F.lit(layout.chunks)).cast("int")
+    numbered = ranges(base.withColumnsRenamed({"id": "_id"}).withColumn("id", F.coalesce(F.col("_id").cast("double"), F.lit(0.0))), limits, "chunk")
+    dealt = numbered.select(F.when(F.col("_id").isNull(), anywhere).otherwise(F.col("chunk")).alias("chunk"), F.col("_id").alias("id"), "text", "row")
+    return dealt.repartition(layout.chunks, "chunk"), layout
 
 
 def pack(values: np.ndarray) -> bytes:
