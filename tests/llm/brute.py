@@ -6,6 +6,8 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import xxhash
+
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = str.maketrans({chr(i): chr(i + 32) for i in range(65, 91)})
 
@@ -129,3 +131,60 @@ def near_vectors(rows, threshold=0.93):
                 links[a] += 1
                 links[b] += 1
     return {i: (links[i], union.find(i)) for i, _, _ in rows}
+
+
+class Markov:
+    """Interpolated counts of bytes after contexts, by recursion; the end is ``None``."""
+
+    def __init__(self, texts, order):
+        self.order, self.seen = order, defaultdict(Counter)
+        for text in texts:
+            own = text.encode()
+            for i, symbol in enumerate([*own, None]):
+                for k in range(order + 1):
+                    self.seen[self.context(own[:i], k)][symbol] += 1
+
+    @staticmethod
+    def context(before, k):
+        """The last ``k`` bytes and how many of them lie before the text."""
+        return before[len(before) - k :] if k <= len(before) else (before, k - len(before))
+
+    def p(self, before, symbol, k=None):
+        k = self.order if k is None else k
+        if k < 0:
+            return 1 / 257
+        shorter, seen = self.p(before, symbol, k - 1), self.seen.get(self.context(before, k))
+        return shorter if seen is None else (seen[symbol] + len(seen) * shorter) / (seen.total() + len(seen))
+
+    def log_likelihood(self, text):
+        own = text.encode()
+        return sum(math.log(self.p(own[:i], symbol)) for i, symbol in enumerate([*own, None]))
+
+
+class UrlJudge:
+    """Verdicts of URLs without a rule: four fifths of each class (by hash) count, one fifth sets the threshold."""
+
+    def __init__(self, accepted, rejected, order, sample):
+        def hashed(url):
+            value = xxhash.xxh64_intdigest(url.encode(), seed=42)
+            return value - (value >> 63 << 64), url.encode()
+
+        classes = [sorted(set(c), key=hashed)[:sample] for c in (accepted, rejected)]
+        self.models = [Markov([u for i, u in enumerate(c) if i % 5], order) for c in classes]
+        held = [[self.score(u) for u in c[::5]] for c in classes]
+        marks = sorted({x for scores in held for x in scores})
+        gaps = [(low + high) / 2 for low, high in zip(marks, marks[1:])]
+
+        def error(cut):
+            return sum(x < cut for x in held[0]) / len(held[0]) + sum(x >= cut for x in held[1]) / len(held[1])
+
+        best = min(map(error, gaps), default=1)
+        self.cut = 0.0 if not all(held) else next(g for g in gaps if error(g) == best) if best < 1 else marks[0]
+
+    def score(self, url):
+        if not url:
+            return 0.0
+        return (self.models[0].log_likelihood(url) - self.models[1].log_likelihood(url)) / (len(url.encode()) + 1)
+
+    def __call__(self, url):
+        return "allow" if self.score(url) >= self.cut else "block"

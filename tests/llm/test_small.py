@@ -64,33 +64,32 @@ def test_url_edges(spark):
     assert urls.filter_urls(spark.createDataFrame([], "page_id long, url string")).count() == 0
 
 
-def test_markov_model_is_a_distribution_and_tells_classes_apart():
-    model = urls.MarkovModel(urls.context_counts(["abab", "abba"], 2), 2)
-    for context in ("", "ab", "ba", "zz"):
-        base = model.log_likelihood(context)
-        alphabet = [chr(c) for c in range(256)]
-        # P(text) of all one-character continuations, with and without the end, stays below one.
-        assert sum(math.exp(model.log_likelihood(context + c) - base) for c in alphabet if c != "\x03") < 256
+def test_markov_models_tell_classes_apart():
     good, bad = [f"news{i}/story" for i in range(40)], [f"win{i}$$casino" for i in range(40)]
     models = tuple(urls.MarkovModel(urls.context_counts(x[:30], 3), 3) for x in (good, bad))
     cut = urls.calibrated(*([urls.ratio(models, t) for t in x[30:]] for x in (good, bad)))
     assert urls.ratio(models, "news77/story") > cut > urls.ratio(models, "win77$$casino")
 
 
-def test_next_characters_have_probability_one():
-    model = urls.MarkovModel(urls.context_counts(["abab", "abba"], 2), 2)
-
-    def p(context, char):
-        value = 1 / urls.ALPHABET
-        for k in range(3):
-            seen = model.counts.get(context[len(context) - k :])
-            if seen is None:
-                break
-            value = (seen.get(char, 0) + len(seen) * value) / (model.totals[context[len(context) - k :]] + len(seen))
-        return value
-
-    for context in ("ab", "ba", "zz", "\x02\x02"):
-        assert abs(sum(p(context, chr(c)) for c in range(256)) - 1) < 1e-9
+def test_next_symbols_have_probability_one():
+    """All texts of one length and their beginnings share the probability one, whatever characters they hold."""
+    texts = ["ab\u00e9\u4e2d", "abba", "\x02\x03"]
+    model, plain = urls.MarkovModel(urls.context_counts(texts, 2), 2), brute.Markov(texts, 2)
+    for context in [b"", b"a", b"ab", b"zz", "\u4e2d".encode(), b"\x02"]:
+        assert abs(sum(plain.p(context, c) for c in [*range(256), None]) - 1) < 1e-9
+    for text in [*texts, "", "b\u4e2da", "\U0001f600", "zz\x03"]:
+        assert abs(model.log_likelihood(text) - plain.log_likelihood(text)) < 1e-9
+
+
+def test_url_verdicts_match_a_plain_model(spark, sf_dir):
+    """Every URL's verdict from a plain Markov pair and a threshold tried at every gap."""
+    pages = [(r.page_id, r.url) for r in spark.read.parquet(f"{sf_dir}/pages.parquet").collect()]
+    found = {r.page_id: r.verdict for r in QUERIES["op2_url_filter"](spark, sf_dir).collect()}
+    by_rule = {u: rule(*split(u))[1] for _, u in pages}
+    learnt = [[u for u, v in by_rule.items() if v == verdict and 0 < len(u or "") <= urls.LONGEST] for verdict in ("allow", "block")]
+    judge = brute.UrlJudge(*learnt, order=urls.ORDER, sample=urls.SAMPLE)
+    assert {i: by_rule[u] or judge(u or "") for i, u in pages} == found
+    assert len({found[i] for i, u in pages if by_rule[u] is None}) == 2
 
 
 def formatted_length(turns):
