@@ -9,8 +9,6 @@ from pyspark.sql import functions as F
 
 from millrace.session import stage, unstage
 
-FOLD = 8
-
 
 def stages(edges: DataFrame) -> DataFrame:
     """Every node with its stage: root (feeds nothing), leaf (reads nothing) or intermediate."""
@@ -24,37 +22,30 @@ def stages(edges: DataFrame) -> DataFrame:
 def reachable(edges: DataFrame, starts: DataFrame) -> DataFrame:
     """Pairs (start, node): all that ``starts.node`` depends on, directly or not.
 
-    One join per level; a level only extends pairs that are new, so the work follows the
-    edges reached and ends on cycles, however deep the graph. Each level is written out to cut
-    the lineage; the levels are deleted once the result is written.
+    Paths are doubled: after k rounds pairs have walks of at most 2**k edges, and ``jumps`` the
+    pairs of nodes with a walk of exactly 2**k, which the next round puts behind them. So the rounds are
+    the logarithm of the depth. A round without a new pair ends it, on cycles too: the shortest walk
+    to a node further away would pass a new one. On chains and trees jumps are no more than
+    nodes. Each round is written out to cut the lineage.
     """
-    step = stage(edges.select(F.col("node_id").alias("_from"), F.col("child_node_id").alias("_to")).distinct(), "edges")
-    frontier = starts.select(F.col("node").alias("start"), F.col("node"))
-    levels = []
-    while True:
-        grown = frontier.join(step, F.col("node") == F.col("_from")).select("start", F.col("_to").alias("node"))
-        grown = grown.distinct()
-        for level in levels:
-            grown = grown.join(level, ["start", "node"], "left_anti")
-        frontier = stage(grown, "lineage")
-        if frontier.isEmpty():
-            break
-        levels.append(frontier)
-        if len(levels) >= FOLD:
-            levels = [fold(levels[:-1]), frontier]
-    result = fold([*levels, frontier])
-    unstage(step)
+    jumps = stage(edges.select(F.col("node_id").alias("_from"), F.col("child_node_id").alias("_to")).distinct(), "jumps")
+    steps = starts.select(F.col("node").alias("start")).distinct().join(jumps, F.col("start") == F.col("_from"))
+    rounds = [stage(steps.select("start", F.col("_to").alias("node")), "lineage")]
+    while not rounds[-1].isEmpty() and not jumps.isEmpty():
+        known = reduce(DataFrame.unionByName, rounds)
+        further = known.join(jumps, F.col("node") == F.col("_from")).select("start", F.col("_to").alias("node"))
+        rounds.append(stage(further.distinct().join(known, ["start", "node"], "left_anti"), "lineage"))
+        left, right = jumps.alias("l"), jumps.alias("r")
+        doubled = left.join(right, F.col("l._to") == F.col("r._from")).select("l._from", "r._to").distinct()
+        doubled = stage(doubled, "jumps")
+        unstage(jumps)
+        jumps = doubled
+    result = stage(reduce(DataFrame.unionByName, rounds), "lineage")
+    for part in [jumps, *rounds]:
+        unstage(part)
     return result
 
 
-def fold(levels: list[DataFrame]) -> DataFrame:
-    """Several staged levels as one, so that plans stay short; the parts are deleted."""
-    whole = stage(reduce(DataFrame.unionByName, levels), "lineage")
-    for level in levels:
-        unstage(level)
-    return whole
-
-
 def impact(edges: DataFrame, sources: DataFrame) -> DataFrame:
     """Pairs (start, node): all that is computed from ``sources.node``."""
     reverse = edges.select(F.col("child_node_id").alias("node_id"), F.col("node_id").alias("child_node_id"))

@@ -1,6 +1,7 @@
 """What must not be lost: late values, mixed folders, crashes between steps, repeated keys."""
 
 import datetime as dt
+import random
 import uuid
 
 import pytest
@@ -61,11 +62,8 @@ def test_one_late_byte_decides_the_encoding(spark, tmp_path):
     late = b"t\n" + b"x\n" * 100_000 + "é\n".encode("latin-1")
     path = put(tmp_path, "a.csv", late)
     assert files.read_files(spark, path, "csv", encoding="auto").where("t = 'é'").count() == 1
-    found = listing.detect_encoding(listing.list_directory(spark, str(tmp_path)))
+    found = listing.detect_encoding(spark, str(tmp_path))
     assert [r.encoding for r in found.collect()] == ["ISO-8859-1"]
-    cut = "é".encode()
-    assert streams.encoding_of([b"a" + cut[:1], cut[1:]]) == "UTF-8" and streams.encoding_of([b"a", cut[:1]]) == "ISO-8859-1"
-    assert streams.encoding_of([]) == "UTF-8"
 
 
 @pytest.mark.parametrize(
@@ -260,6 +258,37 @@ def test_lineage_of_any_depth(spark):
     assert found.count() == 40
 
 
+def test_lineage_takes_rounds_by_the_logarithm_of_the_depth(spark, monkeypatch):
+    labels = []
+    plain = lineage.stage
+    monkeypatch.setattr(lineage, "stage", lambda df, label: labels.append(label) or plain(df, label))
+    chain = spark.createDataFrame([(i, i + 1) for i in range(150)], "node_id long, child_node_id long")
+    start = spark.createDataFrame([(0,), (100,), (100,)], "node long")
+    found = rows(lineage.reachable(chain, start))
+    assert found == sorted([(0, i) for i in range(1, 151)] + [(100, i) for i in range(101, 151)], key=str)
+    assert labels.count("jumps") <= 9
+
+
+def test_lineage_of_graphs_with_cycles(spark):
+    rng = random.Random(5)
+    for n, m in ((6, 5), (12, 14), (20, 60)):
+        links = [(rng.randrange(n), rng.randrange(n)) for _ in range(m)] + [(1, 1), (2, 3), (3, 4), (4, 2), (None, 3)]
+        expected = set()
+        for start in range(n):
+            seen, todo = set(), [start]
+            while todo:
+                node = todo.pop()
+                fresh = {b for a, b in links if a == node} - seen
+                seen |= fresh
+                todo.extend(fresh)
+            expected |= {(start, node) for node in seen}
+        edges = spark.createDataFrame(links, "node_id int, child_node_id int")
+        starts = spark.createDataFrame([(i,) for i in range(n)], "node int")
+        assert rows(lineage.reachable(edges, starts)) == sorted(expected, key=str)
+    nothing = edges.where("false")
+    assert rows(lineage.reachable(nothing, starts)) == []
+
+
 def test_lines_of_files_with_one_name_are_counted_apart(spark, db, tmp_path):
     put(tmp_path, "x/o.csv", "id\n1\n2\n")
     put(tmp_path, "y/o.csv", "id\n3\n4\n5\n")
