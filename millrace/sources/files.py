@@ -11,6 +11,9 @@ from pyspark.sql import types as T
 
 from millrace.operators.refresh import plain_path, row_path
 from millrace.operators.relational import union_by_name
+from millrace.session import stage, unstage
+from millrace.sources.lines import encodings
+from millrace.sources.listing import with_encoding
 from millrace.sources.quoted import read_quoted, splittable
 from millrace.sources.streams import head_of
 
@@ -25,16 +28,19 @@ def read_parquet(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
 def file_heads(spark: SparkSession, paths: str | Sequence[str], encoding: str = "UTF-8") -> DataFrame:
     """Encoding and first line of every file under ``paths`` (files, folders or globs).
 
-    Files are read inside the tasks, to their first line break. ``auto`` detects encodings, for
-    which the whole file is looked at.
+    Files are read inside the tasks, to their first line break. ``auto`` detects encodings from all
+    bytes, in splits.
     """
 
     def heads(batches):
         for batch in batches:
-            found = [head_of(path, encoding) for path in batch["path"]]
-            yield batch.assign(encoding=[e for e, _ in found], line=[line for _, line in found])
+            yield batch.assign(line=[head_of(*file) for file in zip(batch["path"], batch["encoding"])])
 
     listed = spark.read.format("binaryFile").load([paths] if isinstance(paths, str) else list(paths)).select("path")
+    if encoding == "auto":
+        listed = with_encoding(listed, "path", encodings(spark, paths))
+    else:
+        listed = listed.withColumn("encoding", F.lit(encoding))
     return listed.mapInPandas(heads, "path string, encoding string, line string")
 
 
@@ -181,12 +187,17 @@ def header_groups(
     """
     given = [paths] if isinstance(paths, str) else list(paths)
     heads = file_heads(spark, given, encoding)
+    if encoding == "auto":
+        heads = stage(heads, "heads")
     kinds = heads.groupBy("encoding", "line").agg(F.min("path").alias("first")).orderBy("first").collect()
-    if len(kinds) == 1:
-        return [(kinds[0]["encoding"], kinds[0]["line"], given)]
     groups: dict[tuple[str, str], list[str]] = {(k["encoding"], k["line"]): [] for k in kinds}
-    for row in heads.orderBy("path").toLocalIterator():
-        groups[row["encoding"], row["line"]].append(row["path"])
+    if len(kinds) == 1:
+        groups = {key: given for key in groups}
+    else:
+        for row in heads.orderBy("path").toLocalIterator():
+            groups[row["encoding"], row["line"]].append(row["path"])
+    if encoding == "auto":
+        unstage(heads)
     return [(found, line, files) for (found, line), files in groups.items()]
 
 

@@ -5,16 +5,17 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions.text import base_name, human_size, parent_path
-from millrace.sources.streams import chunks_of, encoding_of
+from millrace.sources.lines import digests, encodings
+from millrace.sources.streams import chunks_of
 
 
 def list_directory(spark: SparkSession, path: str, pattern: str | None = None, recursive: bool = False) -> DataFrame:
-    """Files with parent, name, time and size; contents are never read.
+    """Files with parent, name, time and size; contents are never read. Spark lists no empty files.
 
     Sorting is left to the caller (``orderBy`` on ``last_modified_dt``).
     """
@@ -60,18 +61,36 @@ def hash_files(listing: DataFrame) -> DataFrame:
     return listing.repartition(slots, "parent_path", "filename").mapInPandas(_hash_batches, schema)
 
 
-def detect_encoding(listing: DataFrame, fallback: str = "ISO-8859-1") -> DataFrame:
-    """Listing with ``encoding``: byte order mark, else valid UTF-8, else ``fallback``.
+def _with_facts(listed: DataFrame, path: Column | str, facts: DataFrame) -> DataFrame:
+    """``listed`` with the facts of each file; those of files without a line are null."""
+    key = F.regexp_replace(path, "^([a-z0-9]+):/+", "$1:/")
+    return listed.withColumn("_key", key).join(facts.withColumnRenamed("path", "_key"), "_key", "left").drop("_key")
 
-    Files are read to the first byte that decides, to the end if they are valid UTF-8.
-    """
 
-    def detect(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            names = []
-            for parent, name in zip(batch["parent_path"], batch["filename"]):
-                names.append(encoding_of(chunks_of(f"{parent}/{name}"), fallback))
-            yield batch.assign(encoding=names)
+def with_encoding(listed: DataFrame, path: Column | str, found: DataFrame) -> DataFrame:
+    """``listed`` with the ``encoding`` that ``lines.encodings`` found; files without a line are UTF-8."""
+    return _with_facts(listed, path, found).fillna("UTF-8", "encoding")
+
+
+def _options(pattern: str | None, recursive: bool) -> dict:
+    return {"recursiveFileLookup": recursive} | ({"pathGlobFilter": pattern} if pattern else {})
+
 
-    schema = T.StructType([*listing.schema.fields, T.StructField("encoding", T.StringType())])
-    return listing.mapInPandas(detect, schema)
+def detect_encoding(
+    spark: SparkSession, path: str, pattern: str | None = None, recursive: bool = False, fallback: str = "ISO-8859-1"
+) -> DataFrame:
+    """:func:`list_directory` with ``encoding``: byte order mark, else valid UTF-8, else ``fallback``."""
+    found = encodings(spark, path, fallback, **_options(pattern, recursive))
+    return with_encoding(list_directory(spark, path, pattern, recursive), F.concat_ws("/", "parent_path", "filename"), found)
+
+
+def digest_files(spark: SparkSession, path: str, pattern: str | None = None, recursive: bool = False) -> DataFrame:
+    """:func:`list_directory` with ``digest``: SHA-256 of the size and the digest of the lines.
+
+    Size and lines tell any two plain files apart, also by a last line break or a byte order mark. Big files
+    are hashed by many tasks; see :func:`millrace.sources.lines.digests`.
+    """
+    found = digests(spark, path, **_options(pattern, recursive))
+    listed = _with_facts(list_directory(spark, path, pattern, recursive), F.concat_ws("/", "parent_path", "filename"), found)
+    whole = F.concat(F.col("st_size").cast("string"), F.lit(":"), F.coalesce("tree", F.lit("")))
+    return listed.withColumn("digest", F.sha2(whole, 256)).drop("tree")

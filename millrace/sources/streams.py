@@ -26,48 +26,21 @@ def open_stream(path: str):
     return system.open_input_stream(inner)
 
 
-def encoding_of(chunks, fallback: str = "ISO-8859-1") -> str:
-    """Encoding of a file by its chunks of bytes: byte order mark, else valid UTF-8, else ``fallback``.
-
-    Every chunk is looked at, since one invalid byte anywhere decides.
-    """
-    import codecs
-
-    decoder = None
-    for chunk in chunks:
-        if decoder is None:
-            for mark, name in ((codecs.BOM_UTF8, "UTF-8"), (codecs.BOM_UTF16_LE, "UTF-16"), (codecs.BOM_UTF16_BE, "UTF-16")):
-                if chunk.startswith(mark):
-                    return name
-            decoder = codecs.getincrementaldecoder("utf-8")()
-        try:
-            decoder.decode(chunk)
-        except UnicodeDecodeError:
-            return fallback
-    try:
-        if decoder is not None:
-            decoder.decode(b"", final=True)
-    except UnicodeDecodeError:
-        return fallback
-    return "UTF-8"
-
-
 def chunks_of(path: str):
     with open_stream(path) as stream:
         while chunk := stream.read(CHUNK):
             yield chunk
 
 
-def head_of(path: str, encoding: str) -> tuple[str, str]:
-    """Encoding and first line of a text file; ``auto`` detects the encoding from the whole file."""
+def head_of(path: str, encoding: str) -> str:
+    """First line of a text file, which is read no further."""
     import codecs
 
-    known = encoding_of(chunks_of(path)) if encoding == "auto" else encoding
-    decoder = codecs.getincrementaldecoder(known)("ignore")
+    decoder = codecs.getincrementaldecoder(encoding)("ignore")
     parts = []
     for chunk in chunks_of(path):
         text = decoder.decode(chunk)
         parts.append(text)
         if "\n" in text:
             break
-    return known, "".join(parts).removeprefix("\ufeff").split("\n")[0].rstrip("\r")
+    return "".join(parts).removeprefix("\ufeff").split("\n")[0].rstrip("\r")

@@ -167,21 +167,46 @@ def directory_listing(spark, d):
     return rows.groupBy("month").agg(F.count("*").alias("n_rows")).join(folders, "month", "left")
 
 
+def _level_sql(k: int) -> str:
+    return f"""l{k} AS (SELECT month, n{k - 1} // 4096 AS n{k}, sha256(string_agg(h{k - 1}, '' ORDER BY n{k - 1})) AS h{k}
+        FROM l{k - 1} GROUP BY 1, 2)"""
+
+
 @query(
     "file_hashes",
-    "SELECT 'orders' AS kind, count(*) AS n_rows, TRUE AS hashed FROM orders",
+    f"""
+    WITH least AS (SELECT min(o_orderkey) AS k FROM orders),
+    lines AS (SELECT strftime(o_orderdate, '%Y-%m') AS month, o_orderkey,
+        concat_ws('|', o_orderkey, o_custkey, o_orderstatus, CAST(round(o_totalprice * 100) AS BIGINT),
+                  strftime(o_orderdate, '%Y-%m-%d'), CASE WHEN o_orderkey = k THEN 'changed' ELSE o_orderpriority END) AS line
+        FROM orders, least),
+    l0 AS (SELECT month, row_number() OVER (PARTITION BY month ORDER BY o_orderkey) - 1 AS n0, sha256(line) AS h0 FROM lines),
+    {", ".join(_level_sql(k) for k in range(1, 5))},
+    sizes AS (SELECT month, CAST(sum(strlen(line) + 1) AS BIGINT) AS st_size FROM lines GROUP BY 1)
+    SELECT month, st_size, sha256(st_size || ':' || h4) AS digest,
+           month = (SELECT strftime(o_orderdate, '%Y-%m') FROM orders, least WHERE o_orderkey = k) AS is_changed
+    FROM l4 JOIN sizes USING (month)
+    """,
 )
 def file_hashes(spark, d):
-    """Every file of an export hashed in the tasks; equal files would show as one hash."""
-    path = scratch_dir(spark, "hash")
-    orders = table(spark, d, "orders").select("o_orderkey")
-    exports.write_parquet(orders.repartition(4), path)
-    found = listing.list_directory(spark, path, "*.parquet")
-    hashes = listing.hash_files(listing.list_with_fallback(found, found)).agg(
-        (F.count("*") == F.count_if(F.length("hash_check_sum") == 128)).alias("hashed")
-    )
-    rows = files.read_parquet(spark, path).agg(F.count("*").alias("n_rows"))
-    return rows.select(F.lit("orders").alias("kind"), "n_rows", hashes.scalar().alias("hashed"))
+    """One text file a month, then again with one order changed: the digests name the changed file."""
+    orders = table(spark, d, "orders")
+    least = orders.agg(F.min("o_orderkey")).scalar()
+
+    def digests(priority):
+        cents = F.round(F.col("o_totalprice") * 100).cast("bigint")
+        day = F.date_format("o_orderdate", "yyyy-MM-dd")
+        line = F.concat_ws("|", "o_orderkey", "o_custkey", "o_orderstatus", cents, day, priority)
+        months = orders.select(F.date_format("o_orderdate", "yyyy-MM").alias("month"), "o_orderkey", line.alias("line"))
+        path = scratch_dir(spark, "hash")
+        sorted_months = months.repartition("month").sortWithinPartitions("month", "o_orderkey")
+        sorted_months.select("month", "line").write.partitionBy("month").text(path)
+        found = listing.digest_files(spark, path, "*.txt", recursive=True)
+        return found.select(F.substring_index("parent_path", "month=", -1).alias("month"), "st_size", "digest")
+
+    before = digests(F.col("o_orderpriority")).select("month", F.col("digest").alias("old"))
+    after = digests(F.when(F.col("o_orderkey") == least, F.lit("changed")).otherwise(F.col("o_orderpriority")))
+    return after.join(before, "month", "left").withColumn("is_changed", ~F.col("digest").eqNullSafe(F.col("old"))).drop("old")
 
 
 @query("month_backup_roundtrip", ORDERS)
