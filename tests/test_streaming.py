@@ -4,14 +4,18 @@ import datetime as dt
 import os
 import uuid
 
+import duckdb
 import pytest
 from pyspark.errors import PySparkException
 
+from millrace.plans import exports
 from millrace.plans.table import WarehouseTable, ensure_database
 from millrace.session import scratch_dir
 from millrace.sources import listing
 from millrace.sources.files import read_files
 from millrace.streaming.files import ingest_changed
+from tests.compare import duck_rows, spark_rows
+from warehouse_queries import ORACLE, QUERIES
 
 SCHEMA = "v int, d timestamp_ntz"
 
@@ -69,3 +73,18 @@ def test_a_load_that_dies_is_repeated(spark, db, tmp_path):
         ingest_changed(found, table, state, dead).awaitTermination()
     ingest_changed(found, table, state, lambda paths: read_files(spark, paths, "csv", True, True, schema=SCHEMA)).awaitTermination()
     assert [(r.v, r.d) for r in table.read().collect()] == [(1, dt.datetime(2024, 1, 5))]
+
+
+def test_types_of_several_files_against_sql(spark, tmp_path, monkeypatch):
+    """More rows of a type than a file takes, a type that loses all rows, one without a name."""
+    monkeypatch.setattr(exports, "ROWS_PER_FILE", 4)
+    types = ["view", "click", "a/b=c"]
+    rows = [(i, dt.datetime(2024, 1, 20 + i % 9 if i % 3 == 0 else 1 + i % 28), i % 7, types[i % 3], i / 2, "{}") for i in range(45)]
+    rows.append((45, dt.datetime(2024, 1, 3), 1, None, 0.5, None))
+    schema = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
+    spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/events.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW events AS SELECT * FROM '{tmp_path}/events.parquet/*.parquet'")
+    found = spark_rows(QUERIES["stream_changed_files"](spark, str(tmp_path)))
+    assert found == duck_rows(con, ORACLE["stream_changed_files"])
+    assert len(found[1]) == 31

@@ -437,20 +437,39 @@ def stream_ingest_roundtrip(spark, d):
     """,
 )
 def stream_changed_files(spark, d):
-    """One file an event type. Then two of them change: one gets other values, one loses rows."""
+    """Files of each event type, of a bounded number of rows each, dealt by the event's id. Then those of two
+    types change: one type gets other values, one loses rows.
+    """
     root = scratch_dir(spark, "drop")
-    events = table(spark, d, "events")
     target = WarehouseTable(spark, f"{new_database(spark)}.events", "ts")
-
-    def deliver(kind, rows):
-        """One whole file of a fixed name."""
+    rows = table(spark, d, "events").withColumn("kind", F.coalesce(F.sha1("event_type"), F.lit("none")))
+    parts = rows.groupBy("kind", "event_type").agg(F.ceil(F.count(F.lit(1)) / F.lit(exports.ROWS_PER_FILE)).alias("parts"))
+    slots = {(r.kind, i): r.event_type for r in parts.collect() for i in range(r.parts)}
+    part = F.pmod(F.xxhash64("event_id"), "parts").alias("part")
+    events = rows.join(parts.select("kind", "parts"), "kind").select(*rows.columns, part)
+
+    def deliver(rows, *types):
+        """Whole files of fixed names for some types, else for all; one whose rows are all gone holds none."""
         whole = scratch_dir(spark, "delivery")
-        exports.write_parquet(rows.where(F.col("event_type") == kind).coalesce(1), whole)
-        (part,) = [r.filename for r in listing.list_directory(spark, whole, "*.parquet").collect()]
-        fs, folder = hadoop_path(spark, f"{root}/in/kind={kind}")
-        fs.mkdirs(folder)
-        delete_path(spark, f"{root}/in/kind={kind}/events.parquet")
-        fs.rename(hadoop_path(spark, f"{whole}/{part}")[1], hadoop_path(spark, f"{root}/in/kind={kind}/events.parquet")[1])
+        rows = rows.where(F.col("event_type").isin(*types)) if types else rows
+        rows.repartition("kind", "part").write.partitionBy("kind", "part").parquet(f"{whole}/rows")
+        exports.write_parquet(rows.drop("kind", "part").limit(0), f"{whole}/none")
+        (none,) = [f"{r.parent_path}/{r.filename}" for r in listing.list_directory(spark, f"{whole}/none", "*.parquet").collect()]
+        made = {}
+        for r in listing.list_directory(spark, f"{whole}/rows", "*.parquet", recursive=True).collect():
+            kind, part = (name.split("=")[1] for name in r.parent_path.rsplit("/", 2)[1:])
+            made[kind, int(part)] = f"{r.parent_path}/{r.filename}"
+        for (kind, i), of in slots.items():
+            if types and of not in types:
+                continue
+            fs, file = hadoop_path(spark, f"{root}/in/{kind}/{i}.parquet")
+            fs.mkdirs(file.getParent())
+            fs.delete(file, False)
+            if (kind, i) in made:
+                fs.rename(hadoop_path(spark, made[kind, i])[1], file)
+            else:
+                spark._jvm.org.apache.hadoop.fs.FileUtil.copy(fs, hadoop_path(spark, none)[1], fs, file, False, spark._jsc.hadoopConfiguration())
+        delete_path(spark, whole)
 
     def run():
         found = listing.list_directory(spark, f"{root}/in", "*.parquet", recursive=True)
@@ -458,12 +477,11 @@ def stream_changed_files(spark, d):
         done.awaitTermination()
         return target.stored, target.files().agg(F.sum("rows")).first()[0]
 
-    for kind in [r[0] for r in events.select("event_type").distinct().collect()]:
-        deliver(kind, events)
+    deliver(events)
     first = run()
     if run() != first:
         raise AssertionError("loaded again without a change")
-    deliver("click", events.withColumn("value", F.when(F.col("ts") >= "2024-01-10", F.col("value") + 1).otherwise(F.col("value"))))
-    deliver("view", events.where("ts < '2024-01-20'"))
+    deliver(events.withColumn("value", F.when(F.col("ts") >= "2024-01-10", F.col("value") + 1).otherwise(F.col("value"))), "click")
+    deliver(events.where("ts < '2024-01-20'"), "view")
     run()
     return target.read().drop("FILE_NAME", "FILE_PATH")
