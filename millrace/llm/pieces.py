@@ -29,12 +29,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.words import slices
+from millrace.llm.words import PIECE, slices
 
 START = "▁"
 LONG = 256
-CACHE = 400_000
+CACHE = 120_000
 ROWS = 256
+#: Bytes of text that a worker encodes at once.
+SLICE = PIECE // 4
 NEVER = np.iinfo(np.int32).max
 
 
@@ -370,7 +372,7 @@ def encoder(model: Model):
         library = SentencePieceProcessor(model_proto=model.raw)
         own = Encoder(model)
         for batch in batches:
-            for part in slices(batch, "text", ROWS):
+            for part in slices(batch, "text", ROWS, SLICE):
                 *found, cuts = own.encode([t or "" for t in part.column("text").to_pylist()])
                 arrays = [pa.ListArray.from_arrays(cuts.astype(np.int32), x.astype(np.int32)) for x in found]
                 plain = found[0].tolist()

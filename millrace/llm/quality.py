@@ -35,6 +35,8 @@ RIDGE = 1e-3
 GRID = 512
 CALIBRATE = 3
 SEED = 11
+#: Bytes of text that a worker measures at once; its arrays take some 50 bytes for each of them.
+SLICE = PIECE // 2
 
 #: Classes of bytes; the rest (all of multi-byte characters) is the last class.
 CLASSES = ["abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789", " \t", "\r\n", ".,;:?!'\"()-", "!", "|", "*#$%&@^~=+<>{}[]\\/_`"]
@@ -97,7 +99,7 @@ def statistics(column) -> np.ndarray:
 
 def measure(batches):
     for batch in batches:
-        for part in slices(batch, "text", 1_000, 4 * PIECE):
+        for part in slices(batch, "text", 1_000, SLICE):
             stats = statistics(part.column("text"))
             lists = pa.ListArray.from_arrays(np.arange(0, stats.size + 1, stats.shape[1], dtype=np.int32), stats.reshape(-1))
             kept = [part.column(c) for c in range(part.num_columns) if part.schema.names[c] != "text"]
@@ -239,7 +241,7 @@ def keep_good(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "t
 
     def run(batches):
         for batch in batches:
-            for part in slices(batch, "text_", 1_000, 4 * PIECE):
+            for part in slices(batch, "text_", 1_000, SLICE):
                 good = model.score(statistics(part.column("text_"))) >= least
                 yield part.select(part.schema.names[:-1]).filter(pa.array(good))
 

@@ -91,3 +91,11 @@ def test_slices_are_bounded():
     batch = pa.RecordBatch.from_pydict({"text": ["a" * n for n in (10, 10, 500, 10, 10, 10)]})
     assert [p.num_rows for p in slices(batch, "text", 2, 25)] == [2, 1, 2, 1]
     assert list(slices(batch.slice(0, 0), "text", 2, 25)) == []
+
+
+def test_long_texts_are_encoded_in_small_parts(library):
+    texts = [f"w{k} " + "some words of a plain text, " * 150 for k in range(200)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(200), pa.int64()), pa.array(texts), pa.nulls(200, pa.int32())], names=["id", "text", "row"])
+    parts = list(pieces.encoder(pieces.load(tokenizer()))(iter([batch])))
+    assert max(sum(len(texts[i]) for i in part.column("id").to_pylist()) for part in parts) <= 1 << 18
+    assert [ids for part in parts for ids in part.column("ids").to_pylist()] == library.encode(texts)

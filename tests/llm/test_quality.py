@@ -1,4 +1,7 @@
+import tracemalloc
+
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from millrace.llm import quality
@@ -65,3 +68,14 @@ def test_kept_rows_are_unchanged(spark, sf_dir):
     kept = quality.keep_good(docs, model)
     assert kept.schema == docs.schema
     assert kept.subtract(docs).count() == 0 and 0 < kept.count() < docs.count()
+
+
+def test_memory_of_a_batch_follows_the_slice():
+    """1,000 texts of 4 KB in one batch, measured as the workers of op9 and of the pipeline's first stage do."""
+    text = pa.array([f"w{k} " + "some words of a plain text, " * 150 for k in range(1000)])
+    batch = pa.RecordBatch.from_arrays([pa.array(range(1000), pa.int64()), text], names=["id", "text"])
+    tracemalloc.start()
+    rows = sum(part.num_rows for part in quality.measure([batch]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert rows == 1000 and peak < 100 << 20
